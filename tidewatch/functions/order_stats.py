@@ -36,8 +36,7 @@ def quantiles(
     if largest is None:
         largest = largest_group(df, by)
     if largest <= in_task:
-        aggregated = [F.percentile(F.col(c).cast("double"), F.lit(probs)).alias(c) for c in columns]
-        return df.groupBy(*by).agg(*aggregated).unpivot(by, columns, "column", "q").where("q is not null")
+        return _aggregated(df, by, columns, probs).unpivot(by, columns, "column", "q").where("q is not null")
     keys = by + ["column"]
     positions = [(lambda total, p=p: (total - 1) * F.lit(p)) for p in probs]
     at = _located(_long(df, by, columns), keys, positions, in_task)
@@ -63,13 +62,30 @@ def kth_smallest(
     return at.where(k(F.col("total")) >= 1).select(*by, F.col("at")[rank].alias("kth"))
 
 
-def wide_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], probs: Sequence[float], **options) -> DataFrame:
-    """One row per group with one array column per input column."""
-    long = quantiles(df, by, columns, probs, **options)
+def wide_quantiles(
+    df: DataFrame,
+    by: Sequence[str],
+    columns: Sequence[str],
+    probs: Sequence[float],
+    largest: int | None = None,
+    in_task: int = MAX_IN_TASK,
+) -> DataFrame:
+    """The same in one row per group, with one array column per input column."""
+    by, columns = list(by), list(columns)
+    if largest is None:
+        largest = largest_group(df, by)
+    if largest <= in_task:
+        return _aggregated(df, by, columns, probs)
+    long = quantiles(df, by, columns, probs, largest, in_task)
     picked = [F.first(F.when(F.col("column") == c, F.col("q")), ignorenulls=True).alias(c) for c in columns]
     return long.groupBy(*by).agg(*picked)
 
 
+def _aggregated(df: DataFrame, by: list[str], columns: list[str], probs: Sequence[float]) -> DataFrame:
+    wanted = F.lit([float(p) for p in probs])
+    return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in columns])
+
+
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.max("n")).first()[0] or 0

@@ -27,7 +27,7 @@ class Registry:
         path = f"{self.root}/versions"
         if not _exists(self.spark, path):
             return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).json(path)
+        return self.spark.read.schema(SCHEMA).json(path).drop("v")
 
     def register(
         self,

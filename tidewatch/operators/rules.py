@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from tidewatch.functions.coerce import as_label, day_difference, split_items
 from tidewatch.functions.order_stats import wide_quantiles
 from tidewatch.roles import Mining, Roles, RuleLimits
-from tidewatch.session import attach, materialize, ratio, sized
+from tidewatch.session import attach, materialize, ratio, sized, spread
 
-# Baskets with more item slots than this are mined level by level instead of by all their subsets.
-MAX_SUBSET_SLOTS = 12
+# With more basket subsets than this per core, sets are grown level by level instead.
+MAX_SUBSETS = 10_000_000
+MASK_BITS = 62
 
 
 def top_values(df: DataFrame, roles: Roles, k: int) -> DataFrame:
@@ -71,15 +72,15 @@ def baskets(df: DataFrame, roles: Roles, mining: Mining = Mining()) -> DataFrame
     An item that every row of a batch has says nothing; it is removed unless ``drop_constant`` is off.
     """
     by = [c for c in roles.by if c in df.columns]
-    rows = transactions(df, roles, mining)
-    counted = materialize(rows.groupBy(*by, "items").agg(F.count(F.lit(1)).alias("n")))
-    sizes = counted.groupBy(*by).agg(F.sum("n").alias("n_rows"))
-    sized_baskets = attach(counted, sizes, by)
+    counted = transactions(df, roles, mining).groupBy(*by, "items").agg(F.count(F.lit(1)).alias("n"))
+    found = materialize(counted.withColumn("n_rows", F.sum("n").over(Window.partitionBy(*by))))
     if not mining.drop_constant:
-        return materialize(sized_baskets)
-    per_item = item_counts(sized_baskets, roles)
-    constant = per_item.groupBy(*by).agg(F.collect_list(F.when(F.col("n") == F.col("n_rows"), F.col("item"))).alias("_constant"))
-    trimmed = attach(sized_baskets, constant, by)
+        return found
+    constant = item_counts(found, roles).where("n = n_rows").groupBy(*by).agg(F.collect_list("item").alias("_constant"))
+    constant = materialize(constant)
+    if constant.isEmpty():
+        return found
+    trimmed = attach(found, constant, by)
     items = F.when(F.col("_constant").isNull(), F.col("items")).otherwise(F.array_except("items", "_constant"))
     return materialize(trimmed.select(*by, items.alias("items"), "n", "n_rows"))
 
@@ -90,27 +91,30 @@ def item_counts(found: DataFrame, roles: Roles) -> DataFrame:
     return found.select(*by, "n_rows", "n", F.explode("items").alias("item")).groupBy(*by, "n_rows", "item").agg(F.sum("n").alias("n"))
 
 
-def itemsets(found: DataFrame, roles: Roles, min_support: float, slots: int = MAX_SUBSET_SLOTS) -> DataFrame:
+def itemsets(found: DataFrame, roles: Roles, min_support: float, max_subsets: int = MAX_SUBSETS) -> DataFrame:
     """All itemsets of any length with support of at least ``min_support``: ``batch, itemset, n, n_rows``.
 
-    Infrequent items are removed from the baskets first. Short baskets then list all their subsets;
-    when some basket is long, sets are grown one item at a time from the frequent ones.
+    Infrequent items are removed from the baskets first. If what is left has few subsets they are all
+    counted in one pass, as bit masks over the batch's frequent items; otherwise sets are grown one
+    item at a time from the frequent ones.
     """
     by = [c for c in roles.by if c in found.columns]
     frequent = item_counts(found, roles).where(_enough(min_support))
-    listed = frequent.groupBy(*by).agg(F.collect_set("item").alias("_frequent"))
-    kept = attach(found, listed, by).withColumn("items", F.array_sort(F.array_intersect("items", "_frequent"))).drop("_frequent")
-    kept = materialize(kept.where(F.size("items") > 0).groupBy(*by, "items", "n_rows").agg(F.sum("n").alias("n")))
-    longest = kept.agg(F.max(F.size("items"))).first()[0] or 0
-    if longest > slots:
-        return _grown(kept, by, min_support)
-    subsets = F.aggregate(
-        "items",
-        F.array(F.array().cast("array<string>")),
-        lambda sets, item: F.concat(sets, F.transform(sets, lambda s: F.array_append(s, item))),
+    listed = frequent.groupBy(*by).agg(F.array_sort(F.collect_list("item")).alias("_frequent"))
+    kept = attach(found, listed, by).withColumn("items", F.array_intersect("items", "_frequent")).where(F.size("items") > 0)
+    kept = materialize(kept.groupBy(*by, "items", "n_rows", "_frequent").agg(F.sum("n").alias("n")))
+    subsets_in_all, most_items = kept.agg(F.sum(F.pow(F.lit(2.0), F.size("items"))), F.max(F.size("_frequent"))).first()
+    allowed = max_subsets * kept.sparkSession.sparkContext.defaultParallelism
+    if (subsets_in_all or 0) > allowed or (most_items or 0) > MASK_BITS:
+        return _grown(kept.drop("_frequent"), by, min_support)
+    bits = F.transform("items", lambda item: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.array_position("_frequent", item).cast("int") - 1))
+    masks = F.aggregate(
+        bits, F.array(F.lit(0).cast("bigint")), lambda sets, bit: F.concat(sets, F.transform(sets, lambda s: s.bitwiseOR(bit)))
     )
-    exploded = kept.select(*by, "n_rows", "n", F.explode(subsets).alias("itemset")).where(F.size("itemset") > 0)
-    return exploded.groupBy(*by, "n_rows", "itemset").agg(F.sum("n").alias("n")).where(_enough(min_support))
+    exploded = spread(kept).select(*by, "n_rows", "n", F.explode(masks).alias("mask")).where("mask <> 0")
+    counted = exploded.groupBy(*by, "n_rows", "mask").agg(F.sum("n").alias("n")).where(_enough(min_support))
+    named = F.filter("_frequent", lambda item, i: F.col("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)) != 0)
+    return attach(counted, listed, by).select(*by, "n_rows", named.alias("itemset"), "n")
 
 
 def _enough(min_support: float) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.roles import Allowed, Flag, Range, Roles
+from tidewatch.session import materialize, spread
 
 BATCH_ROWS = 1000
 
@@ -50,7 +51,7 @@ def policies(spark: SparkSession, folder: str, batch_rows: int = BATCH_ROWS) ->
             ).alias("claim_paid"),
         )
     )
-    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    orders, customer = spread(table(spark, folder, "orders"), "o_orderkey"), table(spark, folder, "customer")
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
@@ -73,6 +74,12 @@ def policies(spark: SparkSession, folder: str, batch_rows: int = BATCH_ROWS) ->
     )
 
 
+def stored_policies(spark: SparkSession, folder: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """The same rows written once, for operators that read their input several times: the view is a
+    join and an aggregate, which would otherwise be repeated for every pass."""
+    return materialize(policies(spark, folder, batch_rows))
+
+
 def events(spark: SparkSession, folder: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """The event table with a batch number from its dense key."""
     return table(spark, folder, "events").withColumn("batch_num", F.expr(f"event_id div {batch_rows} + 1"))
