@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.session import materialize, sized
+from tidewatch.session import materialize, materialize_counted, sized
 
 
 # Tables up to this many rows are accumulated by one plain window.
@@ -25,8 +25,8 @@ def running_totals(
     by aggregating equal keys first; then no slice can be hot.
     """
     by, order = list(by), list(order)
-    df = materialize(df)
-    if df.count() <= in_task:
+    df, rows = materialize_counted(df)
+    if rows <= in_task:
         before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumns({n: F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()})
     sliced = materialize(df.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id()))
@@ -34,6 +34,6 @@ def running_totals(
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(*by, "_slice", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
     inside = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = sliced.join(sized(materialize(offsets)), by + ["_slice"])
+    joined = sliced.join(sized(*materialize_counted(offsets)), by + ["_slice"])
     totals = {n: F.col(f"_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}
     return joined.withColumns(totals).drop("_slice", *[f"_{n}" for n in sums])

@@ -16,7 +16,7 @@ from tidewatch.functions.coerce import as_label, numeric_columns
 from tidewatch.functions.order_stats import quantiles
 from tidewatch.functions.special import chi_square_p
 from tidewatch.roles import DriftLimits, Roles
-from tidewatch.session import attach, materialize, ratio, sized
+from tidewatch.session import attach, materialize, ratio
 
 QUARTILES = (0.25, 0.75)
 
@@ -49,9 +49,8 @@ def categorical_shares(df: DataFrame, roles: Roles, columns: Sequence[str] | Non
     present = [c for c in (columns or roles.monitored_categorical) if c in df.columns]
     cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), as_label(df, c).alias("value")) for c in present]))
     counted = df.select(*by, cells).where("value is not null").groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    counted = materialize(counted)
     totals = counted.groupBy(*by, "column").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_categories"))
-    joined = counted.join(sized(materialize(totals)), by + ["column"])
+    joined = counted.join(totals, by + ["column"])
     return joined.withColumn("share", F.col("n") / F.col("total"))
 
 
@@ -65,7 +64,7 @@ def quartile_table(df: DataFrame, roles: Roles, columns: Sequence[str]) -> DataF
 def quartile_shift(quartiles: DataFrame, reference: DataFrame, roles: Roles, limits: DriftLimits = DriftLimits()) -> DataFrame:
     """Similarity of each column's quartiles to the reference quartiles."""
     pinned = reference.select("column", F.col("q1").alias("q1_ref"), F.col("q3").alias("q3_ref"))
-    joined = quartiles.join(sized(materialize(pinned)), "column")
+    joined = quartiles.join(F.broadcast(pinned), "column")  # one row per monitored column
     width = F.col("q3_ref") - F.col("q1_ref") + limits.epsilon
 
     def moved(now: str, ref: str) -> Column:
@@ -96,7 +95,7 @@ def share_chi_square(
     by = [c for c in roles.by if c in shares.columns]
     pinned = reference.select("column", "value", F.col("n").alias("n_ref"), F.col("total").alias("total_ref"))
     per_column = reference.groupBy("column").agg(F.first("total").alias("_rows"), F.count(F.lit(1)).alias("_known"))
-    joined = shares.join(sized(materialize(pinned)), ["column", "value"], "left")
+    joined = shares.join(pinned, ["column", "value"], "left")
     expected = F.col("n_ref") / F.col("total_ref")
     matched = F.sum(F.when(F.col("n_ref").isNotNull(), F.pow(F.col("share") - expected, F.lit(2)) / expected).otherwise(0.0))
     summed = joined.groupBy(*by, "column").agg(
@@ -105,7 +104,7 @@ def share_chi_square(
         F.count(F.when(F.col("n_ref").isNull(), 1)).alias("unseen"),
         F.first("total").alias("total"),
     )
-    known = summed.join(sized(materialize(per_column)), "column")
+    known = summed.join(F.broadcast(per_column), "column")  # one row per monitored column
     statistic = F.col("_matched") + (F.col("_rows") - F.col("_ref_rows")) / F.col("_rows")
     if on == "counts":
         statistic = statistic * F.col("total")
@@ -126,16 +125,17 @@ def target_shift(shares: DataFrame, reference: DataFrame, roles: Roles, limits:
     gap = F.lit(limits.missing_side)
     pinned = reference.select("value", F.col("share").alias("share_ref"))
     alone = F.abs(F.col("share_ref") - gap)
-    everything = pinned.agg(F.sum(alone)).first()[0]
-    joined = shares.join(sized(materialize(pinned)), "value", "left")
+    everything = pinned.agg(F.coalesce(F.sum(alone), F.lit(0.0)).alias("all")).scalar()
+    known = pinned.agg(F.count(F.lit(1)).alias("known")).scalar()
+    joined = shares.join(pinned, "value", "left")
     change = F.abs(F.coalesce("share_ref", gap) - F.col("share"))
     summed = joined.groupBy(*by).agg(F.sum(change).alias("_change"), F.coalesce(F.sum(alone), F.lit(0.0)).alias("_alone"))
-    total = F.lit(0.0) if everything is None else F.col("_change") + (F.lit(everything) - F.col("_alone"))
+    total = F.when(F.col("_known") > 0, F.col("_change") + (F.col("_all") - F.col("_alone"))).otherwise(0.0)
     return (
-        summed.withColumn("distribution_change", total)
+        summed.withColumns({"_all": everything, "_known": known}).withColumn("distribution_change", total)
         .withColumn("drifted", F.col("distribution_change") > limits.target_change)
         .withColumn("confidence", F.when(F.col("drifted"), F.least("distribution_change", F.lit(1.0))).otherwise(0.0))
-        .drop("_change", "_alone")
+        .drop("_change", "_alone", "_all", "_known")
     )
 
 
@@ -175,15 +175,16 @@ def quality_drift(df: DataFrame, roles: Roles, reference: int | None = None, lim
     reference = first_batch(df, roles) if reference is None else reference
     joined = missing_ratios(df, roles).join(outlier_counts(df, roles, quartiles, limits), roles.by)
     measured = materialize(joined)
-    pinned = measured.where(F.col(roles.batch) == reference).first()
-    missing = F.abs(F.col("missing_ratio") - F.lit(pinned["missing_ratio"]))
-    outliers = F.abs(F.col("outliers") - F.lit(pinned["outliers"])) / F.lit(float(max(pinned["outliers"], 1)))
+    pinned = measured.where(F.col(roles.batch) == reference).select(F.struct("missing_ratio", "outliers")).scalar()
+    missing = F.abs(F.col("missing_ratio") - F.col("_ref.missing_ratio"))
+    outliers = F.abs(F.col("outliers") - F.col("_ref.outliers")) / F.greatest("_ref.outliers", F.lit(1))
     return (
-        measured.withColumn("missing_value_drift", missing)
+        measured.withColumn("_ref", pinned).withColumn("missing_value_drift", missing)
         .withColumn("outlier_drift", outliers)
         .withColumn("missing_drifted", F.col("missing_value_drift") > limits.missing_change)
         .withColumn("outlier_drifted", F.col("outlier_drift") > limits.outlier_change)
         .withColumn("quality_issues", F.col("missing_drifted") | F.col("outlier_drifted"))
+        .drop("_ref")
     )
 
 

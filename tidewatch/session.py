@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same, with the row count taken while writing."""
+    ensure_checkpoint_dir(df.sparkSession)
+    seen = Observation()
+    written = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return written, seen.get["n"]
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan or a written table with fewer partitions than cores one partition per core.
 
@@ -89,7 +97,8 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str], how: str = "left"
     if not keys:
         row = stats.first()
         return rows.withColumns({c: F.lit(row[c]).cast(stats.schema[c].dataType) for c in stats.columns})
-    return rows.join(sized(materialize(stats)), keys, how)
+    written, n = materialize_counted(stats)
+    return rows.join(sized(written, n), keys, how)
 
 
 def ratio(part: Column, whole: Column, empty: float = 0.0) -> Column:

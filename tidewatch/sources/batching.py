@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.running import running_totals
-from tidewatch.session import materialize, sized
+from tidewatch.session import materialize_counted, sized
 
 
 def with_file_position(df: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def index_rows(df: DataFrame, source: str = "source") -> DataFrame:
     splits = df.groupBy(source, "_file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     earlier = Window.partitionBy(source).orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    placed = df.join(sized(materialize(starts)), [source, "_file", "_split"])
+    placed = df.join(sized(*materialize_counted(starts)), [source, "_file", "_split"])
     index = F.col("_start") + F.col("_row") - F.col("_first")
     return placed.withColumn("row_index", index).drop("_file", "_split", "_row", "_first", "_start")
 
@@ -45,13 +45,14 @@ def index_by_order(df: DataFrame, order: Sequence[str], source: str = "source")
 def cut_batches(df: DataFrame, batch_rows: int, sources: Sequence[str], source: str = "source") -> DataFrame:
     """Add ``batch_index`` (in its source) and ``batch_num`` (over all sources) from ``row_index``.
 
-    ``sources`` lists the sources in reading order; the counter goes on from one to the next.
+    ``sources`` lists the sources in reading order; the counter goes on from one to the next. There is
+    one offset per listed source, so the offsets can be broadcast.
     """
     sizes = source_sizes(df, batch_rows, sources, source)
     earlier = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(source, F.coalesce(F.sum("total_batches").over(earlier), F.lit(0)).alias("_before"))
     indexed = df.withColumn("batch_index", batch_of(F.col("row_index"), batch_rows))
-    joined = indexed.join(sized(materialize(offsets), len(sources)), source)
+    joined = indexed.join(F.broadcast(offsets), source)
     return joined.withColumn("batch_num", F.col("_before") + F.col("batch_index")).drop("_before")
 
 
@@ -71,5 +72,5 @@ def batch_info(df: DataFrame, batch_rows: int, sources: Sequence[str], source: s
     """One row per batch: its place and half-open row range in its source."""
     cut = df.groupBy(source, "batch_num", "batch_index").agg(F.min("row_index").alias("start_row"), (F.max("row_index") + 1).alias("end_row"))
     sizes = source_sizes(df, batch_rows, sources, source).select(source, "total_batches")
-    joined = cut.join(sized(materialize(sizes), len(sources)), source)
+    joined = cut.join(F.broadcast(sizes), source)
     return joined.select(source, "batch_num", "batch_index", "total_batches", "start_row", "end_row")
