@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.coerce import as_label, numeric_columns
 from tidewatch.functions.order_stats import quantiles
+from tidewatch.functions.running import running_totals
 from tidewatch.functions.special import chi_square_p
 from tidewatch.roles import DriftLimits, Roles
 from tidewatch.session import attach, materialize, ratio
@@ -359,3 +360,45 @@ def drift_trend(reports: DataFrame, roles: Roles, recent: int = 5, k: int = 5) -
         .withColumn("most_frequent_affected_features", listed.select(F.col("f.feature")).scalar())
     )
 
+
+
+def ks_statistic(df: DataFrame, roles: Roles, reference: int | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance of every batch to the reference batch, per column.
+
+    Between two neighbouring values of a batch only the reference curve moves, and it only rises, so
+    the largest gap is found at or just below a value of the batch. Both curves are running totals
+    over distinct values.
+    """
+    reference = first_batch(df, roles) if reference is None else reference
+    columns = [c for c in (columns or roles.monitored_numeric) if c in df.columns]
+    doubles = [F.col(c).cast("double").alias(c) for c in columns]
+    cells = df.select(*roles.by, *doubles).unpivot(roles.by, columns, "column", "value").where("value is not null")
+    counted = materialize(cells.groupBy(*roles.by, "column", "value").agg(F.count(F.lit(1)).alias("n")))
+    in_reference = F.coalesce(F.sum(F.when(F.col(roles.batch) == reference, F.col("n"))), F.lit(0))
+    points = counted.groupBy("column", "value").agg(in_reference.alias("ref"))
+    curve = running_totals(points, ["value"], {"ref_below": "ref"}, by=["column"])
+    own = running_totals(counted, ["value"], {"below": "n"}, by=[*roles.by, "column"])
+    sizes = counted.groupBy(*roles.by, "column").agg(F.sum("n").alias("size"))
+    ref_sizes = counted.where(F.col(roles.batch) == reference).groupBy("column").agg(F.sum("n").alias("ref_size"))
+    joined = own.join(curve, ["column", "value"]).join(sizes, [*roles.by, "column"]).join(F.broadcast(ref_sizes), "column")
+    under = F.abs(F.col("below") / F.col("size") - F.col("ref_below") / F.col("ref_size"))
+    at = F.abs((F.col("below") + F.col("n")) / F.col("size") - (F.col("ref_below") + F.col("ref")) / F.col("ref_size"))
+    return joined.groupBy(*roles.by, "column").agg(F.max(F.greatest(under, at)).alias("ks"))
+
+
+def effect_size(df: DataFrame, roles: Roles, reference: int | None = None, minimum: float = 0.1) -> DataFrame:
+    """Cohen's d of every batch against the reference batch, with the pooled sample deviation."""
+    reference = first_batch(df, roles) if reference is None else reference
+    columns = [c for c in roles.monitored_numeric if c in df.columns]
+    stats = [
+        F.struct(F.lit(c).alias("column"), F.avg(c).alias("mean"), F.var_samp(c).alias("var"), F.count(c).alias("n")) for c in columns
+    ]
+    table = materialize(df.groupBy(*roles.by).agg(F.array(*stats).alias("s")).select(*roles.by, F.inline("s")))
+    pinned = table.where(F.col(roles.batch) == reference).select(
+        "column", F.col("mean").alias("mean_ref"), F.col("var").alias("var_ref"), F.col("n").alias("n_ref")
+    )
+    joined = table.join(F.broadcast(pinned), "column")  # one row per monitored column
+    freedom = F.col("n") + F.col("n_ref") - 2
+    pooled = F.when(freedom > 0, F.sqrt(((F.col("n") - 1) * F.col("var") + (F.col("n_ref") - 1) * F.col("var_ref")) / freedom))
+    d = F.when(pooled > 0, (F.col("mean") - F.col("mean_ref")) / pooled).otherwise(0.0)
+    return joined.select(*roles.by, "column", d.alias("cohen_d"), (F.abs(d) >= minimum).alias("meaningful"))

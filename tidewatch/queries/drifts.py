@@ -207,3 +207,29 @@ def drift_trend(spark: SparkSession, folder: str) -> DataFrame:
 )
 def drift_latest(spark: SparkSession, folder: str) -> DataFrame:
     return drift.latest(_reports(spark, folder), FIXTURE).select("batch_num", "drift_detected", "quality_issues")
+
+
+@query(
+    "ks_two_sample",
+    f"""WITH {sql.POLICIES}, long AS ({sql.cells("policies", sql.MONITORED)}), v AS (SELECT * FROM long WHERE v IS NOT NULL),
+    cur AS (SELECT batch_num, col, v, count(*) AS n FROM v GROUP BY 1, 2, 3),
+    pts AS (SELECT DISTINCT k.batch_num, c.col, c.v FROM (SELECT DISTINCT batch_num FROM cur) k JOIN cur c ON c.batch_num IN (1, k.batch_num)),
+    f AS (SELECT p.batch_num, p.col, sum(coalesce(a.n, 0)) OVER w::DOUBLE / sum(coalesce(a.n, 0)) OVER (PARTITION BY p.batch_num, p.col) AS fa,
+      sum(coalesce(b.n, 0)) OVER w::DOUBLE / sum(coalesce(b.n, 0)) OVER (PARTITION BY p.batch_num, p.col) AS fb
+      FROM pts p LEFT JOIN cur a ON a.batch_num = p.batch_num AND a.col = p.col AND a.v = p.v LEFT JOIN cur b ON b.batch_num = 1 AND b.col = p.col AND b.v = p.v
+      WINDOW w AS (PARTITION BY p.batch_num, p.col ORDER BY p.v))
+    SELECT batch_num, col AS "column", round(max(abs(fa - fb)), 6) AS ks FROM f GROUP BY 1, 2""",
+)
+def ks_two_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(drift.ks_statistic(policies(spark, folder), FIXTURE, 1), "ks")
+
+
+@query(
+    "cohen_d",
+    f"""WITH {sql.POLICIES}, long AS ({sql.cells("policies", sql.MONITORED)}),
+    s AS (SELECT batch_num, col, avg(v) AS m, var_samp(v) AS s2, count(v) AS n FROM long GROUP BY 1, 2),
+    d AS (SELECT a.batch_num, a.col, (a.m - r.m) / sqrt(((a.n - 1) * a.s2 + (r.n - 1) * r.s2) / (a.n + r.n - 2)) AS d FROM s a JOIN s r ON r.batch_num = 1 AND r.col = a.col)
+    SELECT batch_num, col AS "column", round(d, 5) AS cohen_d, abs(d) >= 0.1 AS meaningful FROM d""",
+)
+def cohen_d(spark: SparkSession, folder: str) -> DataFrame:
+    return drift.effect_size(policies(spark, folder), FIXTURE, 1).withColumn("cohen_d", F.round("cohen_d", 5))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name on the shared checkpoint storage."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+
+
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """The same, with the row count taken while writing."""
     ensure_checkpoint_dir(df.sparkSession)

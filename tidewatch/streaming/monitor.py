@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.features import LABEL, add_label
+from tidewatch.operators.profile import batch_profile
 from tidewatch.operators.registry import Registry
 from tidewatch.plans import jobs
 from tidewatch.roles import Limits, Roles
+from tidewatch.sources import sinks
 from tidewatch.sources.files import text_schema
 
 
@@ -57,6 +59,22 @@ def monitor(
     return each_batch(stream, work, checkpoint, once)
 
 
+def profile_stream(stream: DataFrame, roles: Roles, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Row counts and data quality per batch number as a stateful aggregate.
+
+    Counts merge, so a batch may arrive in any number of files and micro-batches. The state holds one
+    row per batch; each trigger rewrites only the batches it touched.
+    """
+
+    def work(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            sinks.write_reports(df, path, roles)
+
+    profiled = batch_profile(stream, roles)
+    writer = profiled.writeStream.outputMode("update").foreachBatch(work).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def score_stream(stream: DataFrame, roles: Roles, registry: Registry, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Score a stream with the champion and append it as parquet; a narrow, stateless query."""
     scored = jobs.score_batches(stream, roles, registry)
