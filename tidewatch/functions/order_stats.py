@@ -34,7 +34,7 @@ def quantiles(
     """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
     if largest is None:
-        largest = largest_group(df, by)
+        largest, _ = group_sizes(df, by)
     if largest <= in_task:
         return _aggregated(df, by, columns, probs).unpivot(by, columns, "column", "q").where("q is not null")
     keys = by + ["column"]
@@ -52,7 +52,7 @@ def kth_smallest(
     """
     by = list(by)
     if largest is None:
-        largest = largest_group(df, by)
+        largest, _ = group_sizes(df, by)
     if largest <= in_task:
         sorted_values = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.col(column).cast("double"))).alias("_v"))
         wanted = sorted_values.withColumn("_k", k(F.size("_v")).cast("int")).where("_k >= 1")
@@ -73,7 +73,7 @@ def wide_quantiles(
     """The same in one row per group, with one array column per input column."""
     by, columns = list(by), list(columns)
     if largest is None:
-        largest = largest_group(df, by)
+        largest, _ = group_sizes(df, by)
     if largest <= in_task:
         return _aggregated(df, by, columns, probs)
     long = quantiles(df, by, columns, probs, largest, in_task)
@@ -86,9 +86,11 @@ def _aggregated(df: DataFrame, by: list[str], columns: list[str], probs: Sequenc
     return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in columns])
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group, and number of groups."""
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    largest, groups = sizes.agg(F.max("n"), F.count(F.lit(1))).first()
+    return largest or 0, groups
 
 
 def _long(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:

@@ -66,7 +66,7 @@ def _impute_numeric(df: DataFrame, by: list[str], columns: list[str], method: st
     df = materialize(df)
     per_group = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in columns])
     missing = [F.max(F.col("_n") - F.col(c)).alias(c) for c in columns]
-    found = per_group.agg(F.max("_n").alias("_n"), *missing).first()
+    found = per_group.agg(F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_groups"), *missing).first()
     gaps = [c for c in columns if (found[c] or 0) > 0]
     if not gaps:
         return df
@@ -76,7 +76,7 @@ def _impute_numeric(df: DataFrame, by: list[str], columns: list[str], method: st
     else:
         stats = df.groupBy(*by).agg(*[F.avg(c).alias(f"_fill_{c}") for c in gaps])
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill_{c}")) for c in gaps}
-    return attach(df, stats, by).select(*[filled.get(c, F.col(c)).alias(c) for c in df.columns])
+    return attach(df, stats, by, found["_groups"]).select(*[filled.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
 def clean(df: DataFrame, roles: Roles, cleaning: Cleaning = Cleaning()) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.coerce import as_label, numeric_columns
-from tidewatch.functions.order_stats import quantiles
+from tidewatch.functions.order_stats import group_sizes, quantiles
 from tidewatch.functions.running import running_totals
 from tidewatch.functions.special import chi_square_p
 from tidewatch.roles import DriftLimits, Roles
@@ -55,10 +55,10 @@ def categorical_shares(df: DataFrame, roles: Roles, columns: Sequence[str] | Non
     return joined.withColumn("share", F.col("n") / F.col("total"))
 
 
-def quartile_table(df: DataFrame, roles: Roles, columns: Sequence[str]) -> DataFrame:
+def quartile_table(df: DataFrame, roles: Roles, columns: Sequence[str], largest: int | None = None) -> DataFrame:
     """``batch, column, q1, q3`` of the given numbers."""
     by = [c for c in roles.by if c in df.columns]
-    found = quantiles(df, by, columns, QUARTILES)
+    found = quantiles(df, by, columns, QUARTILES, largest)
     return found.select(*by, "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
 
 
@@ -154,7 +154,8 @@ def outlier_counts(df: DataFrame, roles: Roles, quartiles: DataFrame | None = No
     """Cells outside the batch's own Tukey fences, summed over all numeric columns."""
     by = [c for c in roles.by if c in df.columns]
     columns = numeric_columns(df, by)
-    quartiles = quartile_table(df, roles, columns) if quartiles is None else quartiles
+    largest, groups = group_sizes(df, by)
+    quartiles = quartile_table(df, roles, columns, largest) if quartiles is None else quartiles
     reach = (F.col("q3") - F.col("q1")) * limits.whisker
     fences = quartiles.where(F.col("column").isin(columns)).groupBy(*by).agg(
         F.map_from_entries(
@@ -162,7 +163,7 @@ def outlier_counts(df: DataFrame, roles: Roles, quartiles: DataFrame | None = No
         ).alias("_fences")
     )
     wide = [F.col("_fences")[c][side].alias(f"_{side}_{i}") for i, c in enumerate(columns) for side in ("low", "high")]
-    joined = attach(df.select(*by, *columns), fences.select(*by, *wide), by)
+    joined = attach(df.select(*by, *columns), fences.select(*by, *wide), by, groups)
 
     def outside(i: int, c: str) -> Column:
         return F.when((F.col(c) < F.col(f"_low_{i}")) | (F.col(c) > F.col(f"_high_{i}")), 1).otherwise(0)

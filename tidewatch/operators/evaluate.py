@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.running import running_totals
-from tidewatch.session import attach, ratio
+from tidewatch.session import ratio
 
 EPSILON = 1e-8
 
@@ -75,21 +75,26 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Seque
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """The five standard metrics together."""
     by = list(by)
-    return attach(binary_metrics(df, label, prediction, by), roc_auc(df, label, score, by), by)
+    return _beside(binary_metrics(df, label, prediction, by), roc_auc(df, label, score, by), by)
+
+
+def _beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Join two tables of one row per group."""
+    return left.join(right, by) if by else left.withColumns({c: right.select(c).scalar() for c in right.columns})
 
 
 def batch_performance(df: DataFrame, by: Sequence[str], label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows, accuracy and weighted F1 per batch, for prequential monitoring."""
     right = F.avg((F.col(label) == F.col(prediction)).cast("double"))
     accuracy = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), right.alias("accuracy"))
-    return attach(accuracy, weighted_f1(df, label, prediction, by).withColumnRenamed("weighted_f1", "f1"), list(by))
+    return _beside(accuracy, weighted_f1(df, label, prediction, by).withColumnRenamed("weighted_f1", "f1"), list(by))
 
 
 def metric_drift(current: DataFrame, reference: DataFrame, threshold: float = 0.1, by: Sequence[str] = ()) -> DataFrame:
     """Relative change of every metric both tables (``metric, value``) have."""
     by = list(by)
     pinned = reference.select("metric", F.col("value").alias("reference"))
-    joined = attach(current, pinned, ["metric"], "inner")
+    joined = current.join(F.broadcast(pinned), "metric")  # one row per metric
     change = F.abs(F.col("value") - F.col("reference")) / (F.abs("reference") + EPSILON)
     return joined.select(*by, "metric", "reference", "value", change.alias("relative_change"), (change > threshold).alias("drifted"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.coerce import as_label, day_difference
 from tidewatch.functions.hashing import key_hash
-from tidewatch.functions.order_stats import quantiles, wide_quantiles
+from tidewatch.functions.order_stats import group_sizes, quantiles, wide_quantiles
 from tidewatch.functions.running import running_totals
 from tidewatch.roles import POLICY_DROPPED, Roles
 from tidewatch.session import attach, materialize, sized
@@ -119,26 +119,30 @@ def stratified_split(df: DataFrame, key: str, label: str = LABEL, test_share: fl
     are partitioned, and no class is sorted in one task.
     """
     hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
-    limit = wide_quantiles(hashed, [label], ["_hash"], [test_share]).select(label, F.col("_hash")[0].alias("_limit"))
-    return attach(hashed, limit, [label]).withColumn("is_test", F.col("_hash") <= F.col("_limit")).drop("_hash", "_limit")
+    largest, classes = group_sizes(hashed, [label])
+    limit = wide_quantiles(hashed, [label], ["_hash"], [test_share], largest).select(label, F.col("_hash")[0].alias("_limit"))
+    return attach(hashed, limit, [label], classes).withColumn("is_test", F.col("_hash") <= F.col("_limit")).drop("_hash", "_limit")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str = LABEL, folds: int = 3, seed: int = 42) -> DataFrame:
     """Add ``fold`` (0 ..): equal hash ranges inside every class."""
     hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
     cuts = [i / folds for i in range(1, folds)]
-    limits = wide_quantiles(hashed, [label], ["_hash"], cuts).select(label, F.col("_hash").alias("_limits"))
-    placed = attach(hashed, limits, [label])
+    largest, classes = group_sizes(hashed, [label])
+    limits = wide_quantiles(hashed, [label], ["_hash"], cuts, largest).select(label, F.col("_hash").alias("_limits"))
+    placed = attach(hashed, limits, [label], classes)
     fold = F.size(F.filter("_limits", lambda limit: F.col("_hash") > limit))
     return placed.withColumn("fold", fold).drop("_hash", "_limits")
 
 
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """``label, n, weight`` with weight = rows / (classes * rows of the class)."""
-    counted = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
-    total, classes = counted.agg(F.sum("n"), F.count(F.lit(1))).first()
-    return counted.withColumn("weight", F.lit(float(total or 0)) / (F.lit(float(classes)) * F.col("n")))
+    counted = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.agg(F.struct(F.sum("n").cast("double").alias("rows"), F.count(F.lit(1)).alias("classes")).alias("t")).scalar()
+    weighted = counted.withColumn("_t", totals)
+    return weighted.select(label, "n", (F.col("_t.rows") / (F.col("_t.classes") * F.col("n"))).alias("weight"))
 
 
 def add_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
-    return attach(df, class_weights(df, label).select(label, "weight"), [label])
+    weights = class_weights(df, label).select(label, "weight")
+    return df.join(F.broadcast(weights), label, "left")  # one row per class

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.coerce import numeric_columns, string_columns
 from tidewatch.operators.drift import outlier_counts
 from tidewatch.roles import Roles
-from tidewatch.session import attach, materialize, ratio
+from tidewatch.session import materialize, ratio
 
 # Default limits and weights.
 THRESHOLDS = {"accuracy": 0.7, "f1": 0.65, "inference_time": 1.0}
@@ -82,7 +82,8 @@ def data_characteristics(df: DataFrame, roles: Roles, outliers: DataFrame | None
     columns = [c for c in df.columns if c not in by]
     zeros = sum((F.count(F.when(F.col(c) == 0, 1)) for c in numeric), F.lit(0))
     counted = df.groupBy(*by).agg((F.count(F.lit(1)) * len(numeric)).alias("_cells"), zeros.alias("_zeros"))
-    joined = attach(counted, outlier_counts(df, roles) if outliers is None else outliers, by)
+    outliers = outlier_counts(df, roles) if outliers is None else outliers
+    joined = counted.join(outliers, by) if by else counted.withColumn("outliers", outliers.scalar())
     return joined.select(
         *by,
         ratio(F.col("_zeros"), F.col("_cells")).alias("sparse_data"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.hashing import key_hash
-from tidewatch.functions.order_stats import kth_smallest
+from tidewatch.functions.order_stats import group_sizes, kth_smallest
 from tidewatch.roles import Roles
 from tidewatch.session import attach
 
@@ -20,8 +20,9 @@ def _chosen(df: DataFrame, roles: Roles, key: str, strength: float, start: int,
     """
     hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
     active = hashed.where(F.col(roles.batch) >= start)
-    limit = kth_smallest(active, roles.by, "_hash", lambda n: F.floor(n * F.lit(strength)))
-    joined = attach(hashed, limit.withColumnRenamed("kth", "_limit"), roles.by)
+    largest, groups = group_sizes(active, roles.by)
+    limit = kth_smallest(active, roles.by, "_hash", lambda n: F.floor(n * F.lit(strength)), largest)
+    joined = attach(hashed, limit.withColumnRenamed("kth", "_limit"), roles.by, groups)
     return joined.withColumn("_chosen", F.coalesce(F.col("_hash") <= F.col("_limit"), F.lit(False)))
 
 

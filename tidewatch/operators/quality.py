@@ -116,7 +116,14 @@ FLAGS = ("too_many_missing", "too_many_duplicates", "too_many_bad_dates", "too_m
 def dq_report(
     df: DataFrame, roles: Roles, limits: QualityLimits = QualityLimits(), cleaning: Cleaning = Cleaning()
 ) -> DataFrame:
-    """Metrics and flags before and after cleaning: ``batch, before, after, flags_before, flags_after``.
+    """Metrics and flags before and after cleaning: ``batch, before, after, flags_before, flags_after``."""
+    return clean_with_report(df, roles, limits, cleaning)[1]
+
+
+def clean_with_report(
+    df: DataFrame, roles: Roles, limits: QualityLimits = QualityLimits(), cleaning: Cleaning = Cleaning()
+) -> tuple[DataFrame, DataFrame]:
+    """The cleaned rows, and the report on both sides of the cleaning.
 
     The collapsed rows are written once and serve as both the "before" input and the de-duplicated
     start of the cleaning. Batches that cleaning empties keep their "before" side.
@@ -128,10 +135,10 @@ def dq_report(
         start = rows.drop(COPIES)
     else:
         start = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(COPIES)))).drop(COPIES, "_copy")
-    cleaned = clean(start, roles, replace(cleaning, drop_duplicates=False))
+    cleaned = clean(start, roles, replace(cleaning, drop_duplicates=False)).select(*df.columns)
     after = _packed(quality_flags(dq_metrics(cleaned, roles), limits), by, "after")
     joined = before.join(after, by, "left") if by else before.join(after, how="inner")
-    return joined.select(*by, "before", "after", "flags_before", "flags_after")
+    return cleaned, joined.select(*by, "before", "after", "flags_before", "flags_after")
 
 
 def _packed(metrics: DataFrame, by: list[str], when: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.coerce import as_label, day_difference, split_items
-from tidewatch.functions.order_stats import wide_quantiles
+from tidewatch.functions.order_stats import group_sizes, wide_quantiles
 from tidewatch.roles import Mining, Roles, RuleLimits
 from tidewatch.session import attach, materialize, ratio, sized, spread
 
@@ -49,16 +49,17 @@ def transactions(df: DataFrame, roles: Roles, mining: Mining = Mining()) -> Data
         items.append(F.when(days >= roles.long_days, F.lit(roles.long_item)))
     if mining.include_target and roles.target in columns:
         items.append(F.when(F.col(roles.target) > 0, F.lit(roles.target_item)))
+    largest, groups = group_sizes(df, by) if high or hot else (0, 0)
     if high:
-        stats = wide_quantiles(df, by, sorted({c for _, c in high}), [0.75])
+        stats = wide_quantiles(df, by, sorted({c for _, c in high}), [0.75], largest)
         stats = stats.select(*by, *[F.col(c)[0].alias(f"_q_{c}") for c in sorted({c for _, c in high})])
-        df = attach(df, stats, by)
+        df = attach(df, stats, by, groups)
         items += [F.when(F.col(c) >= F.col(f"_q_{c}"), F.lit(name)) for name, c in high]
     if hot:
         kept = top_values(df, roles, mining.top_k_values)
         label = F.concat("column", F.lit("="), "value")
         kept = kept.groupBy(*by).agg(F.collect_list(label).alias("_hot"))
-        df = attach(df, kept, by)
+        df = attach(df, kept, by, groups)
         for c in hot:
             named = F.concat(F.lit(f"{c}="), as_label(df, c))
             items.append(F.when(F.array_contains("_hot", named), named))

@@ -59,7 +59,8 @@ def analyze(df: DataFrame, roles: Roles, reference: DataFrame, reference_rules:
 
     ``reference`` holds the rows of the pinned reference batch; its batch number may be in ``df``.
     """
-    cleaned = materialize(clean(df, roles, limits.cleaning))
+    cleaned, dq = quality.clean_with_report(df, roles, limits.quality, limits.cleaning)
+    cleaned = materialize(cleaned)
     found = rules.baskets(df, roles, limits.mining)
     checked = rules.recheck(found, reference_rules, roles, limits.rules)
     pinned = drift.first_batch(reference, roles)
@@ -72,7 +73,7 @@ def analyze(df: DataFrame, roles: Roles, reference: DataFrame, reference_rules:
         limits.mining.min_lift,
     )
     return Analysis(
-        dq=quality.dq_report(df, roles, limits.quality, limits.cleaning),
+        dq=dq,
         checked=checked,
         consistency=rules.consistency(checked, roles),
         drift=reports,

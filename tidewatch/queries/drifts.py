@@ -18,14 +18,14 @@ PINNED = "batch_num = 1"
     "ref_numeric",
     f"WITH {sql.POLICIES} "
     + " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, min({c})::DOUBLE AS "min", max({c})::DOUBLE AS "max",
+        f"""SELECT '{c}' AS "column", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c})::DOUBLE AS "min", max({c})::DOUBLE AS "max",
         count({c}) AS n_samples FROM policies WHERE batch_num = 1"""
         for c in sql.MONITORED
     ),
 )
 def ref_numeric(spark: SparkSession, folder: str) -> DataFrame:
     found = drift.numeric_reference(policies(spark, folder).where(PINNED), FIXTURE)
-    return found.withColumn("mean", F.round("mean", 4)).withColumn("std", F.round("std", 4))
+    return found.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
 
 
 @query(

@@ -88,10 +88,10 @@ def _profile_sql() -> str:
 @query(
     "column_profile",
     f"""WITH {sql.POLICIES}, {_profile_sql()} SELECT batch_num, ordinal, column_name, data_type, null_count, unique_count, min_value, max_value,
-    round(mean_value, 4) AS mean_value FROM prof""",
+    round(mean_value, 6) AS mean_value FROM prof""",
 )
 def column_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.column_profile(policies(spark, folder), FIXTURE).withColumn("mean_value", F.round("mean_value", 4))
+    return profile.column_profile(policies(spark, folder), FIXTURE).withColumn("mean_value", F.round("mean_value", 6))
 
 
 @query(
@@ -248,9 +248,9 @@ def clean_impute(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "clean_impute_mean",
-    f"""WITH {sql.POLICIES}, {sql.KEPT} SELECT object_id, batch_num, round(coalesce(premium, avg(premium) OVER (PARTITION BY batch_num)), 4) AS premium,
-    round(coalesce(prod_year::DOUBLE, avg(prod_year) OVER (PARTITION BY batch_num)), 4) AS prod_year FROM blanked""",
+    f"""WITH {sql.POLICIES}, {sql.KEPT} SELECT object_id, batch_num, round(coalesce(premium, avg(premium) OVER (PARTITION BY batch_num)), 6) AS premium,
+    round(coalesce(prod_year::DOUBLE, avg(prod_year) OVER (PARTITION BY batch_num)), 6) AS prod_year FROM blanked""",
 )
 def clean_impute_mean(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = clean.clean(policies(spark, folder), FIXTURE, Cleaning(impute_numeric="mean"))
-    return cleaned.select("object_id", "batch_num", F.round("premium", 4).alias("premium"), F.round("prod_year", 4).alias("prod_year"))
+    return cleaned.select("object_id", "batch_num", F.round("premium", 6).alias("premium"), F.round("prod_year", 6).alias("prod_year"))

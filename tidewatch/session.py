@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,11 +55,9 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """The same, with the row count taken while writing."""
-    ensure_checkpoint_dir(df.sparkSession)
-    seen = Observation()
-    written = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    return written, seen.get["n"]
+    """The same, with the number of rows written."""
+    written = materialize(df)
+    return written, written.count()
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -87,25 +85,27 @@ def row_width(schema: T.StructType) -> int:
 
 
 def sized(stats: DataFrame, rows: int | None = None) -> DataFrame:
-    """Mark an already materialised table for broadcast if its counted size allows it."""
+    """Mark a table for broadcast if its counted size allows it."""
     rows = stats.count() if rows is None else rows
     if rows * row_width(stats.schema) <= BROADCAST_BYTES:
         return F.broadcast(stats)
     return stats
 
 
-def attach(rows: DataFrame, stats: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join per-group statistics onto rows.
+def attach(rows: DataFrame, stats: DataFrame, keys: list[str], groups: int | None = None) -> DataFrame:
+    """Left-join per-group statistics onto rows.
 
-    The statistics are written and counted first. A small table is broadcast, so the rows are not
-    shuffled; a large one is left to a shuffled join, where adaptive execution splits hot keys.
-    Without keys the single statistics row becomes literals.
+    ``groups`` is the number of groups if a count of them was already made; otherwise the statistics
+    are written and counted first. A small table is broadcast, so the rows are not shuffled; a large
+    one is left to a shuffled join, where adaptive execution splits hot keys. Without keys the single
+    statistics row becomes literals.
     """
     if not keys:
         row = stats.first()
         return rows.withColumns({c: F.lit(row[c]).cast(stats.schema[c].dataType) for c in stats.columns})
-    written, n = materialize_counted(stats)
-    return rows.join(sized(written, n), keys, how)
+    if groups is None:
+        stats, groups = materialize_counted(stats)
+    return rows.join(sized(stats, groups), keys, "left")
 
 
 def ratio(part: Column, whole: Column, empty: float = 0.0) -> Column:
