@@ -137,7 +137,7 @@ def clean_with_report(
         start = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(COPIES)))).drop(COPIES, "_copy")
     cleaned = clean(start, roles, replace(cleaning, drop_duplicates=False)).select(*df.columns)
     after = _packed(quality_flags(dq_metrics(cleaned, roles), limits), by, "after")
-    joined = before.join(after, by, "left") if by else before.join(after, how="inner")
+    joined = before.join(after, by, "left") if by else before.withColumns({c: after.select(c).scalar() for c in after.columns})
     return cleaned, joined.select(*by, "before", "after", "flags_before", "flags_after")
 
 
