@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from tidewatch.session import local_session
 
-    session = local_session("tidewatch-tests", partitions=4)
+    session = local_session("tidewatch-tests", cores="4", partitions=2)
     yield session
     session.stop()
 

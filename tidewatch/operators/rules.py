@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.coerce import as_label, day_difference, split_items
 from tidewatch.functions.order_stats import group_sizes, wide_quantiles
 from tidewatch.roles import Mining, Roles, RuleLimits
-from tidewatch.session import attach, materialize, ratio, sized, spread
+from tidewatch.session import attach, materialize, materialize_counted, ratio, sized, spread
 
 # With more basket subsets than this per core, sets are grown level by level instead.
 MAX_SUBSETS = 10_000_000
@@ -107,7 +107,9 @@ def itemsets(found: DataFrame, roles: Roles, min_support: float, max_subsets: in
     subsets_in_all, most_items = kept.agg(F.sum(F.pow(F.lit(2.0), F.size("items"))), F.max(F.size("_frequent"))).first()
     allowed = max_subsets * kept.sparkSession.sparkContext.defaultParallelism
     if (subsets_in_all or 0) > allowed or (most_items or 0) > MASK_BITS:
-        return _grown(kept.drop("_frequent"), by, min_support)
+        grown = _grown(kept, by, min_support)
+        named = F.transform("set", lambda at: F.element_at("_frequent", at))
+        return attach(grown, listed, by).select(*by, "n_rows", named.alias("itemset"), "n")
     bits = F.transform("items", lambda item: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.array_position("_frequent", item).cast("int") - 1))
     masks = F.aggregate(
         bits, F.array(F.lit(0).cast("bigint")), lambda sets, bit: F.concat(sets, F.transform(sets, lambda s: s.bitwiseOR(bit)))
@@ -123,26 +125,28 @@ def _enough(min_support: float) -> Column:
 
 
 def _grown(kept: DataFrame, by: list[str], min_support: float) -> DataFrame:
-    """Level-wise growth: extend each frequent set by the items that follow its last one."""
-    none = F.array().cast("array<string>")
-    open_sets = kept.select(*by, "n_rows", "n", none.alias("itemset"), F.col("items").alias("rest"))
+    """Level-wise growth: ``set`` and ``rest`` are positions among the batch's frequent items, and a set
+    is extended by every later position its basket has. Only baskets of frequent sets go on."""
+    none = F.array().cast("array<int>")
+    positions = F.transform("items", lambda item: F.array_position("_frequent", item).cast("int"))
+    open_sets = spread(kept).select(*by, "n_rows", "n", none.alias("set"), positions.alias("rest"))
     levels = []
     while True:
-        longer = open_sets.select(*by, "n_rows", "n", "itemset", "rest", F.posexplode("rest").alias("at", "item")).select(
+        exploded = open_sets.select(*by, "n_rows", "n", "set", "rest", F.posexplode("rest").alias("at", "next"))
+        longer = exploded.select(
             *by,
             "n_rows",
             "n",
-            F.array_append("itemset", F.col("item")).alias("itemset"),
+            F.array_append("set", F.col("next")).alias("set"),
             F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"),
         )
-        longer = materialize(longer.groupBy(*by, "n_rows", "itemset", "rest").agg(F.sum("n").alias("n")))
-        level = materialize(longer.groupBy(*by, "n_rows", "itemset").agg(F.sum("n").alias("n")).where(_enough(min_support)))
-        count = level.count()
+        level, count = materialize_counted(longer.groupBy(*by, "n_rows", "set").agg(F.sum("n").alias("n")).where(_enough(min_support)))
+        levels.append(level)
         if count == 0:
             break
-        levels.append(level)
-        open_sets = longer.join(sized(level.select(*by, "itemset"), count), by + ["itemset"], "left_semi")
-    result = levels[0] if levels else level
+        going_on = longer.where(F.size("rest") > 0)
+        open_sets = materialize(going_on.join(sized(level.select(*by, "set"), count), by + ["set"], "left_semi"))
+    result = levels[0]
     for level in levels[1:]:
         result = result.unionByName(level)
     return result
