@@ -150,12 +150,18 @@ def missing_ratios(df: DataFrame, roles: Roles) -> DataFrame:
     return counted.select(*by, "n_rows", ratio(cells - F.col("_filled"), cells).alias("missing_ratio"))
 
 
-def outlier_counts(df: DataFrame, roles: Roles, quartiles: DataFrame | None = None, limits: DriftLimits = DriftLimits()) -> DataFrame:
-    """Cells outside the batch's own Tukey fences, summed over all numeric columns."""
+def outlier_counts(
+    df: DataFrame, roles: Roles, quartiles: DataFrame | None = None, limits: DriftLimits = DriftLimits(), groups: int | None = None
+) -> DataFrame:
+    """Cells outside the batch's own Tukey fences, summed over all numeric columns.
+
+    ``groups`` is the number of batches, if known.
+    """
     by = [c for c in roles.by if c in df.columns]
     columns = numeric_columns(df, by)
-    largest, groups = group_sizes(df, by)
-    quartiles = quartile_table(df, roles, columns, largest) if quartiles is None else quartiles
+    if quartiles is None or groups is None:
+        largest, groups = group_sizes(df, by)
+        quartiles = quartile_table(df, roles, columns, largest) if quartiles is None else quartiles
     reach = (F.col("q3") - F.col("q1")) * limits.whisker
     fences = quartiles.where(F.col("column").isin(columns)).groupBy(*by).agg(
         F.map_from_entries(
@@ -172,10 +178,17 @@ def outlier_counts(df: DataFrame, roles: Roles, quartiles: DataFrame | None = No
     return joined.groupBy(*by).agg(F.sum(counts).alias("outliers"))
 
 
-def quality_drift(df: DataFrame, roles: Roles, reference: int | None = None, limits: DriftLimits = DriftLimits(), quartiles: DataFrame | None = None) -> DataFrame:
+def quality_drift(
+    df: DataFrame,
+    roles: Roles,
+    reference: int | None = None,
+    limits: DriftLimits = DriftLimits(),
+    quartiles: DataFrame | None = None,
+    groups: int | None = None,
+) -> DataFrame:
     """Change of the missing ratio and of the outlier count against the reference batch."""
     reference = first_batch(df, roles) if reference is None else reference
-    joined = missing_ratios(df, roles).join(outlier_counts(df, roles, quartiles, limits), roles.by)
+    joined = missing_ratios(df, roles).join(outlier_counts(df, roles, quartiles, limits, groups), roles.by)
     measured = materialize(joined)
     pinned = measured.where(F.col(roles.batch) == reference).select(F.struct("missing_ratio", "outliers")).scalar()
     missing = F.abs(F.col("missing_ratio") - F.col("_ref.missing_ratio"))
@@ -263,9 +276,10 @@ def detect(df: DataFrame, roles: Roles, reference: int | None = None, limits: Dr
     """
     reference = first_batch(df, roles) if reference is None else reference
     numeric = numeric_columns(df, roles.by)
-    quartiles = materialize(quartile_table(df, roles, numeric)) if numeric else None
+    largest, groups = group_sizes(df, roles.by)
+    quartiles = materialize(quartile_table(df, roles, numeric, largest)) if numeric else None
     features = covariate(feature_scores(df, roles, reference, limits, on, quartiles), roles)
-    quality = quality_drift(df, roles, reference, limits, quartiles)
+    quality = quality_drift(df, roles, reference, limits, quartiles, groups)
     joined = quality.join(features.withColumnsRenamed({"drifted": "_covariate", "confidence": "_confidence"}), roles.by, "left")
     if roles.target in df.columns:
         shares = materialize(categorical_shares(df, roles, [roles.target]))

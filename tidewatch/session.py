@@ -22,6 +22,7 @@ def local_session(app: str = "tidewatch", cores: str = "*", partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
