@@ -47,53 +47,50 @@ def collapsed_metrics(rows: DataFrame, roles: Roles) -> DataFrame:
     by = [c for c in roles.by if c in rows.columns]
     columns = [c for c in rows.columns if c not in by and c != COPIES]
     checks = invalid_checks(rows, roles)
-
-    def hits(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col(COPIES)).otherwise(0))
-
-    counted = {f"_null_{i}": hits(F.col(c).isNull()) for i, c in enumerate(columns)}
-    counted |= {f"_bad_{i}": hits(check) for i, check in enumerate(checks.values())}
     dated = roles.begin in columns and roles.end in columns
-    if dated:
-        counted["_order"] = hits(F.col(roles.begin) > F.col(roles.end))
-    aggregated = rows.groupBy(*by).agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias("_repeats"),
-        *[F.coalesce(value, F.lit(0)).alias(name) for name, value in counted.items()],
-    )
 
-    n = F.col("n_rows")
-    nulls = {c: F.col(f"_null_{i}") for i, c in enumerate(columns)}
-    all_nulls = sum(nulls.values(), F.lit(0))
-    invalid = {name: ratio(F.col(f"_bad_{i}"), n) for i, name in enumerate(checks)}
+    counted = [f"sum(if({quoted(c)} IS NULL, {COPIES}, 0)) AS _null_{i}" for i, c in enumerate(columns)]
     if dated:
-        parts = [F.col("_order"), nulls[roles.begin], nulls[roles.end]]
-        bad_date = F.greatest(*[ratio(part, n) for part in parts])
-    else:
-        bad_date = F.lit(0.0)
-    return aggregated.select(
-        *by,
-        n,
-        F.lit(len(columns)).alias("n_cols"),
-        ratio(all_nulls, n * len(columns), 1.0).alias("missing_total_ratio"),
-        _as_map({c: ratio(count, n) for c, count in nulls.items()}).alias("missing_per_column"),
-        ratio(F.col("_repeats"), n).alias("duplicate_ratio"),
-        (ratio(nulls[roles.time], n, 1.0) if roles.time in nulls else F.lit(1.0)).alias("bad_time_ratio"),
-        bad_date.alias("bad_date_ratio"),
-        _largest(list(invalid.values())).alias("invalid_ratio"),
-        _as_map(invalid).alias("invalid_breakdown"),
+        counted.append(f"sum(if({quoted(roles.begin)} > {quoted(roles.end)}, {COPIES}, 0)) AS _order")
+    bad = [F.sum(F.when(check, F.col(COPIES)).otherwise(0)).alias(f"_bad_{i}") for i, check in enumerate(checks.values())]
+    totals = [f"sum({COPIES}) AS n_rows", f"sum({COPIES} - 1) AS _repeats"]
+    aggregated = rows.groupBy(*by).agg(*map(F.expr, totals + counted), *bad)
+    aggregated = aggregated.fillna(0, [c for c in aggregated.columns if c not in by])
+
+    nulls = {c: f"_null_{i}" for i, c in enumerate(columns)}
+    all_nulls = f"({' + '.join(nulls.values()) or '0'})"
+    invalid = {name: _share(f"_bad_{i}") for i, name in enumerate(checks)}
+    dates = [_share(part) for part in ("_order", nulls[roles.begin], nulls[roles.end])] if dated else ["0.0D"]
+    return aggregated.selectExpr(
+        *map(quoted, by),
+        "n_rows",
+        f"{len(columns)} AS n_cols",
+        f"{_share(all_nulls, f'(n_rows * {len(columns)})', 1.0)} AS missing_total_ratio",
+        f"{_as_map({c: _share(count) for c, count in nulls.items()})} AS missing_per_column",
+        f"{_share('_repeats')} AS duplicate_ratio",
+        f"{_share(nulls[roles.time], empty=1.0) if roles.time in nulls else '1.0D'} AS bad_time_ratio",
+        f"array_max(array({', '.join(dates)})) AS bad_date_ratio",
+        f"array_max(array({', '.join(invalid.values()) or '0.0D'})) AS invalid_ratio",
+        f"{_as_map(invalid)} AS invalid_breakdown",
     )
 
 
-def _as_map(values: dict[str, Column]) -> Column:
-    pairs = [part for name, value in values.items() for part in (F.lit(name), value)]
-    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _share(part: str, whole: str = "n_rows", empty: float = 0.0) -> str:
+    return f"if({whole} > 0, cast({part} AS double) / cast({whole} AS double), {empty}D)"
 
 
-def _largest(values: list[Column]) -> Column:
-    if not values:
-        return F.lit(0.0)
-    return values[0] if len(values) == 1 else F.greatest(*values)
+def _as_map(values: dict[str, str]) -> str:
+    """SQL for a map from names to numbers."""
+    pairs = [f"{text(name)}, {value}" for name, value in values.items()]
+    return f"map({', '.join(pairs)})" if pairs else "cast(map() AS map<string, double>)"
 
 
 def quality_flags(metrics: DataFrame, limits: QualityLimits = QualityLimits()) -> DataFrame:
