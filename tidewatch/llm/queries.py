@@ -52,3 +52,10 @@ select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as b
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join covered using (doc_id) left join found using (doc_id)
 """
+
+
+@query
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.simhash import near_duplicates
+
+    return near_duplicates(read_table(spark, folder, "documents"))
