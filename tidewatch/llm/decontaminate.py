@@ -231,7 +231,7 @@ def decontaminate(
     they start with two underscores.
     """
     context = docs.sparkSession.sparkContext
-    added = [T.StructField("__n_words", T.LongType()), T.StructField("__hits", T._parse_datatype_string(_SPANS))]
+    added = T.StructType.fromDDL(f"__n_words bigint, __hits {_SPANS}").fields
     found, earlier = docs, False
     for block in _blocks(benchmark, item, item_text, block_bytes):
         shared = context.broadcast(Phrases(block, window))
@@ -239,7 +239,7 @@ def decontaminate(
         earlier = True
     if not earlier:
         found = found.mapInArrow(_search(context.broadcast(Phrases([], window)), text, False), T.StructType([*docs.schema.fields, *added]))
-    more = T._parse_datatype_string(
+    more = T.StructType.fromDDL(
         "__n_hit bigint, __n_items bigint, __items_sha256 string, __removed array<struct<start:bigint,end:bigint>>, __clean string"
     )
     return found.mapInArrow(_merge(text), T.StructType([*docs.schema.fields, added[0], *more.fields]))

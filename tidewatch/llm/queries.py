@@ -59,3 +59,52 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.simhash import near_duplicates
 
     return near_duplicates(read_table(spark, folder, "documents"))
+
+
+@query
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.secret_scan import BASE, find_secrets, joined_spans
+    from tidewatch.session import scratch_folder
+
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    kinds = [r.kind for r in BASE]
+    found = find_secrets(docs, scratch_folder(spark))
+
+    def of(*names: str):
+        return F.filter("__found", lambda s: s["kind"].isin(*names))
+
+    base = joined_spans(of(*kinds))
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), joined_spans(F.col("__found")).alias("spans"))
+
+
+def _secrets_sql() -> str:
+    from tidewatch.llm.secret_scan import RULES
+
+    parts = []
+    for n, r in enumerate(RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(
+            f"""select doc_id, {n} as place, '{r.kind}' as kind, length(whole) as size, length(judged) >= {r.least} as kept,
+                       gaps + coalesce(before, 0) as start from (
+                select doc_id, whole, judged, sum(length(gap)) over (partition by doc_id order by i) as gaps,
+                       sum(length(whole)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) as before
+                from (select doc_id, generate_subscripts(w, 1) as i, unnest(w) as whole, unnest(j) as judged, unnest(g[:len(w)]) as gap from (
+                    select doc_id, regexp_extract_all(t, '{pattern}', 0) as w, regexp_extract_all(t, '{pattern}', {r.group}) as j,
+                           string_split_regex(t, '{pattern}') as g from d)))"""
+        )
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as ({' union all '.join(parts)}),
+s as (select doc_id, place, kind, start, kind || ':' || cast(start as bigint) || ':' || cast(start + size as bigint) as span from m where kept),
+g as (
+    select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+           string_agg(span, ',' order by start, place) filter (place < 3) as base, string_agg(span, ',' order by start, place) as spans
+    from s group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join g using (doc_id)
+"""
+
+
+ORACLE["op4_secrets"] = _secrets_sql()
