@@ -108,3 +108,10 @@ from d left join g using (doc_id)
 
 
 ORACLE["op4_secrets"] = _secrets_sql()
+
+
+@query
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.mixing import words_taken
+
+    return words_taken(read_table(spark, folder, "documents"))
