@@ -115,3 +115,15 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.mixing import words_taken
 
     return words_taken(read_table(spark, folder, "documents"))
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.rule_quality import THRESHOLD, fit, held_out, score
+
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, read_table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
