@@ -38,15 +38,15 @@ def statistics(text: Column) -> dict[str, Column]:
     chars = F.char_length(t)
     words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     rows = F.filter(F.split(t, r"\n"), lambda w: w != "")
-    plain = F.transform(words, lambda w: F.rtrim(w, F.lit(".,;:!?")))
+    again = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), lambda a, b: a == b)
 
     def share(part: Column, whole: Column) -> Column:
         return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
 
     out = {name: share(F.regexp_count(t, F.lit(pattern)), chars) for name, pattern in CLASSES.items()}
-    out["words"] = F.log1p(F.size(words).cast("double"))
     out["word_length"] = share(chars, F.size(words))
-    out["distinct_words"] = share(F.size(F.array_distinct(plain)), F.size(words))
+    out["variety"] = share(F.log1p(F.size(F.array_distinct(words)).cast("double")), F.log1p(F.size(words).cast("double")))
+    out["repeats"] = share(F.size(F.filter(again, lambda same: same)), F.size(words))
     out["distinct_lines"] = share(F.size(F.array_distinct(rows)), F.size(rows))
     out["line_length"] = share(chars, F.size(rows))
     return out
