@@ -127,3 +127,14 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
         (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.suffix_dedup import remove_repeats
+
+    found = remove_repeats(read_table(spark, folder, "documents"))
+    lost = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
