@@ -138,3 +138,47 @@ def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+# A conversation whose texts hold what looks like control strings.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query
+def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.chat import format_chats, read_loss, read_turns
+
+    turns = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"),
+    )
+    chats = format_chats(turns.unionByName(extra))
+    read = chats.select("conv_id", "valid", "formatted", read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("segments")).alias("loss"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"), "valid",
+    )
+
+
+ORACLE["op9_chat"] = r"""
+with t as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (
+    select *, length(replace(replace(replace(role, '\', '\b'), '<|', '\o'), '|>' || chr(10), '\c'))
+              + length(replace(replace(replace(text, '\', '\b'), '<|', '\o'), '|>' || chr(10), '\c')) + 13 as chars,
+           lag(role) over (partition by conv_id order by turn nulls first, role, text) as before,
+           lead(role) over (partition by conv_id order by turn nulls first, role, text) as after,
+           row_number() over (partition by conv_id order by turn nulls first, role, text) as n from t)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       cast(length(coalesce(string_agg(text, '') filter (role = 'assistant'), '')) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(chars) as bigint) as formatted_chars,
+       bool_and(case when n = 1 then role in ('system', 'user') when role = 'user' then before in ('system', 'assistant')
+                     when role = 'assistant' then before = 'user' else false end
+                and (after is not null or role = 'assistant')) as valid
+from e group by conv_id
+"""
