@@ -23,7 +23,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and math.isnan(value)):
         return None
     if hasattr(value, "item"):
         value = value.item()
