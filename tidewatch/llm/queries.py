@@ -182,3 +182,30 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
                 and (after is not null or role = 'assistant')) as valid
 from e group by conv_id
 """
+
+
+@query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.warc import read_records, write_archives
+    from tidewatch.session import scratch_folder
+
+    index = write_archives(read_table(spark, folder, "pages"), scratch_folder(spark))
+    return read_records(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op5_warc"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+f as (select page_id, html, sha1(html) as h, min(page_id) over (partition by html) as first from p)
+select page_id, cast(strlen(html) as bigint) as payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           cast((cast('0x' || substr(h, cast(i // 8 * 10 + 1 as bigint), 10) as bigint) >> cast(35 - 5 * (i % 8) as bigint)) & 31 as bigint) + 1, 1)), '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to
+from f
+"""
+
+
+@query
+def op6_hilbert_ann(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.hilbert_ann import nearest
+
+    return nearest(read_table(spark, folder, "embeddings"), is_query=F.col("id") % 20 == 0)
