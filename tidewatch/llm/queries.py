@@ -209,3 +209,15 @@ def op6_hilbert_ann(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.hilbert_ann import nearest
 
     return nearest(read_table(spark, folder, "embeddings"), is_query=F.col("id") % 20 == 0)
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.toxicity import THRESHOLD, fit, held_out, score
+
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    scored = score(docs, fit(docs, read_table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
