@@ -36,17 +36,17 @@ def statistics(text: Column) -> dict[str, Column]:
     """Statistics of a text, all 0 for null and for texts without words."""
     t = F.coalesce(text, F.lit(""))
     chars = F.char_length(t)
-    words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+"))
+    distinct = F.size(F.array_distinct(F.split(F.btrim(t, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")))
     rows = F.filter(F.split(t, r"\n"), lambda w: w != "")
-    again = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), lambda a, b: a == b)
 
     def share(part: Column, whole: Column) -> Column:
         return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
 
     out = {name: share(F.regexp_count(t, F.lit(pattern)), chars) for name, pattern in CLASSES.items()}
-    out["word_length"] = share(chars, F.size(words))
-    out["variety"] = share(F.log1p(F.size(F.array_distinct(words)).cast("double")), F.log1p(F.size(words).cast("double")))
-    out["repeats"] = share(F.size(F.filter(again, lambda same: same)), F.size(words))
+    out["word_length"] = share(chars, words)
+    out["variety"] = F.when(words > 0, F.log1p(distinct.cast("double")) / F.log1p(words.cast("double"))).otherwise(F.lit(0.0))
+    out["repeats"] = share(F.regexp_count(t, F.lit(r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++(?=\1(?![^\x20\x09-\x0D]))")), words)
     out["distinct_lines"] = share(F.size(F.array_distinct(rows)), F.size(rows))
     out["line_length"] = share(chars, F.size(rows))
     return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LENGTH, DECAY, POWER = 3, 0.7, 3
+LENGTH, DECAY, POWER = 3, 0.7, 2
 
 
 def _codes(strings: list[str]) -> np.ndarray:

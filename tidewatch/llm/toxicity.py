@@ -250,7 +250,7 @@ def fit(
         sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
         heavy = max(1.0, sizes.get(0.0, 0) / max(1, 4 * sizes.get(1.0, 0)))
         weighed = train.withColumn("weight", F.when(F.col("label") == 1, heavy).otherwise(1.0))
-        machine = LinearSVC(regParam=0.0003, standardization=False, maxIter=80, tol=1e-4, weightCol="weight").fit(weighed)
+        machine = LinearSVC(regParam=0.00001, standardization=False, maxIter=150, tol=1e-5, weightCol="weight").fit(weighed)
     weights = root @ machine.coefficients.toArray()
     margins = machine.transform(rows).groupBy("id", "label").agg(F.max(vector_to_array("rawPrediction")[1]).alias("margin"))
     curve = LogisticRegression(regParam=0.001).fit(stored(margins.select("label", array_to_vector(F.array("margin")).alias("features"))))
