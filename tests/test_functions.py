@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import coerce
 from tidewatch.functions.order_stats import kth_smallest, quantiles
+from tidewatch.functions.hashing import key_hash
 from tidewatch.functions.running import running_totals
 from tidewatch.functions.special import chi_square_p
 from tidewatch.session import attach
@@ -51,11 +52,11 @@ def test_kth_smallest(hot, in_task):
     assert "one" not in found
 
 
-@pytest.mark.parametrize("in_task", [0, 10_000])
-def test_running_totals(spark, in_task):
+@pytest.mark.parametrize("slice_rows", [100, 10_000])
+def test_running_totals(spark, slice_rows):
     rows = [(g, i, i % 7) for g in "ab" for i in range(500)]
     df = spark.createDataFrame(rows, "g string, i int, n int").repartition(6)
-    found = {(r["g"], r["i"]): r["t"] for r in running_totals(df, ["i"], {"t": "n"}, by=["g"], in_task=in_task).collect()}
+    found = {(r["g"], r["i"]): r["t"] for r in running_totals(df, ["i"], {"t": "n"}, by=["g"], slice_rows=slice_rows).collect()}
     for g in "ab":
         total = 0
         for i in range(500):
@@ -102,3 +103,22 @@ def test_attach_keeps_rows_without_statistics(spark):
     rows = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int")
     stats = spark.createDataFrame([(1, "x")], "k int, s string")
     assert sorted(tuple(r) for r in attach(rows, stats, ["k"]).collect()) == [(1, 5, "x"), (2, 6, None)]
+
+
+def test_nan_is_missing_whatever_the_group_size(spark):
+    rows = [(float("nan") if i % 10 == 0 else float(i),) for i in range(1000)] + [(None,)]
+    df = spark.createDataFrame(rows, "v double")
+    want = list(np.quantile([v for (v,) in rows if v is not None and v == v], [0.25, 0.5, 0.75, 0.95]))
+    for in_task in (0, 50, 100_000):
+        assert quantiles(df, [], ["v"], [0.25, 0.5, 0.75, 0.95], in_task=in_task).first()["q"] == pytest.approx(want)
+
+
+def test_key_hash_tells_large_and_text_keys_apart(spark):
+    keys = [(i << 31) for i in range(10)] + [(i << 32) + 5 for i in range(10)] + [2**52 - 1]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    found = [r[0] for r in df.select(key_hash(df, "k", 42)).collect()]
+    assert len(set(found)) == len(set(keys)) and all(0 <= h < 2**52 for h in found)
+    far = spark.createDataFrame([(-1,), (2**63 - 1,), (-(2**63),)], "k long")
+    assert all(0 <= r[0] < 2**52 for r in far.select(key_hash(far, "k", 42)).collect())
+    text = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    assert len({r[0] for r in text.select(key_hash(text, "k")).collect()}) == 3

@@ -123,3 +123,40 @@ def test_rule_files_have_a_header_even_when_empty(spark, tmp_path):
     sinks.write_rules(empty.repartition(1), f"{tmp_path}/rules", FIXTURE)
     lines = spark.read.text(f"{tmp_path}/rules").collect()
     assert [r[0] for r in lines] == ["support,confidence,lift,antecedents_str,consequents_str"]
+
+
+def test_replay_keeps_every_file_and_its_own_header(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("x,y\n1,2\n3,4\n")
+    (tmp_path / "c.csv").write_text("y,x\n20,10\n")
+    (tmp_path / "d%20+é.csv").write_text("z\n7\n")
+    (tmp_path / "e.csv").write_text("")
+    got = sorted(files.read_stored_batches(spark, str(tmp_path)).select("batch_num", "x", "y", "z").collect(), key=str)
+    assert [tuple(r) for r in got] == [(1, "1", "2", None), (1, "3", "4", None), (2, "10", "20", None), (3, None, None, "7")]
+
+
+def test_collecting_twice_keeps_what_was_stored(spark, policy_files, tmp_path):
+    store = jobs.Store(str(tmp_path))
+    first = jobs.collect(spark, [f"{policy_files}/part0.csv"], store, POLICY, 200)
+    second = jobs.collect(spark, [f"{policy_files}/part1.csv"], store, POLICY, 200)
+    assert [r["batch_num"] for r in first.orderBy("batch_num").collect()] == [1, 2]
+    assert [r["batch_num"] for r in second.orderBy("batch_num").collect()] == [3, 4]
+    stored = spark.read.parquet(store.raw).groupBy("batch_num").count().orderBy("batch_num").collect()
+    assert [tuple(r) for r in stored] == [(1, 200), (2, 150), (3, 200), (4, 50)]
+    assert spark.read.parquet(store.profiles).select("batch_num").distinct().count() == 4
+
+
+def test_versions_grow_and_a_retry_adds_nothing(spark, policies, tmp_path):
+    registry = Registry(spark, str(tmp_path))
+    part = lambda n: policies.where(F.col("batch_num") == n)
+    grids = {models.FOREST: {"numTrees": [3], "maxDepth": [3]}}
+    with pytest.raises(LookupError):
+        jobs.update_model(part(1), FIXTURE, registry)
+    jobs.train_models(part(1), FIXTURE, registry, [models.FOREST], grids)
+    for n in (2, 3, 3):
+        jobs.update_model(part(n), FIXTURE, registry, models.FOREST, batch_id=n)
+    rows = registry.versions().orderBy("version").collect()
+    assert [(r.version, r.parent_version, r.is_incremental, r.batch_id) for r in rows] == [(1, None, False, None), (2, 1, True, 2), (3, 2, True, 3)]
+    assert [len(r.members) for r in rows] == [1, 2, 3] and rows[2].members[:2] == rows[1].members
+    ready = models.labelled(part(3), FIXTURE, registry.load(models.FOREST, 1)[0])
+    for version in (1, 2, 3):
+        assert models.score(ready, registry.load(models.FOREST, version)[1].model).count() == ready.count()

@@ -18,10 +18,10 @@ def brute_auc(pairs):
     return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("in_task", [0, 1_000_000])
-def test_auc_is_exact_with_ties(spark, monkeypatch, in_task):
+@pytest.mark.parametrize("slice_rows", [3, 1_000_000])
+def test_auc_is_exact_with_ties(spark, monkeypatch, slice_rows):
     original = running.running_totals
-    monkeypatch.setattr(ev, "running_totals", lambda *a, **k: original(*a, **k, in_task=in_task))
+    monkeypatch.setattr(ev, "running_totals", lambda *a, **k: original(*a, **k, slice_rows=slice_rows))
     rng = random.Random(1)
     pairs = [(rng.randint(0, 1), round(rng.random(), 1)) for _ in range(200)]
     df = spark.createDataFrame(pairs, "label int, score double").repartition(4)
@@ -117,8 +117,8 @@ def test_registry_reload_update_and_promotion(spark, ready, tmp_path):
     assert registry.versions().count() == 0 and registry.champion() is None
     model = models.estimator(models.FOREST, 10, maxDepth=3, numTrees=3).fit(rows)
     trained = models.Trained(models.FOREST, model, {"maxDepth": 3, "numTrees": 3})
-    assert registry.register(pipeline, trained, {"f1": 0.5, "roc_auc": 0.6}, batch_id=1) == 1
-    assert registry.register(pipeline, trained, {"f1": 0.5, "roc_auc": 0.6}, batch_id=1) == 1
+    assert registry.register(pipeline, trained, {"f1": 0.5, "roc_auc": 0.6}, batch_id=1, run_id="first") == 1
+    assert registry.register(pipeline, trained, {"f1": 0.5, "roc_auc": 0.6}, batch_id=1, run_id="first") == 1
     grown = models.update(trained, rows)
     assert isinstance(grown.model, models.Ensemble) and len(grown.model.members) == 2
     assert registry.register(pipeline, grown, {"f1": 0.7}, batch_id=2, is_incremental=True, parent_version=1) == 2

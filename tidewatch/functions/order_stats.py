@@ -1,9 +1,8 @@
-"""Exact interpolated quantiles per group, for groups of any size.
+"""Exact interpolated quantiles per group, for groups of any size. NaN counts as missing.
 
-Small groups use Spark's ``percentile``. When some group is too large to sort inside one task, the
-values are located by repeated counting instead: rows are counted per value range (a map-side
-combined aggregate, so a hot group adds no shuffle), only the ranges that hold a wanted rank are
-kept, and those ranges are split further until one is small enough to sort.
+Values are located by repeated counting: rows are counted per value range (a map-side combined
+aggregate, so a hot group adds no shuffle), only the ranges that hold a wanted rank are kept, and
+those ranges are split further until each is small enough to sort.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import materialize, sized
 
-# Largest group that Spark's percentile may hold in one task, and largest range sorted in one task.
+# Largest range of values that is sorted in one task.
 MAX_IN_TASK = 100_000
 CELLS = 4096
 
@@ -25,67 +24,35 @@ def quantiles(
     by: Sequence[str],
     columns: Sequence[str],
     probs: Sequence[float],
-    largest: int | None = None,
     in_task: int = MAX_IN_TASK,
 ) -> DataFrame:
-    """One row per group and column: ``by..., column, q`` with ``q`` in the order of ``probs``.
-
-    ``largest`` is the row count of the biggest group if the caller knows it; else it is counted.
-    """
+    """One row per group and column: ``by..., column, q`` with ``q`` in the order of ``probs``."""
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
-    if largest is None:
-        largest, _ = group_sizes(df, by)
-    if largest <= in_task:
-        return _aggregated(df, by, columns, probs).unpivot(by, columns, "column", "q").where("q is not null")
     keys = by + ["column"]
     positions = [(lambda total, p=p: (total - 1) * F.lit(p)) for p in probs]
     at = _located(_long(df, by, columns), keys, positions, in_task)
     return at.select(*keys, F.array(*[_interpolated(position(F.col("total"))) for position in positions]).alias("q"))
 
 
-def kth_smallest(
-    df: DataFrame, by: Sequence[str], column: str, k: Callable[[Column], Column], largest: int | None = None, in_task: int = MAX_IN_TASK
-) -> DataFrame:
+def kth_smallest(df: DataFrame, by: Sequence[str], column: str, k: Callable[[Column], Column], in_task: int = MAX_IN_TASK) -> DataFrame:
     """``by..., kth``: the k-th smallest value (from 1) of each group, ``k`` a function of the group size.
 
     Groups where ``k`` is below 1 are left out.
     """
     by = list(by)
-    if largest is None:
-        largest, _ = group_sizes(df, by)
-    if largest <= in_task:
-        sorted_values = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.col(column).cast("double"))).alias("_v"))
-        wanted = sorted_values.withColumn("_k", k(F.size("_v")).cast("int")).where("_k >= 1")
-        return wanted.select(*by, F.get("_v", F.col("_k") - 1).alias("kth"))
     at = _located(_long(df, by, [column]), by + ["column"], [lambda total: k(total) - 1], in_task)
     rank = (k(F.col("total")) - 1).cast("bigint")
     return at.where(k(F.col("total")) >= 1).select(*by, F.col("at")[rank].alias("kth"))
 
 
-def wide_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    columns: Sequence[str],
-    probs: Sequence[float],
-    largest: int | None = None,
-    in_task: int = MAX_IN_TASK,
-) -> DataFrame:
-    """The same in one row per group, with one array column per input column."""
+def wide_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str], probs: Sequence[float], in_task: int = MAX_IN_TASK) -> DataFrame:
+    """The same in one row per group, with one array column per input column; groups without any value have none."""
     by, columns = list(by), list(columns)
-    if largest is None:
-        largest, _ = group_sizes(df, by)
-    if largest <= in_task:
-        return _aggregated(df, by, columns, probs)
-    long = quantiles(df, by, columns, probs, largest, in_task)
+    long = quantiles(df, by, columns, probs, in_task)
     picked = [F.first(F.when(F.col("column") == c, F.col("q")), ignorenulls=True).alias(c) for c in columns]
     return long.groupBy(*by).agg(*picked)
 
 
-def _aggregated(df: DataFrame, by: list[str], columns: list[str], probs: Sequence[float]) -> DataFrame:
-    wanted = F.lit([float(p) for p in probs])
-    return df.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in columns])
-
-
 def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
     """Rows of the largest group, and number of groups."""
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
@@ -94,7 +61,7 @@ def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
 
 
 def _long(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    doubles = [F.col(c).cast("double").alias(c) for c in columns]
+    doubles = [F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns]
     return df.select(*by, *doubles).unpivot(by, columns, "column", "value").where("value is not null")
 
 

@@ -9,27 +9,24 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import materialize, materialize_counted, sized
 
-
-# Tables up to this many rows are accumulated by one plain window.
-MAX_IN_TASK = 1_000_000
+# Rows per slice of the sorted table.
+SLICE_ROWS = 50_000
 
 
 def running_totals(
-    df: DataFrame, order: Sequence[str], sums: dict[str, str], by: Sequence[str] = (), in_task: int = MAX_IN_TASK
+    df: DataFrame, order: Sequence[str], sums: dict[str, str], by: Sequence[str] = (), slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Add ``sums`` (new name -> summed column), each the total over the rows before this one.
 
-    A table of at most ``in_task`` rows takes one window. Larger ones are range-partitioned by ``by + order`` and written once, so each slice is a fixed run of
-    the sorted table. Slices are summed (one row each), the sums are accumulated, and a window
+    The rows are range-partitioned by ``by + order`` into slices of about ``slice_rows`` and written once, so each
+    slice is a fixed run of the sorted table. Slices are summed (one row each), the sums are accumulated, and a window
     inside every slice finishes the work. ``by + order`` must identify a row, which callers ensure
     by aggregating equal keys first; then no slice can be hot.
     """
     by, order = list(by), list(order)
     df, rows = materialize_counted(df)
-    if rows <= in_task:
-        before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({n: F.coalesce(F.sum(c).over(before), F.lit(0)) for n, c in sums.items()})
-    sliced = materialize(df.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id()))
+    slices = -(-rows // slice_rows) or 1
+    sliced = materialize(df.repartitionByRange(slices, *by, *order).withColumn("_slice", F.spark_partition_id()))
     slices = sliced.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slices.select(*by, "_slice", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])

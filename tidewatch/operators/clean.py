@@ -66,12 +66,12 @@ def _impute_numeric(df: DataFrame, by: list[str], columns: list[str], method: st
     df = materialize(df)
     per_group = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in columns])
     missing = [F.max(F.col("_n") - F.col(c)).alias(c) for c in columns]
-    found = per_group.agg(F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_groups"), *missing).first()
+    found = per_group.agg(F.count(F.lit(1)).alias("_groups"), *missing).first()
     gaps = [c for c in columns if (found[c] or 0) > 0]
     if not gaps:
         return df
     if method == "median":
-        stats = wide_quantiles(df, by, gaps, [0.5], largest=found["_n"])
+        stats = wide_quantiles(df, by, gaps, [0.5])
         stats = stats.select(*by, *[F.col(c)[0].alias(f"_fill_{c}") for c in gaps])
     else:
         stats = df.groupBy(*by).agg(*[F.avg(c).alias(f"_fill_{c}") for c in gaps])

@@ -55,10 +55,10 @@ def categorical_shares(df: DataFrame, roles: Roles, columns: Sequence[str] | Non
     return joined.withColumn("share", F.col("n") / F.col("total"))
 
 
-def quartile_table(df: DataFrame, roles: Roles, columns: Sequence[str], largest: int | None = None) -> DataFrame:
+def quartile_table(df: DataFrame, roles: Roles, columns: Sequence[str]) -> DataFrame:
     """``batch, column, q1, q3`` of the given numbers."""
     by = [c for c in roles.by if c in df.columns]
-    found = quantiles(df, by, columns, QUARTILES, largest)
+    found = quantiles(df, by, columns, QUARTILES)
     return found.select(*by, "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
 
 
@@ -160,8 +160,8 @@ def outlier_counts(
     by = [c for c in roles.by if c in df.columns]
     columns = numeric_columns(df, by)
     if quartiles is None or groups is None:
-        largest, groups = group_sizes(df, by)
-        quartiles = quartile_table(df, roles, columns, largest) if quartiles is None else quartiles
+        _, groups = group_sizes(df, by)
+        quartiles = quartile_table(df, roles, columns) if quartiles is None else quartiles
     reach = (F.col("q3") - F.col("q1")) * limits.whisker
     fences = quartiles.where(F.col("column").isin(columns)).groupBy(*by).agg(
         F.map_from_entries(
@@ -276,8 +276,8 @@ def detect(df: DataFrame, roles: Roles, reference: int | None = None, limits: Dr
     """
     reference = first_batch(df, roles) if reference is None else reference
     numeric = numeric_columns(df, roles.by)
-    largest, groups = group_sizes(df, roles.by)
-    quartiles = materialize(quartile_table(df, roles, numeric, largest)) if numeric else None
+    _, groups = group_sizes(df, roles.by)
+    quartiles = materialize(quartile_table(df, roles, numeric)) if numeric else None
     features = covariate(feature_scores(df, roles, reference, limits, on, quartiles), roles)
     quality = quality_drift(df, roles, reference, limits, quartiles, groups)
     joined = quality.join(features.withColumnsRenamed({"drifted": "_covariate", "confidence": "_confidence"}), roles.by, "left")

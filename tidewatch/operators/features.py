@@ -118,18 +118,18 @@ def stratified_split(df: DataFrame, key: str, label: str = LABEL, test_share: fl
     The limit per class is an exact quantile of the hash, so the split does not depend on how rows
     are partitioned, and no class is sorted in one task.
     """
-    hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
-    largest, classes = group_sizes(hashed, [label])
-    limit = wide_quantiles(hashed, [label], ["_hash"], [test_share], largest).select(label, F.col("_hash")[0].alias("_limit"))
+    hashed = df.withColumn("_hash", key_hash(df, key, seed))
+    _, classes = group_sizes(hashed, [label])
+    limit = wide_quantiles(hashed, [label], ["_hash"], [test_share]).select(label, F.col("_hash")[0].alias("_limit"))
     return attach(hashed, limit, [label], classes).withColumn("is_test", F.col("_hash") <= F.col("_limit")).drop("_hash", "_limit")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str = LABEL, folds: int = 3, seed: int = 42) -> DataFrame:
     """Add ``fold`` (0 ..): equal hash ranges inside every class."""
-    hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
+    hashed = df.withColumn("_hash", key_hash(df, key, seed))
     cuts = [i / folds for i in range(1, folds)]
-    largest, classes = group_sizes(hashed, [label])
-    limits = wide_quantiles(hashed, [label], ["_hash"], cuts, largest).select(label, F.col("_hash").alias("_limits"))
+    _, classes = group_sizes(hashed, [label])
+    limits = wide_quantiles(hashed, [label], ["_hash"], cuts).select(label, F.col("_hash").alias("_limits"))
     placed = attach(hashed, limits, [label], classes)
     fold = F.size(F.filter("_limits", lambda limit: F.col("_hash") > limit))
     return placed.withColumn("fold", fold).drop("_hash", "_limits")

@@ -18,10 +18,10 @@ def _chosen(df: DataFrame, roles: Roles, key: str, strength: float, start: int,
 
     The cut is an exact order statistic, so a batch is never sorted in one task.
     """
-    hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
+    hashed = df.withColumn("_hash", key_hash(df, key, seed))
     active = hashed.where(F.col(roles.batch) >= start)
-    largest, groups = group_sizes(active, roles.by)
-    limit = kth_smallest(active, roles.by, "_hash", lambda n: F.floor(n * F.lit(strength)), largest)
+    _, groups = group_sizes(active, roles.by)
+    limit = kth_smallest(active, roles.by, "_hash", lambda n: F.floor(n * F.lit(strength)))
     joined = attach(hashed, limit.withColumnRenamed("kth", "_limit"), roles.by, groups)
     return joined.withColumn("_chosen", F.coalesce(F.col("_hash") <= F.col("_limit"), F.lit(False)))
 

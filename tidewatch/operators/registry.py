@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
@@ -13,11 +14,14 @@ from pyspark.sql import functions as F
 from tidewatch.operators.models import Ensemble, Trained
 
 SCHEMA = """version int, batch_id long, ts timestamp, path string, metrics map<string,double>, params map<string,string>,
-is_incremental boolean, parent_version int, parts int, model_name string"""
+is_incremental boolean, parent_version int, members array<string>, run_id string, model_name string"""
 
 
 class Registry:
-    """Append-only. Writing the same (model, batch) again replaces that version, so retries are harmless."""
+    """Append-only: every registration is a new version in a new folder, and its row is written last.
+
+    A registration that names a ``run_id`` already known for the model and kind is a retry and adds nothing.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -29,34 +33,50 @@ class Registry:
             return self.spark.createDataFrame([], SCHEMA)
         return self.spark.read.schema(SCHEMA).json(path).drop("v")
 
+    def find(self, model_name: str, run_id: str | None, is_incremental: bool):
+        """The version that a run registered, or None."""
+        if run_id is None:
+            return None
+        same = (F.col("model_name") == model_name) & (F.col("run_id") == run_id) & (F.col("is_incremental") == is_incremental)
+        return self.versions().where(same).orderBy("version").first()
+
     def register(
         self,
         features: PipelineModel,
         trained: Trained,
         metrics: dict[str, float],
-        batch_id: int = 0,
+        batch_id: int | None = None,
         is_incremental: bool = False,
         parent_version: int | None = None,
+        run_id: str | None = None,
     ) -> int:
-        """Save features and classifier together; returns the version number."""
-        known = self.versions().where(F.col("model_name") == trained.name)
-        row = known.agg(
-            F.max(F.when(F.col("batch_id") == batch_id, F.col("version"))).alias("same"), F.max("version").alias("last")
-        ).first()
-        version = row["same"] or (row["last"] or 0) + 1
-        path = f"{self.root}/models/{trained.name}/v{version}"
+        """Save features and classifier together; returns the version number.
+
+        A child that only adds members to its parent saves the new ones and points to the parent's.
+        """
+        same = self.find(trained.name, run_id, is_incremental)
+        if same is not None:
+            return same["version"]
+        mine = F.col("model_name") == trained.name
+        version = (self.versions().where(mine).agg(F.max("version")).first()[0] or 0) + 1
+        path = f"{self.root}/models/{trained.name}/v{version}-{uuid.uuid4().hex[:12]}"
         members = trained.model.members if isinstance(trained.model, Ensemble) else [trained.model]
-        for i, member in enumerate(members):
+        held = []
+        if parent_version is not None and len(members) > 1:
+            parent = self.versions().where(mine & (F.col("version") == parent_version)).first()
+            held = list(parent["members"])[: len(members) - 1] if parent is not None else []
+        for i, member in enumerate(members[len(held) :], len(held)):
             stages = [*features.stages, member] if i == 0 else [member]
-            PipelineModel(stages).write().overwrite().save(f"{path}/part{i}")
+            PipelineModel(stages).save(f"{path}/part{i}")
+            held.append(f"{path}/part{i}")
         params = {k: json.dumps(v) for k, v in trained.params.items()}
         record = (
             version, batch_id, datetime.now(timezone.utc), path, {k: float(v) for k, v in metrics.items() if v is not None},
-            params, is_incremental, parent_version, len(members),
+            params, is_incremental, parent_version, held, run_id,
         )
         schema = SCHEMA.rsplit(",", 1)[0]
         table = self.spark.createDataFrame([record], schema)
-        table.coalesce(1).write.mode("overwrite").json(f"{self.root}/versions/model_name={trained.name}/v={version}")
+        table.coalesce(1).write.mode("errorifexists").json(f"{self.root}/versions/model_name={trained.name}/v={version}")
         return version
 
     def load(self, model_name: str, version: int) -> tuple[PipelineModel, Trained, dict[str, float]]:
@@ -64,9 +84,9 @@ class Registry:
         row = self.versions().where((F.col("model_name") == model_name) & (F.col("version") == version)).first()
         if row is None:
             raise KeyError(f"{model_name} v{version} is not registered")
-        first = PipelineModel.load(f"{row['path']}/part0")
+        first = PipelineModel.load(row["members"][0])
         members = [first.stages[-1]]
-        members += [PipelineModel.load(f"{row['path']}/part{i}").stages[-1] for i in range(1, row["parts"])]
+        members += [PipelineModel.load(path).stages[-1] for path in row["members"][1:]]
         grown = len(members) > 1 and isinstance(members[0], RandomForestClassificationModel)
         model = Ensemble(members) if grown else members[0]
         params = {k: json.loads(v) for k, v in (row["params"] or {}).items()}
@@ -95,7 +115,8 @@ class Registry:
         """Make a version champion if there is none or its F1 beats the reigning one by enough."""
         reigning = self.champion()
         if reigning is not None:
-            _, _, held = self.load(**reigning)
+            row = self.versions().where((F.col("model_name") == reigning["model_name"]) & (F.col("version") == reigning["version"])).first()
+            held = dict(row["metrics"]) if row is not None else {}
             if not ("f1" in metrics and "f1" in held and metrics["f1"] > held["f1"] + improvement):
                 return False
         record = [(model_name, version, datetime.now(timezone.utc).isoformat())]

@@ -15,11 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.coerce import as_label, day_difference, split_items
 from tidewatch.functions.order_stats import group_sizes, wide_quantiles
 from tidewatch.roles import Mining, Roles, RuleLimits
-from tidewatch.session import attach, materialize, materialize_counted, ratio, sized, spread
-
-# With more basket subsets than this per core, sets are grown level by level instead.
-MAX_SUBSETS = 10_000_000
-MASK_BITS = 62
+from tidewatch.session import attach, materialize, materialize_counted, ratio, sized
 
 
 def top_values(df: DataFrame, roles: Roles, k: int) -> DataFrame:
@@ -49,9 +45,9 @@ def transactions(df: DataFrame, roles: Roles, mining: Mining = Mining()) -> Data
         items.append(F.when(days >= roles.long_days, F.lit(roles.long_item)))
     if mining.include_target and roles.target in columns:
         items.append(F.when(F.col(roles.target) > 0, F.lit(roles.target_item)))
-    largest, groups = group_sizes(df, by) if high or hot else (0, 0)
+    groups = group_sizes(df, by)[1] if high or hot else 0
     if high:
-        stats = wide_quantiles(df, by, sorted({c for _, c in high}), [0.75], largest)
+        stats = wide_quantiles(df, by, sorted({c for _, c in high}), [0.75])
         stats = stats.select(*by, *[F.col(c)[0].alias(f"_q_{c}") for c in sorted({c for _, c in high})])
         df = attach(df, stats, by, groups)
         items += [F.when(F.col(c) >= F.col(f"_q_{c}"), F.lit(name)) for name, c in high]
@@ -92,32 +88,20 @@ def item_counts(found: DataFrame, roles: Roles) -> DataFrame:
     return found.select(*by, "n_rows", "n", F.explode("items").alias("item")).groupBy(*by, "n_rows", "item").agg(F.sum("n").alias("n"))
 
 
-def itemsets(found: DataFrame, roles: Roles, min_support: float, max_subsets: int = MAX_SUBSETS) -> DataFrame:
+def itemsets(found: DataFrame, roles: Roles, min_support: float) -> DataFrame:
     """All itemsets of any length with support of at least ``min_support``: ``batch, itemset, n, n_rows``.
 
-    Infrequent items are removed from the baskets first. If what is left has few subsets they are all
-    counted in one pass, as bit masks over the batch's frequent items; otherwise sets are grown one
-    item at a time from the frequent ones.
+    Infrequent items are removed from the baskets first; sets are then grown one item at a time from the
+    frequent ones, so no basket's subsets are ever listed at once.
     """
     by = [c for c in roles.by if c in found.columns]
     frequent = item_counts(found, roles).where(_enough(min_support))
     listed = frequent.groupBy(*by).agg(F.array_sort(F.collect_list("item")).alias("_frequent"))
     kept = attach(found, listed, by).withColumn("items", F.array_intersect("items", "_frequent")).where(F.size("items") > 0)
     kept = materialize(kept.groupBy(*by, "items", "n_rows", "_frequent").agg(F.sum("n").alias("n")))
-    subsets_in_all, most_items = kept.agg(F.sum(F.pow(F.lit(2.0), F.size("items"))), F.max(F.size("_frequent"))).first()
-    allowed = max_subsets * kept.sparkSession.sparkContext.defaultParallelism
-    if (subsets_in_all or 0) > allowed or (most_items or 0) > MASK_BITS:
-        grown = _grown(kept, by, min_support)
-        named = F.transform("set", lambda at: F.element_at("_frequent", at))
-        return attach(grown, listed, by).select(*by, "n_rows", named.alias("itemset"), "n")
-    bits = F.transform("items", lambda item: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.array_position("_frequent", item).cast("int") - 1))
-    masks = F.aggregate(
-        bits, F.array(F.lit(0).cast("bigint")), lambda sets, bit: F.concat(sets, F.transform(sets, lambda s: s.bitwiseOR(bit)))
-    )
-    exploded = spread(kept).select(*by, "n_rows", "n", F.explode(masks).alias("mask")).where("mask <> 0")
-    counted = exploded.groupBy(*by, "n_rows", "mask").agg(F.sum("n").alias("n")).where(_enough(min_support))
-    named = F.filter("_frequent", lambda item, i: F.col("mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)) != 0)
-    return attach(counted, listed, by).select(*by, "n_rows", named.alias("itemset"), "n")
+    grown = _grown(kept, by, min_support)
+    named = F.transform("set", lambda at: F.element_at("_frequent", at))
+    return attach(grown, listed, by).select(*by, "n_rows", named.alias("itemset"), "n")
 
 
 def _enough(min_support: float) -> Column:
@@ -129,7 +113,7 @@ def _grown(kept: DataFrame, by: list[str], min_support: float) -> DataFrame:
     is extended by every later position its basket has. Only baskets of frequent sets go on."""
     none = F.array().cast("array<int>")
     positions = F.transform("items", lambda item: F.array_position("_frequent", item).cast("int"))
-    open_sets = spread(kept).select(*by, "n_rows", "n", none.alias("set"), positions.alias("rest"))
+    open_sets = kept.select(*by, "n_rows", "n", none.alias("set"), positions.alias("rest"))
     levels = []
     while True:
         exploded = open_sets.select(*by, "n_rows", "n", "set", "rest", F.posexplode("rest").alias("at", "next"))

@@ -34,13 +34,19 @@ class Store:
 
 
 def collect(spark: SparkSession, sources: Sequence[str], store: Store, roles: Roles, batch_rows: int = 5000) -> DataFrame:
-    """Cut the sources into batches, store them raw, and profile every column of every batch."""
+    """Cut the sources into batches, store them raw, and profile every column of every new batch.
+
+    The batch counter goes on from the batches stored before, which stay as they are.
+    """
     rows = read_sources(spark, sources, batch_rows)
+    if path_exists(spark, store.raw):
+        before = spark.read.parquet(store.raw).agg(F.max("batch_num")).first()[0] or 0
+        rows = rows.withColumn("batch_num", F.col("batch_num") + F.lit(before).cast("bigint"))
+    rows = materialize(rows)
     sinks.write_batches(rows.drop("row_index", "batch_index"), store.raw)
-    stored = spark.read.parquet(store.raw)
-    typed = typed_policies(stored.drop("source"))
+    typed = typed_policies(rows.drop("source", "row_index", "batch_index"))
     table = profile.column_profile(typed, roles)
-    table.write.mode("overwrite").parquet(store.profiles)
+    table.write.mode("append").parquet(store.profiles)
     return profile.batch_profile(typed, roles)
 
 
@@ -115,9 +121,13 @@ def build_reference_rules(df: DataFrame, roles: Roles, n_batches: int = 1, limit
 
 
 def train_models(
-    df: DataFrame, roles: Roles, registry: Registry, names: Sequence[str] = models.MODEL_NAMES, grids: dict | None = None, batch_id: int = 0
+    df: DataFrame, roles: Roles, registry: Registry, names: Sequence[str] = models.MODEL_NAMES, grids: dict | None = None, batch_id: int | None = None
 ) -> list[tuple[models.Trained, dict[str, float], int]]:
-    """Fit, tune and evaluate the classifiers on a stratified split; register all, promote the best."""
+    """Fit, tune and evaluate the classifiers on a stratified split; register all, promote the best.
+
+    ``batch_id`` names the run: the same one again registers nothing new.
+    """
+    run = None if batch_id is None else f"train {batch_id}"
     split = materialize(stratified_split(add_label(df, roles), roles.identifier, LABEL))
     features = models.fit_features(split.where("not is_test"), roles)
     ready = materialize(models.labelled(split.where("not is_test"), roles, features))
@@ -126,7 +136,7 @@ def train_models(
     for name in names:
         trained = models.train(ready, name, (models.GRIDS if grids is None else grids).get(name), roles.identifier)
         metrics = models.metrics_of(trained.model, held_out)
-        results.append((trained, metrics, registry.register(features, trained, metrics, batch_id)))
+        results.append((trained, metrics, registry.register(features, trained, metrics, batch_id, run_id=run)))
     best = max(results, key=lambda r: r[1]["roc_auc"])
     registry.promote(best[0].name, best[2], best[1])
     return results
@@ -142,27 +152,46 @@ def score_batches(df: DataFrame, roles: Roles, registry: Registry) -> DataFrame:
 
 
 def follow(df: DataFrame, roles: Roles, registry: Registry, store: Store) -> DataFrame:
-    """Score all batches with the champion; accuracy, weighted F1 and time per batch, appended to the history."""
-    started = time.time()
-    scored = materialize(add_label(score_batches(df, roles, registry), roles))
-    seconds = time.time() - started
-    per_batch = batch_performance(scored, roles.by, LABEL, "prediction")
-    batches = max(per_batch.count(), 1)
-    rows = per_batch.select(
-        *roles.by, "accuracy", "f1", F.lit(seconds / batches).alias("inference_time"), F.current_timestamp().alias("ts")
-    )
+    """Score all batches with the champion; accuracy, weighted F1 and time per batch, appended to the history.
+
+    Batches are scored one after the other, each by one distributed job, so each has a time of its own.
+    """
+    rows = None
+    for number in batch_numbers(df, roles):
+        started = time.time()
+        scored = materialize(add_label(score_batches(df.where(F.col(roles.batch) == number), roles, registry), roles))
+        seconds = time.time() - started
+        part = batch_performance(scored, roles.by, LABEL, "prediction").select(
+            *roles.by, "accuracy", "f1", F.lit(seconds).alias("inference_time"), F.current_timestamp().alias("ts")
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        return df.sparkSession.createDataFrame([], sinks.PERFORMANCE_SCHEMA)
     sinks.append_performance(rows, store.performance, roles)
     return rows
 
 
-def update_model(df: DataFrame, roles: Roles, registry: Registry, model_name: str | None = None, batch_id: int = 0) -> dict:
+def batch_numbers(df: DataFrame, roles: Roles) -> list[int]:
+    """The batch numbers present, ascending. Jobs that go batch by batch hold one number per batch."""
+    return [r[0] for r in df.select(roles.batch).distinct().orderBy(roles.batch).collect() if r[0] is not None]
+
+
+def update_model(df: DataFrame, roles: Roles, registry: Registry, model_name: str | None = None, batch_id: int | None = None) -> dict:
     """Continue training the latest version of a model on new batches and register the child version.
 
-    Part of the new rows is held out, so before and after are compared on rows not trained on.
+    Part of the new rows is held out, so before and after are compared on rows not trained on. ``batch_id`` names
+    the run: the same one again registers nothing new.
     """
+    run = None if batch_id is None else f"update {batch_id}"
     if model_name is None:
         best = registry.best("roc_auc")
+        if best is None:
+            raise LookupError("no model is registered")
         model_name = best["model_name"]
+    done = registry.find(model_name, run, True)
+    if done is not None:
+        after = dict(done["metrics"])
+        return {"model_name": model_name, "version": done["version"], "before": {}, "after": after, "promoted": registry.promote(model_name, done["version"], after)}
     parent = registry.latest(model_name)
     if parent is None:
         raise LookupError(f"{model_name} is not registered")
@@ -173,7 +202,7 @@ def update_model(df: DataFrame, roles: Roles, registry: Registry, model_name: st
     before = models.metrics_of(trained.model, held_out)
     grown = models.update(trained, fresh)
     after = models.metrics_of(grown.model, held_out)
-    version = registry.register(features, grown, after, batch_id, True, parent["version"])
+    version = registry.register(features, grown, after, batch_id, True, parent["version"], run)
     return {"model_name": model_name, "version": version, "before": before, "after": after, "promoted": registry.promote(model_name, version, after)}
 
 
@@ -183,40 +212,37 @@ def run_pipeline(
     store: Store,
     initial: int = 3,
     update_every: int = 5,
-    max_batches: int = 20,
+    max_batches: int | None = None,
     names: Sequence[str] = models.MODEL_NAMES,
     grids: dict | None = None,
     limits: Limits = Limits(),
 ) -> DataFrame:
     """Train on the first batches, then score later ones and update the champion every few batches.
 
-    Only updates depend on the previous step, so batches between two updates are scored together.
+    Batches are counted as they come, so their numbers may have gaps. All are used unless the caller sets
+    ``max_batches``.
     """
     registry = Registry(df.sparkSession, store.registry)
-    first = drift.first_batch(df, roles)
+    numbers = batch_numbers(df, roles)[:max_batches]
     batch = F.col(roles.batch)
-    used = df.where((batch >= first) & (batch < first + max_batches))
+    used = df.where((batch >= numbers[0]) & (batch <= numbers[-1]))
     run_analysis(used, store, roles, limits)
-    train_models(used.where(batch < first + initial), roles, registry, names, grids, batch_id=first + initial - 1)
-    last = used.agg(F.max(roles.batch)).first()[0]
-    start = first + initial
-    while start <= last:
-        stop = start + update_every
-        window = used.where((batch >= start) & (batch < stop))
+    train_models(used.where(batch <= numbers[:initial][-1]), roles, registry, names, grids, batch_id=numbers[:initial][-1])
+    for at in range(initial, len(numbers), update_every):
+        part = numbers[at : at + update_every]
+        window = used.where((batch >= part[0]) & (batch <= part[-1]))
         follow(window, roles, registry, store)
-        if stop - 1 <= last:
-            update_model(window, roles, registry, registry.champion()["model_name"], batch_id=stop - 1)
-        start = stop
-    return df.sparkSession.read.parquet(store.performance)
+        if len(part) == update_every:
+            update_model(window, roles, registry, registry.champion()["model_name"], batch_id=part[-1])
+    return df.sparkSession.read.schema(sinks.PERFORMANCE_SCHEMA).parquet(store.performance)
 
 
-def run_update(df: DataFrame, roles: Roles, store: Store, model_name: str = models.FOREST, max_batches: int = 5, limits: Limits = Limits()) -> dict:
-    """Quality analysis and one model update on the first few new batches."""
-    first = drift.first_batch(df, roles)
-    used = df.where(F.col(roles.batch) < first + max_batches)
+def run_update(df: DataFrame, roles: Roles, store: Store, model_name: str = models.FOREST, max_batches: int | None = None, limits: Limits = Limits()) -> dict:
+    """Quality analysis and one model update on the new batches, or the first ``max_batches`` of them."""
+    numbers = batch_numbers(df, roles)[:max_batches]
+    used = df.where(F.col(roles.batch) <= numbers[-1])
     run_analysis(used, store, roles, limits)
-    last = used.agg(F.max(roles.batch)).first()[0]
-    return update_model(used, roles, Registry(df.sparkSession, store.registry), model_name, batch_id=last)
+    return update_model(used, roles, Registry(df.sparkSession, store.registry), model_name, batch_id=numbers[-1])
 
 
 def run_inference(spark: SparkSession, path: str, output: str, roles: Roles, store: Store) -> DataFrame:

@@ -107,7 +107,10 @@ def class_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hash_sql(seed: int) -> str:
-    return f"((object_id + {seed}) % 2147483648 * 2654435761) % 4294967296"
+    """``key_hash`` of an integer key; HUGEINT keeps products from overflowing."""
+    mixed = "((object_id::BIGINT & 4294967295)::HUGEINT * 1640531527 % 4294967296)"
+    top = f"((((object_id::BIGINT >> 32) & 4294967295) + {mixed} + {seed}) % 4294967296 * 668265263 % 1048576)"
+    return f"({top} * 4294967296 + {mixed})::BIGINT"
 
 
 @query(

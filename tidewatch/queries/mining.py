@@ -86,7 +86,7 @@ def itemsets_2(spark: SparkSession, folder: str) -> DataFrame:
     JOIN sizes s ON s.batch_num = a.batch_num GROUP BY 1, 2 HAVING count(*)::DOUBLE / any_value(n_rows) >= 0.03""",
 )
 def itemsets_grown_3(spark: SparkSession, folder: str) -> DataFrame:
-    grown = rules.itemsets(_baskets(spark, folder), FIXTURE, 0.03, max_subsets=0)
+    grown = rules.itemsets(_baskets(spark, folder), FIXTURE, 0.03)
     return _set_columns(grown.where(F.size("itemset") == 3))
 
 

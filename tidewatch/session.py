@@ -61,15 +61,6 @@ def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return written, written.count()
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan or a written table with fewer partitions than cores one partition per core.
-
-    Tables of a cluster's size already have more, and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def row_width(schema: T.StructType) -> int:
     """Rough bytes per row, used with a measured row count."""
     width = 16

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A CSV with header as text columns; without ``columns`` the header names them."""
+def read_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """A CSV with header as text columns; without ``columns`` the header names them. All files have the same header."""
     if columns:
         return spark.read.schema(text_schema(columns)).option("header", True).csv(path)
     return spark.read.option("header", True).csv(path)
@@ -68,12 +69,24 @@ def storage_volume(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
 
 
 def read_stored_batches(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Every stored raw file, numbered as a batch in name order (from 1), read by one job."""
+    """Every stored raw file, numbered as a batch in name order (from 1), each under its own header's names.
+
+    Files of one header are one scan, and the scans are united by name. Files without a header line hold no rows and are
+    not counted. Paths are taken from the scans themselves, so names may hold blanks and other odd characters.
+    """
     pattern = f"{folder.rstrip('/')}/*.csv"
     if not path_exists(spark, pattern):
         raise FileNotFoundError(f"no CSV files in {folder}")
-    files = spark.read.format("binaryFile").load(pattern).select(F.col("path").alias("_path"), F.lit(1).cast("bigint").alias("_one"))
-    numbered = materialize(running_totals(files, ["_path"], {"_before": "_one"}))
-    order = numbered.select("_path", (F.col("_before") + 1).alias("batch_num"))
-    rows = read_csv(spark, pattern, columns).withColumn("_path", F.col("_metadata.file_path"))
-    return rows.join(sized(order), "_path").drop("_path")
+    lines = spark.read.text(pattern).select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_at"), "value")
+    headers = materialize(lines.where("_at = 0 and trim(value) <> ''").groupBy("_path").agg(F.first("value").alias("header")))
+    named = headers.withColumns({"_name": F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B"))), "_one": F.lit(1).cast("bigint")})
+    order = materialize(running_totals(named, ["_name", "_path"], {"_before": "_one"}).select("_path", (F.col("_before") + 1).alias("batch_num")))
+    united = None
+    for row in headers.groupBy("header").agg(F.array_sort(F.collect_list("_path")).alias("paths")).orderBy(F.col("paths")[0]).collect():
+        paths = [unquote(p) for p in row["paths"]]
+        names = columns or read_csv(spark, paths[0]).columns
+        part = read_csv(spark, paths, names).withColumn("_path", F.col("_metadata.file_path"))
+        united = part if united is None else united.unionByName(part, allowMissingColumns=True)
+    if united is None:
+        raise FileNotFoundError(f"no CSV file in {folder} has a header")
+    return united.join(sized(order), "_path").drop("_path")

@@ -25,9 +25,10 @@ def _plain(df: DataFrame) -> DataFrame:
 def write_batches(df: DataFrame, path: str, keys: Sequence[str] = ("source", "batch_num"), fmt: str = "parquet", max_rows: int = 1_000_000) -> None:
     """Raw batches under one folder per key. Large batches are split over files of ``max_rows`` rows.
 
-    Rows go to disk from where they are; nothing is gathered per batch, so a huge batch is no hot task.
+    Rows go to disk from where they are; nothing is gathered per batch, so a huge batch is no hot task. Batches
+    that are not written now stay as they are.
     """
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_rows).partitionBy(*keys)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows).partitionBy(*keys)
     writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)
 
 
