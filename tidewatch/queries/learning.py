@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.order_stats import wide_quantiles
 from tidewatch.operators import evaluate as ev
 from tidewatch.operators import features, maintenance, perturb
 from tidewatch.operators.features import LABEL
@@ -384,3 +385,16 @@ def summary_perf(spark: SparkSession, folder: str) -> DataFrame:
 @query("selection_history", f"WITH {H} SELECT model_name, version, ts, accuracy, f1 FROM history ORDER BY ts DESC, model_name DESC LIMIT 5")
 def selection_history(spark: SparkSession, folder: str) -> DataFrame:
     return report.selection_history(history(spark, folder))
+
+
+@query(
+    "quantiles_with_nan",
+    f"""WITH {sql.POLICIES}, v AS (SELECT batch_num, premium::DOUBLE AS x FROM policies WHERE object_id % 10 <> 0 AND object_id % 7 <> 0 AND premium IS NOT NULL)
+    SELECT batch_num, round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.5), 6) AS q2, round(quantile_cont(x, 0.95), 6) AS q95 FROM v GROUP BY 1""",
+)
+def quantiles_with_nan(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quantiles of a column with NaN in a tenth and NULL in a seventh of the rows."""
+    odd = F.when(F.col("object_id") % 10 == 0, F.lit(float("nan"))).when(F.col("object_id") % 7 != 0, F.col("premium"))
+    rows = stored_policies(spark, folder).withColumn("x", odd)
+    found = wide_quantiles(rows, ["batch_num"], ["x"], [0.25, 0.5, 0.95])
+    return found.select("batch_num", *[r6(F.col("x")[i], name) for i, name in enumerate(("q1", "q2", "q95"))])

@@ -89,10 +89,9 @@ def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("shapley")
 def shapley(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean absolute attribution per feature over 100 test rows, as many as the report explains."""
+    """Mean absolute attribution per feature over all test rows."""
     train, test = _ready(spark, folder)
-    rows = materialize(test.orderBy("object_id").limit(100))
-    found = models.shapley(rows, _fit(train, models.FOREST), _names(), "object_id", permutations=4)
+    found = models.shapley(test, _fit(train, models.FOREST), _names(), "object_id")
     return found.groupBy("feature").agg(F.avg(F.abs("shapley")).alias("mean_abs_shapley"), F.count(F.lit(1)).alias("rows"))
 
 
@@ -148,12 +147,65 @@ def stored_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Write the raw batches as partitioned files and read them back."""
     root = scratch_folder(spark)
     sinks.write_batches(policies(spark, folder), f"{root}/raw", keys=["batch_num"])
-    stored = spark.read.parquet(f"{root}/raw").withColumn("batch_num", F.col("batch_num").cast("bigint"))
+    return _batch_sums(spark, f"{root}/raw")
+
+
+def _batch_sums(spark: SparkSession, path: str) -> DataFrame:
+    stored = spark.read.parquet(path).withColumn("batch_num", F.col("batch_num").cast("bigint"))
     return stored.groupBy("batch_num").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("insr_end").alias("with_end"), F.round(F.sum("premium"), 2).alias("premium")
     )
 
 
+@query(
+    "collected_twice",
+    f"WITH {sql.POLICIES} SELECT batch_num, count(*) AS n_rows, count(insr_end) AS with_end, round(sum(premium), 2) AS premium FROM policies GROUP BY 1",
+)
+def collected_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the odd batches, then the even ones, then the odd ones again: nothing is lost or doubled."""
+    root = scratch_folder(spark)
+    rows = stored_policies(spark, folder)
+    for rest in (1, 0, 1):
+        sinks.write_batches(rows.where(F.col("batch_num") % 2 == rest), f"{root}/raw", keys=["batch_num"])
+    return _batch_sums(spark, f"{root}/raw")
+
+
+@query(
+    "replayed_files",
+    f"""WITH {sql.POLICIES} SELECT make, count(*) AS n_rows, sum(object_id)::BIGINT AS ids, sum(CASE WHEN batch_num % 2 = 0 THEN prod_year END)::BIGINT AS years,
+    round(sum(CASE WHEN batch_num % 2 = 1 THEN premium END), 2) AS premium FROM policies GROUP BY 1""",
+)
+def replayed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw files with two different headers in one folder, replayed each under its own names."""
+    root = scratch_folder(spark)
+    rows = stored_policies(spark, folder)
+    headers = {1: ("object_id", "premium", "make"), 0: ("make", "prod_year", "object_id")}
+    for rest, columns in headers.items():
+        part = rows.where(F.col("batch_num") % 2 == rest).select(*columns)
+        part.write.mode("append").option("header", True).csv(f"{root}/raw")
+    found = files.read_stored_batches(spark, f"{root}/raw")
+    return found.groupBy("make").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("object_id").cast("bigint")).alias("ids"), F.sum(F.col("prod_year").cast("bigint")).alias("years"),
+        F.round(F.sum(F.col("premium").cast("double")), 2).alias("premium"),
+    )
+
+
+@query(
+    "registry_versions",
+    f"""WITH {sql.POLICIES}, b AS (SELECT DISTINCT object_id % 4 + 1 AS batch_num FROM policies WHERE object_id % 4 > 0)
+    SELECT 'RandomForest' AS model_name, (batch_num - 1)::INTEGER AS version, CASE WHEN batch_num > 2 THEN (batch_num - 2)::INTEGER END AS parent_version,
+    batch_num > 2 AS is_incremental, batch_num AS batch_id, (batch_num - 1)::INTEGER AS members FROM b""",
+)
+def registry_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Train on two quarters, update on the other two, repeat the last update: versions, parents and saved members."""
+    rows = stored_policies(spark, folder).withColumn("batch_num", F.col("object_id") % 4 + 1)
+    registry = Registry(spark, scratch_folder(spark))
+    jobs.train_models(rows.where("batch_num <= 2"), FIXTURE, registry, [models.FOREST], {models.FOREST: {"numTrees": [10], "maxDepth": [5]}}, batch_id=2)
+    for number in (3, 4, 4):
+        jobs.update_model(rows.where(F.col("batch_num") == number), FIXTURE, registry, models.FOREST, batch_id=number)
+    return registry.versions().select("model_name", "version", "parent_version", "is_incremental", "batch_id", F.size("members").alias("members"))
+
+
 @query(
     "analysis_reports",
     f"""WITH {sql.VERDICT} SELECT batch_num, drift_detected, affected, quality_issues FROM verdict WHERE batch_num > 1""",
