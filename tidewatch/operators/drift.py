@@ -51,7 +51,7 @@ def categorical_shares(df: DataFrame, roles: Roles, columns: Sequence[str] | Non
     cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), as_label(df, c).alias("value")) for c in present]))
     counted = df.select(*by, cells).where("value is not null").groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     totals = counted.groupBy(*by, "column").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_categories"))
-    joined = counted.join(totals, by + ["column"])
+    joined = attach(counted, totals, by + ["column"])
     return joined.withColumn("share", F.col("n") / F.col("total"))
 
 
@@ -96,7 +96,7 @@ def share_chi_square(
     by = [c for c in roles.by if c in shares.columns]
     pinned = reference.select("column", "value", F.col("n").alias("n_ref"), F.col("total").alias("total_ref"))
     per_column = reference.groupBy("column").agg(F.first("total").alias("_rows"), F.count(F.lit(1)).alias("_known"))
-    joined = shares.join(pinned, ["column", "value"], "left")
+    joined = attach(shares, pinned, ["column", "value"])
     expected = F.col("n_ref") / F.col("total_ref")
     matched = F.sum(F.when(F.col("n_ref").isNotNull(), F.pow(F.col("share") - expected, F.lit(2)) / expected).otherwise(0.0))
     summed = joined.groupBy(*by, "column").agg(
@@ -128,7 +128,7 @@ def target_shift(shares: DataFrame, reference: DataFrame, roles: Roles, limits:
     alone = F.abs(F.col("share_ref") - gap)
     everything = pinned.agg(F.coalesce(F.sum(alone), F.lit(0.0)).alias("all")).scalar()
     known = pinned.agg(F.count(F.lit(1)).alias("known")).scalar()
-    joined = shares.join(pinned, "value", "left")
+    joined = attach(shares, pinned, ["value"])
     change = F.abs(F.coalesce("share_ref", gap) - F.col("share"))
     summed = joined.groupBy(*by).agg(F.sum(change).alias("_change"), F.coalesce(F.sum(alone), F.lit(0.0)).alias("_alone"))
     total = F.when(F.col("_known") > 0, F.col("_change") + (F.col("_all") - F.col("_alone"))).otherwise(0.0)

@@ -30,49 +30,22 @@ def batch_profile(df: DataFrame, roles: Roles) -> DataFrame:
 def column_profile(df: DataFrame, roles: Roles, approximate: bool = False) -> DataFrame:
     """Type, missing and distinct counts, and min/max/mean of numbers, per batch and column.
 
-    The exact form first counts equal cells, so a value shared by many rows is combined before the
-    shuffle. ``approximate`` replaces the distinct count by a sketch and needs no cell shuffle.
+    All but the distinct counts is one aggregate combined before its shuffle. Exact distinct counts take a second
+    pass that shuffles each distinct cell text once; ``approximate`` sketches them in the first pass instead.
     """
     columns = _columns(df, roles)
     numeric = {c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)}
+    profile = _measured(df, roles, columns, numeric, approximate)
     if approximate:
-        return _sketched(df, roles, columns, numeric)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("ordinal"),
-                    F.col(c).cast("string").alias("text"),
-                    (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number"),
-                )
-                for i, c in enumerate(columns)
-            ]
-        )
-    ).alias("cell")
-    counted = df.select(*roles.by, cells).groupBy(*roles.by, "cell.ordinal", "cell.text", "cell.number").agg(F.count(F.lit(1)).alias("n"))
-    profile = counted.groupBy(*roles.by, "ordinal").agg(
-        F.sum(F.when(F.col("text").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-        F.count("text").alias("unique_count"),
-        F.min("number").alias("min_value"),
-        F.max("number").alias("max_value"),
-        (F.sum(F.col("number") * F.col("n")) / F.sum(F.when(F.col("number").isNotNull(), F.col("n")))).alias("mean_value"),
-    )
-    names = F.array(*[F.lit(c) for c in columns])
-    kinds = F.array(*[F.lit("numeric" if c in numeric else "categorical") for c in columns])
-    return profile.select(
-        *roles.by,
-        "ordinal",
-        names[F.col("ordinal")].alias("column_name"),
-        kinds[F.col("ordinal")].alias("data_type"),
-        "null_count",
-        "unique_count",
-        "min_value",
-        "max_value",
-        "mean_value",
-    )
+        return profile
+    cells = F.inline(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.col(c).cast("string").alias("text")) for i, c in enumerate(columns)]))
+    distinct = df.select(*roles.by, cells).where("text is not null").distinct()
+    counts = distinct.groupBy(*roles.by, "ordinal").agg(F.count(F.lit(1)).alias("_distinct"))
+    joined = profile.join(counts, [*roles.by, "ordinal"], "left")
+    return joined.withColumn("unique_count", F.coalesce("_distinct", F.lit(0).cast("bigint"))).select(*profile.columns)
 
 
-def _sketched(df: DataFrame, roles: Roles, columns: list[str], numeric: set[str]) -> DataFrame:
+def _measured(df: DataFrame, roles: Roles, columns: list[str], numeric: set[str], approximate: bool) -> DataFrame:
     nothing = F.lit(None).cast("double")
 
     def measured(ordinal: int, c: str):
@@ -82,7 +55,7 @@ def _sketched(df: DataFrame, roles: Roles, columns: list[str], numeric: set[str]
             F.lit(c).alias("column_name"),
             F.lit("numeric" if c in numeric else "categorical").alias("data_type"),
             F.count(F.when(F.col(c).isNull(), 1)).alias("null_count"),
-            F.approx_count_distinct(c).alias("unique_count"),
+            (F.approx_count_distinct(c) if approximate else F.lit(0).cast("bigint")).alias("unique_count"),
             (F.min(number) if c in numeric else nothing).alias("min_value"),
             (F.max(number) if c in numeric else nothing).alias("max_value"),
             (F.avg(number) if c in numeric else nothing).alias("mean_value"),
