@@ -21,6 +21,8 @@ from tidewatch.session import attach, sized
 # The weights of sources in code-point order, repeated; the mix's share of all words; the most passes over a source.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 BLOCK_WORDS, SHARD_SLOTS, ROUNDS = 64, 256, 24
+# Slots that a task numbers and permutes.
+TASK_SLOTS = 200_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -132,7 +134,8 @@ def mix(
     drawn = _within(slots, "fall", sources.select("skey", "low", "high"), "low", "high", total, count)
     counts = drawn.groupBy("shard", "skey").agg(F.count(F.lit(1)).alias("drawn"))
     counts = running_totals(counts, ["shard"], {"first": "drawn"}, by=["skey"])
-    numbered = counts.select("shard", "skey", F.explode(F.sequence("first", F.col("first") + F.col("drawn") - 1)).alias("k"))
+    spread = counts.repartition(int(total // TASK_SLOTS) + 1, "shard")
+    numbered = spread.select("shard", "skey", F.explode(F.sequence("first", F.col("first") + F.col("drawn") - 1)).alias("k"))
 
     # Surplus slots fill the deficits, in order.
     got = counts.groupBy("skey").agg(F.sum("drawn").alias("got"))
