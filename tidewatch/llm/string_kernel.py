@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 
 LENGTH, DECAY, POWER = 3, 0.7, 2
+# Subsequences that are looked up at once.
+CELLS = 1 << 21
 
 
 def _codes(strings: list[str]) -> np.ndarray:
@@ -14,55 +18,83 @@ def _codes(strings: list[str]) -> np.ndarray:
     return np.frombuffer(joined.encode("utf-32-le"), np.uint32).reshape(len(strings), width)
 
 
+def _places(size: int, length: int, decay: float) -> tuple[np.ndarray, np.ndarray]:
+    """All ways to pick ``length`` places of a string, and decay to the power of the places they span."""
+    picked = np.array(list(combinations(range(size), length)), np.int64).reshape(-1, length)
+    return picked, (decay ** (picked[:, -1] - picked[:, 0] + 1)).astype(np.float32) if len(picked) else np.zeros(0, np.float32)
+
+
+def _by_length(strings: list[str]):
+    """(rows, codes) of the strings of each length."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        yield size, rows, _codes([strings[i] for i in rows])
+
+
 def raw_kernel(left: list[str], right: list[str], length: int = LENGTH, decay: float = DECAY) -> np.ndarray:
-    """Sum over common subsequences of ``length`` characters of decay to the power of the places they span in both."""
-    a, b = _codes(left), _codes(right)
-    shape = (b.shape[1] + 1, len(left), len(right))
-    out = np.zeros(shape[1:], np.float32)
-    # inner[q][j]: weights of the subsequences of q characters up to here, with prefixes of length j of the right strings
-    inner = [np.ones(shape, np.float32), *(np.zeros(shape, np.float32) for _ in range(length - 1))]
-    lam, square = np.float32(decay), np.float32(decay * decay)
-    for i in range(a.shape[1]):
-        same = [(a[:, i][:, None] == b[:, j][None, :]) & (a[:, i] != 0)[:, None] for j in range(b.shape[1])]
-        for j, eq in enumerate(same):
-            out += square * eq * inner[length - 1][j]
-        live = a[:, i] != 0
-        for q in range(length - 1, 0, -1):
-            run = np.zeros(shape[1:], np.float32)
-            for j, eq in enumerate(same):
-                run = lam * run + square * eq * inner[q - 1][j]
-                np.copyto(inner[q][j + 1], lam * inner[q][j + 1] + run, where=live[:, None])
+    """Sum over common subsequences of ``length`` characters of decay to the power of the places they span in both.
+
+    The subsequences of the right strings are listed with their weights; those of the left ones are looked up.
+    """
+    letters = np.unique(_codes(right))
+    letters = letters[letters != 0]
+    base = len(letters) + 1
+    scale = base ** np.arange(length - 1, -1, -1)
+
+    def numbered(codes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(letters, codes), max(len(letters) - 1, 0))
+        return np.where(letters[at] == codes, at + 1, 0) if len(letters) else np.zeros(codes.shape, np.int64)
+
+    number, column, weight = [], [], []
+    for size, rows, codes in _by_length(right):
+        picked, decays = _places(size, length, decay)
+        number.append((numbered(codes)[:, picked] @ scale).ravel())
+        column.append(np.repeat(rows, len(picked)))
+        weight.append(np.tile(decays, len(rows)))
+    known, row = np.unique(np.concatenate(number), return_inverse=True) if number else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    table = np.zeros((len(known), len(right)), np.float32)
+    if len(known):
+        np.add.at(table, (row, np.concatenate(column)), np.concatenate(weight))
+    where = np.full(base**length, -1, np.int32)
+    where[known] = np.arange(len(known))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for size, rows, codes in _by_length(left):
+        picked, decays = _places(size, length, decay)
+        codes = numbered(codes)
+        step = max(1, CELLS // max(1, len(picked)))
+        for at in range(0, len(rows) if len(picked) else 0, step):
+            found = where[codes[at : at + step][:, picked] @ scale]
+            string, place = np.nonzero(found >= 0)
+            if len(string):
+                parts = table[found[string, place]] * decays[place][:, None]
+                heads = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]]))
+                out[rows[at + string[heads]]] = np.add.reduceat(parts, heads, axis=0)
     return out
 
 
 def self_kernel(strings: list[str], length: int = LENGTH, decay: float = DECAY) -> np.ndarray:
     """The raw kernel of each string with itself."""
-    a = _codes(strings)
-    n, width = a.shape
-    used = a != 0
-    inner = [np.ones((width + 1, n), np.float32), *(np.zeros((width + 1, n), np.float32) for _ in range(length - 1))]
-    out = np.zeros(n, np.float32)
-    for i in range(width):
-        same = (a == a[:, i : i + 1]) & used & used[:, i : i + 1]
-        for j in range(width):
-            out += decay**2 * same[:, j] * inner[length - 1][j]
-        for q in range(length - 1, 0, -1):
-            run = np.zeros(n, np.float32)
-            for j in range(width):
-                run = decay * run + decay**2 * same[:, j] * inner[q - 1][j]
-                inner[q][j + 1] = np.where(used[:, i], decay * inner[q][j + 1] + run, inner[q][j + 1])
+    out = np.zeros(len(strings), np.float32)
+    for size, rows, codes in _by_length(strings):
+        if size < length:
+            continue
+        inner = [np.ones((size + 1, len(rows)), np.float32), *(np.zeros((size + 1, len(rows)), np.float32) for _ in range(length - 1))]
+        total = np.zeros(len(rows), np.float32)
+        for i in range(size):
+            same = (codes == codes[:, i : i + 1]).T
+            for j in range(size):
+                total += decay**2 * same[j] * inner[length - 1][j]
+            for q in range(length - 1, 0, -1):
+                run = np.zeros(len(rows), np.float32)
+                for j in range(size):
+                    run = decay * run + decay**2 * same[j] * inner[q - 1][j]
+                    inner[q][j + 1] = decay * inner[q][j + 1] + run
+        out[rows] = total
     return out
 
 
-def kernel(left: list[str], right: list[str], chunk: int = 2048) -> np.ndarray:
+def kernel(left: list[str], right: list[str]) -> np.ndarray:
     """The normalised kernel, sharpened by a power; 0 for strings too short to have a subsequence."""
-    out = np.zeros((len(left), len(right)), np.float32)
-    norm = self_kernel(right)
-    by_size = sorted(range(len(left)), key=lambda i: len(left[i]))
-    for at in range(0, len(by_size), chunk):
-        rows = by_size[at : at + chunk]
-        part = [left[i] for i in rows]
-        if len(part[-1]) >= LENGTH:
-            scale = np.sqrt(self_kernel(part)[:, None] * norm[None, :])
-            out[rows] = (raw_kernel(part, right) / np.where(scale > 0, scale, 1)) ** POWER
-    return out
+    scale = np.sqrt(self_kernel(left)[:, None] * self_kernel(right)[None, :])
+    return (raw_kernel(left, right) / np.where(scale > 0, scale, 1)) ** POWER
