@@ -24,7 +24,7 @@ from tidewatch.llm.deep_shallow import sort_suffixes
 LENGTH = 50
 ANCHOR = 12
 # Bytes of text per packing unit, bucket and slice.
-UNIT_BYTES, BUCKET_BYTES, SLICE_BYTES = 8 << 20, 6 << 20, 6 << 20
+UNIT_BYTES, BUCKET_BYTES, SLICE_BYTES = 4 << 20, 6 << 20, 6 << 20
 _STEP = 1 << 20
 _LAST_ID = 2**63 - 1
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9))
@@ -167,7 +167,7 @@ def pack_unit(data, runs, doc_of, offsets, ids, ties, buckets: int, length: int)
         rows = kept[a:b]
         body = records[rows]
         used = np.arange(body.shape[1])[None, :] < (windows[rows] + length - 1)[:, None]
-        columns = [windows[rows].astype(np.uint8), place[rows].astype(np.uint8), own[rows], ties[doc[rows]], at[rows]]
+        columns = [windows[rows].astype(np.uint8), place[rows].astype(np.uint8), np.diff(own[rows], prepend=np.int64(0)), ties[doc[rows]], at[rows].astype(np.uint32)]
         yield int(bucket[rows[0]]), 0, pack(columns, body[used].tobytes(), 4)
 
 
@@ -208,7 +208,8 @@ def settle(blobs: list[tuple[int, bytes]], length: int) -> list[np.ndarray]:
         if kind == 1:
             done.append(unpack(blob, _SPAN)[0])
             continue
-        columns, body = unpack(blob, [np.uint8, np.uint8, np.int64, np.int64, np.int64])
+        columns, body = unpack(blob, [np.uint8, np.uint8, np.int64, np.int64, np.uint32])
+        columns[2], columns[4] = np.cumsum(columns[2]), columns[4].astype(np.int64)
         parts.append(columns)
         used = np.arange(width)[None, :] < (columns[0].astype(np.int64) + length - 1)[:, None]
         records = np.zeros((len(columns[0]), width), np.uint8)
@@ -286,26 +287,52 @@ def _bucket_task(slices: int, length: int):
     return run
 
 
+def _pack_texts(slices: int):
+    """(slice, blob): the documents of a run of rows, compressed by target slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                ids, ties, times = (part.column(part.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("id", "tie", "times"))
+                offsets, data = utf8(part.column(part.schema.get_field_index("text")))
+                to = _slice(ids, ties, slices)
+                order = np.argsort(to, kind="stable")
+                heads = np.flatnonzero(np.concatenate([[True], to[order][1:] != to[order][:-1]])) if len(order) else []
+                blobs = []
+                for a, b in zip(heads, [*heads[1:], len(order)]):
+                    rows = order[a:b]
+                    texts = b"".join(data[offsets[i] : offsets[i + 1]].tobytes() for i in rows)
+                    blobs.append(pack([ids[rows], ties[rows], times[rows], np.diff(offsets)[rows]], texts, 3))
+                names = ["slice", "blob"]
+                yield pa.RecordBatch.from_arrays([pa.array(to[order][heads] if blobs else [], pa.int64()), pa.array(blobs, pa.binary())], names)
+
+    return run
+
+
+_CUT = pa.schema([
+    ("id", pa.int64()), ("times", pa.int64()), ("n_bytes", pa.int64()),
+    ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()),
+])
+
+
 def _cut(docs: pa.Table, blobs: pa.Table) -> pa.Table:
     spans = [unpack(b, _SPAN)[0] for b in blobs["blob"].to_pylist()]
     ids, ties, begin, end = merge_spans(*(np.concatenate(c) for c in zip(*spans))) if spans else merge_spans([], [], [], [])
     by_doc: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for i, t, a, b in zip(ids.tolist(), ties.tolist(), begin.tolist(), end.tolist()):
         by_doc.setdefault((i, t), []).append((a, b))
-    own = list(zip(docs["id"].to_pylist(), docs["tie"].to_pylist()))
-    removed, kept = [], []
-    for key, text in zip(own, docs["text"]):
-        raw, last, parts = text.as_py().encode(), 0, []
-        cuts = by_doc.get(key, [])
-        for a, b in cuts:
-            parts.append(raw[last:a])
-            last = b
-        removed.append([{"start": a, "end": b} for a, b in cuts])
-        kept.append(b"".join([*parts, raw[last:]]))
-    return pa.table({
-        "id": docs["id"], "times": docs["times"], "n_bytes": pa.array([len(t.as_py().encode()) for t in docs["text"]], pa.int64()),
-        "removed": pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.binary()),
-    })
+    rows = []
+    for blob in docs["blob"].to_pylist():
+        columns, texts = unpack(blob, _SPAN)
+        at = 0
+        for i, t, times, size in zip(*(c.tolist() for c in columns)):
+            raw, last, parts, cuts = texts[at : at + size], 0, [], by_doc.get((i, t), [])
+            at += size
+            for a, b in cuts:
+                parts.append(raw[last:a])
+                last = b
+            rows.append((i, times, size, [{"start": a, "end": b} for a, b in cuts], b"".join([*parts, raw[last:]])))
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(_CUT), _CUT)], schema=_CUT)
 
 
 def remove_repeats(
@@ -329,9 +356,9 @@ def remove_repeats(
     buckets, slices = int(total // bucket_bytes) + 1, 2 * int(total // slice_bytes // 2) + 1
     dealt = rows.select("id", "tie", "text").mapInArrow(_deal(buckets, length), "bucket bigint, kind int, blob binary")
     spans = dealt.groupBy("bucket").applyInArrow(_bucket_task(slices, length), "slice bigint, blob binary")
-    share = F.pmod(F.pmod(F.col("id"), F.lit(slices)) + F.pmod(F.col("tie"), F.lit(slices)), F.lit(slices)).cast("bigint")
+    texts = rows.select("id", "tie", "times", "text").mapInArrow(_pack_texts(slices), "slice bigint, blob binary")
     cut = (
-        rows.withColumn("slice", share).groupBy("slice").cogroup(spans.groupBy("slice"))
+        texts.groupBy("slice").cogroup(spans.groupBy("slice"))
         .applyInArrow(_cut, "id bigint, times bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary")
     )
     cut = cut.withColumn("id", F.when(F.col("id") != _LAST_ID, F.col("id")))
