@@ -124,3 +124,49 @@ def test_blind_trie():
     leaves = list(trie.leaves())
     assert [strings[m[0]] for m in leaves] == sorted(set(strings))
     assert all(strings[i] == strings[m[0]] for m in leaves for i in m) and sum(map(len, leaves)) == 200
+
+
+RUNS = [
+    (1, "-" * 3000 + "x"), (2, "q " * 900), (3, "y" + "-" * 500 + "z" + "q " * 200), (4, "-" * 49 + "u" + "-" * 70), (5, "abc" * 300 + "-" * 60),
+    (6, "".join(f"{n % 7:>17}" for n in range(120))), (7, "".join(f"{n % 5:>17}" for n in range(90))), (None, " " * 400), (7, "-" * 120),
+]
+
+
+def test_runs_leave_a_unit_as_ranges():
+    """One byte or two over and over: not a record for every place."""
+    texts = ["-" * 1_000_000, "q " * 400_000]
+    names = ["id", "tie", "text"]
+    batch = suffix_dedup.pa.RecordBatch.from_arrays([suffix_dedup.pa.array(c) for c in ([1, 2], [0, 0], texts)], names)
+    rows = sum(
+        int(np.frombuffer(suffix_dedup.zstandard.decompress(r["blob"]), np.int64, 1)[0]) for b in suffix_dedup._deal(3, 50)([batch]) for r in b.to_pylist()
+    )
+    assert rows < 100
+
+
+@pytest.mark.parametrize("hot_rows", [1, 20])
+def test_hot_anchors_as_brute_force(spark, hot_rows):
+    rows = RUNS + made_up(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    keyed = docs.selectExpr("coalesce(doc_id, 9223372036854775807L) id", "0L tie", "text").fillna("")
+    assert len(suffix_dedup.hot_anchors(keyed, 10**6, 50, hot_rows)) > 0
+    assert result(remove_repeats(docs, hot_rows=hot_rows, bucket_bytes=2000, slice_bytes=3000)) == brute(rows)
+
+
+def test_no_bucket_holds_a_hot_anchor():
+    """Padded figures: one anchor for almost every place, all different."""
+    rng = random.Random(6)
+    word = lambda c: np.frombuffer(c.encode() * 8, "<u8")
+    pad = min("-_=.*# ~+", key=lambda c: int(suffix_dedup._hash(word(c), word(c))[0]))
+    text = "".join(f"{rng.randrange(10**6):{pad}>45}" for _ in range(4000))
+    batch = suffix_dedup.pa.RecordBatch.from_arrays([suffix_dedup.pa.array(c) for c in ([1], [0], [text])], ["id", "tie", "text"])
+    counts = [r for b in suffix_dedup._count_anchors(1, 50)([batch]) for r in b.to_pylist()]
+    hot = np.array([r["anchor"] for r in counts if r["rows"] > 5000], np.int64).view(np.uint64)
+
+    def largest(*hot):
+        sizes = {}
+        for b in suffix_dedup._deal(40, 50, *hot)([batch]):
+            for r in b.to_pylist():
+                sizes[r["bucket"]] = sizes.get(r["bucket"], 0) + int(np.frombuffer(suffix_dedup.zstandard.decompress(r["blob"]), np.int64, 1)[0])
+        return max(sizes.values(), default=0)
+
+    assert len(hot) and largest() > 5000 and largest(hot) < 5000
