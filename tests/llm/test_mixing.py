@@ -90,3 +90,26 @@ def test_shards_have_equal_slots_and_texts_are_the_words(spark, folder):
     known = {d: set(w) for d, w in words.items()}
     for r in texts:
         assert set(r.text.split(" ")) <= set().union(*(known[d] for d in r.doc_ids))
+
+
+def test_texts_of_null_and_repeated_ids(spark):
+    """Two passes over one source: every word stands in the mix twice, in its block, whatever the ids are."""
+    rows = [(None, "a", "n1 n2 n3 n4"), (None, "a", "m1 m2"), (5, "a", "r1 r2 r3"), (5, "a", "r1 r2 r3"), (5, "a", "s1 s2 s3 s4 s5"), (6, "a", "t1 " * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    every = sorted(WORD.findall(" ".join(r[2] for r in rows)) * 2)
+    texts = mixed_texts(docs, share=2.0, block_words=7, shard_slots=4).collect()
+    assert sorted(w for r in texts for w in r.text.split(" ")) == every
+    assert all(len(r.text.split(" ")) <= 7 for r in texts)
+    half = words_taken(docs, share=1.5, block_words=7, shard_slots=4).collect()
+    assert sum(r.taken for r in half) == round(0.75 * len(every))
+
+
+def test_query_counts_the_written_mix(spark, folder, monkeypatch):
+    from tidewatch.llm import mixing
+
+    kept = []
+    monkeypatch.setattr(mixing, "stored", lambda df, write=mixing.stored: kept.append(write(df)) or kept[-1])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    taken = words_taken(docs).agg(F.sum("taken")).first()[0]
+    written = [df for df in kept if {"shard", "k", "text"} <= set(df.columns)]
+    assert len(written) == 1 and sum(len(r.text.split(" ")) for r in written[0].collect()) == taken

@@ -4,7 +4,8 @@ The words of each source are laid end to end and cut into blocks of a fixed leng
 to output shards; every shard draws how many of its slots each source gets (a multinomial draw over the targets),
 and the surplus of sources drawn too often is handed to those drawn too seldom, so totals come out exact. The n-th
 slot of a source takes a block through a pseudorandom permutation of the source's block numbers, one permutation
-for each pass over the source, and blocks are joined by number. All draws are hashes of a seed, so reruns agree.
+for each pass over the source, and blocks are joined by number. Documents are told apart by a row number that is
+written with their text, so ids may be null or repeated. All draws are hashes of a seed, so reruns agree.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 @dataclass
 class Mixture:
-    """``rows``: documents with size and place; ``sources``: targets; ``slots``: the mix; ``pieces``: documents by block."""
+    """``rows``: documents with size and place; ``sources``: targets; ``slots``: the mix; ``pieces``: documents' words by block."""
 
     rows: DataFrame
     sources: DataFrame
@@ -40,6 +41,11 @@ def _long(value: Column) -> Column:
     return value.cast("bigint")
 
 
+def _words(joined: Column) -> Column:
+    """The number of words joined by single spaces."""
+    return _long(F.char_length(joined) - F.char_length(F.replace(joined, F.lit(" "), F.lit("")))) + 1
+
+
 def count_words(text: Column) -> Column:
     return _long(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)))
 
@@ -99,9 +105,10 @@ def mix(
     skey = F.coalesce(F.concat(F.lit("a"), F.col(source)), F.lit("b"))
     picked = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), skey.alias("skey"), count_words(F.col(text)).alias("size"),
-        F.xxhash64(text).alias("tie"),
+        F.xxhash64(text).alias("tie"), F.col(text).alias("text"),
     )
-    rows = stored(picked.withColumn("row", F.monotonically_increasing_id()))
+    written = stored(picked.withColumn("row", F.monotonically_increasing_id()))
+    rows = written.drop("text")
     totals = rows.groupBy("skey", "source").agg(F.sum("size").alias("size"))
     sources = targets(totals, weights, share, most)
     # Slots of a source: whole passes, then so many blocks of the next; the last slot is cut to meet the target.
@@ -159,29 +166,52 @@ def mix(
     dealt = dealt.withColumn("take", F.when(F.col("k") == F.col("quota") - 1, F.col("cut")))
     slots = stored(dealt.select("shard", "skey", "k", "block", F.coalesce("take", long_block).alias("take")))
 
-    # Where each document's words lie in its source, block by block.
+    # Each document's words, cut where the blocks of its source begin.
     packed = running_totals(rows.filter("size > 0"), ["doc_id", "tie", "row"], {"low": "size"}, by=["skey"])
-    packed = packed.select("doc_id", "row", "skey", "low", (F.col("low") + F.col("size")).alias("high"))
-    pieces = packed.withColumn("block", F.explode(F.sequence(F.floor(F.col("low") / block_words), F.floor((F.col("high") - 1) / block_words))))
-    begin = F.greatest("low", F.col("block") * block_words)
-    end = F.least("high", (F.col("block") + 1) * block_words)
-    pieces = pieces.select(
-        "doc_id", "row", "skey", "block", (begin - F.col("low")).alias("word"), (end - begin).alias("length"),
-        (begin - F.col("block") * block_words).alias("offset"),
-    )
+    placed = packed.select("doc_id", "row", "skey", "low", (F.col("low") + F.col("size")).alias("high"))
+    placed = placed.join(written.filter("size > 0").select("row", "text"), "row")
+
+    def piece(words: Column, block: Column) -> Column:
+        begin, end = F.greatest("low", block * block_words), F.least("high", (block + 1) * block_words)
+        part = F.slice(words, (begin - F.col("low") + 1).cast("int"), (end - begin).cast("int"))
+        return F.struct(block.alias("block"), (begin - block * block_words).alias("offset"), (end - begin).alias("length"), F.array_join(part, " ").alias("text"))
+
+    numbers = F.sequence(F.floor(F.col("low") / block_words), F.floor((F.col("high") - 1) / block_words))
+    # As the item of an array, a text's words are split off once and not for every piece.
+    split = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    pieces = placed.select("doc_id", "row", "skey", F.inline(F.flatten(F.transform(split, lambda w: F.transform(numbers, lambda b: piece(w, b))))))
     return Mixture(rows, sources, slots, pieces)
 
 
-def words_taken(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS, **options
-) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken`` (words of it in the mix, repeats counted)."""
-    m = mix(docs, doc_id, text, source, block_words=block_words, **options)
-    whole = F.col("take") == block_words
-    times = m.slots.groupBy("skey", "block").agg(F.count(F.when(whole, 1)).alias("times"), F.max(F.when(~whole, F.col("take"))).alias("part"))
-    part = F.least("length", F.greatest(F.coalesce("part", F.lit(0)) - F.col("offset"), F.lit(0)))
-    each = m.pieces.join(times, ["skey", "block"]).select("row", (F.col("times") * F.col("length") + part).alias("taken"))
-    taken = each.groupBy("row").agg(F.sum("taken").alias("taken"))
+def _filled(m: Mixture) -> DataFrame:
+    """``shard, skey, k, parts``: every slot with the words it takes of each document, in order (``offset, row, doc_id, text``)."""
+    part = F.struct("offset", "row", "doc_id", "length", "text")
+    blocks = m.pieces.groupBy("skey", "block").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+
+    def cut(p: Column) -> Column:
+        room = F.col("take") - p["offset"]
+        words = F.when(p["length"] > room, F.array_join(F.slice(F.split(p["text"], " "), F.lit(1), room.cast("int")), " ")).otherwise(p["text"])
+        return F.struct(p["offset"], p["row"], p["doc_id"], words.alias("text"))
+
+    used = F.filter("parts", lambda p: p["offset"] < F.col("take"))
+    return m.slots.join(blocks, ["skey", "block"]).select("shard", "skey", "k", F.transform(used, cut).alias("parts"))
+
+
+def _texts() -> list[Column | str]:
+    source = F.when(F.col("skey") != "b", F.substring("skey", 2, 2**31 - 1)).alias("source")
+    text = F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text")
+    return ["shard", source, "k", F.transform("parts", lambda p: p["doc_id"]).alias("doc_ids"), text]
+
+
+def words_taken(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, taken`` (words of it in the mix, repeats counted).
+
+    The mix is written, and its words are counted.
+    """
+    m = mix(docs, doc_id, text, source, **options)
+    words = F.transform("parts", lambda p: F.struct(p["row"].alias("row"), _words(p["text"]).alias("words")))
+    written = stored(_filled(m).select(*_texts(), words.alias("parts")))
+    taken = written.select(F.inline("parts")).groupBy("row").agg(F.sum("words").alias("taken"))
     rows = m.rows.join(taken, "row", "left")
     count = m.sources.count()
     rows = attach(rows, m.sources.select("skey", F.col("size").alias("source_size"), "target"), ["skey"], count)
@@ -191,17 +221,6 @@ def words_taken(
 def mixed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix itself: ``shard, source, k, doc_ids, text``, one row per slot with its block's words joined by spaces.
 
-    Needs ids that are not null and differ between documents.
+    ``doc_ids`` has one entry, null for a null id, for each row whose words stand in the slot.
     """
-    m = mix(docs, doc_id, text, source, **options)
-    split = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
-    words = docs.select(F.col(doc_id).alias("doc_id"), split.alias("words"))
-    cut = m.pieces.join(words, "doc_id").select(
-        "skey", "block", "offset", "doc_id", F.slice("words", (F.col("word") + 1).cast("int"), F.col("length").cast("int")).alias("words")
-    )
-    blocks = cut.groupBy("skey", "block").agg(F.array_sort(F.collect_list(F.struct("offset", "doc_id", "words"))).alias("parts"))
-    filled = m.slots.join(blocks, ["skey", "block"])
-    used = F.filter("parts", lambda p: p["offset"] < F.col("take"))
-    text_words = F.slice(F.flatten(F.transform(used, lambda p: p["words"])), F.lit(1), F.col("take").cast("int"))
-    source_name = F.when(F.col("skey") != "b", F.substring("skey", 2, 2**31 - 1))
-    return filled.select("shard", source_name.alias("source"), "k", F.transform(used, lambda p: p["doc_id"]).alias("doc_ids"), F.array_join(text_words, " ").alias("text"))
+    return _filled(mix(docs, doc_id, text, source, **options)).select(*_texts())
