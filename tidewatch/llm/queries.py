@@ -221,3 +221,28 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
         (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conversations`` with rows dropped, emptied, cut, repeated and given to the user by a checksum of conversation and turn."""
+    space = F.lit(" ")
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    rows = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(named) % 20).alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    copies = F.array_repeat(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1))
+    return rows.filter("kind <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies)).drop("col")
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.conversation_repair import digests, repair
+
+    turns = read_table(spark, folder, "conversations")
+    found = repair(damaged(turns))
+    hashed = digests(found.turns).select(F.col("conv").alias("hashed"), "digest")
+    told = found.report.join(hashed, F.col("conv").eqNullSafe(F.col("hashed")), "left")
+    told = turns.select("conv_id").distinct().join(told, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    return told.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", empty).alias("repaired_sha256"))
