@@ -246,3 +246,24 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     empty = F.sha2(F.lit("").cast("binary"), 256)
     return told.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", empty).alias("repaired_sha256"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def worn_words(docs: DataFrame) -> DataFrame:
+    """Runs of letters of all texts in lower case, some of them with a letter missing by a checksum of document and run."""
+    runs = F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(r"[a-zÀ-ÿ]+"), F.lit(0))
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"))
+    rows = docs.select(named.alias("named"), F.explode(runs).alias("run"))
+    rows = rows.withColumn("h", F.crc32(F.concat("named", "run")))
+    place = (F.col("h") % F.char_length("run")).cast("int")
+    worn = F.concat(F.substr("run", F.lit(1), place), F.substr("run", place + 2))
+    return rows.select(F.when(F.col("h") % 97 == 0, worn).otherwise(F.col("run")).alias("word"))
+
+
+@query
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.spelling import variants
+
+    return variants(worn_words(read_table(spark, folder, "documents")))
