@@ -267,3 +267,10 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
     from tidewatch.llm.spelling import variants
 
     return variants(worn_words(read_table(spark, folder, "documents")))
+
+
+@query
+def op12_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from tidewatch.llm.jaccard_join import join
+
+    return join(read_table(spark, folder, "documents"))
