@@ -4,8 +4,8 @@ Texts become sets of 64-bit shingle hashes. Equal sets are one class and meet by
 by a global order of shingles: by hash, but shingles of many texts last, as told by a table of fixed size over all texts. A set
 needs at least T = ceil(0.85 * size) common shingles with a partner, so two linked sets share one of their first size - T + 1. Sets that
 share none of these with any other are done. The others are laid out by the first they share, which brings likely partners together,
-and cut into blocks of bounded size; a block is an inverted index over whole sets, and a set visits its own block and each later one that
-holds a set with which it shares such a shingle.
+and cut into blocks of bounded size; a block is an inverted index over whole sets, and a set visits its own block and each other one that
+holds a set, smaller and not too small, with which it shares such a shingle.
 
 In a block the set's inverted lists are divided: the short ones are merged with a heap, which skips ids that cannot reach T less
 the number of long lists, and the ids left are probed in the long lists by binary search. The count is the exact overlap. Only links
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,34 +172,58 @@ def _first_shingles(text: str, doc_id: str, levels):
     return run
 
 
+_POSTING = "shingle long, number long, size int, place int"
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            lists = [np.frombuffer(b, np.int64) for b in part.column(1).to_pylist()]
-            sizes = [len(x) for x in lists]
-            numbers = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
-            places = np.concatenate([np.arange(n) for n in sizes])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists)), pa.array(numbers), pa.array(places.astype(np.int32))], ["shingle", "number", "place"])
+            lists = [np.frombuffer(b, np.int64) for b in part.column(2).to_pylist()]
+            counts = [len(x) for x in lists]
+            numbers, sizes = (np.repeat(part.column(i).to_numpy(zero_copy_only=False), counts) for i in (0, 1))
+            places = np.concatenate([np.arange(n) for n in counts])
+            arrays = [pa.array(np.concatenate(lists)), pa.array(numbers), pa.array(sizes.astype(np.int32)), pa.array(places.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, ["shingle", "number", "size", "place"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings, sorted by shingle and size, that some partner may meet: ``as_smaller`` or ``as_larger`` of a pair.
 
+    The smaller set of a linked pair of sizes x <= y has the first common shingle among its first x - ceil(2 * 85 * x / 185) + 1.
+    A row's nearest possible partners are the last such posting before it and the row after it. One row is held back.
+    """
+    held, last = None, (None, 0)
+    names = ["shingle", "number", "size", "as_smaller", "as_larger", "place"]
+
+    def judge(rows: pa.RecordBatch, whole: bool):
+        nonlocal last
+        shingles, sizes, places = (rows.column(i).to_numpy().astype(np.int64) for i in (0, 2, 3))
+        early = places <= sizes + -2 * PERCENT * sizes // (100 + PERCENT)
+        n = len(shingles)
+        before = np.concatenate([[-1], np.maximum.accumulate(np.where(early, np.arange(n), -1))[:-1]])
+        smaller = np.where(before >= 0, sizes[before], last[1])
+        same = np.where(before >= 0, shingles[before] == shingles, np.array([last[0] == s for s in shingles.tolist()]) if (before < 0).any() else False)
+        larger = same & (100 * smaller >= PERCENT * sizes)
+        follows = np.concatenate([shingles[1:] == shingles[:-1], [False]])
+        following = np.concatenate([sizes[1:], [0]])
+        less = early & follows & (100 * sizes >= PERCENT * following)
+        decided = n if whole else n - 1
+        keep = pa.array((larger | less)[:decided])
+        if decided:
+            at = int(np.where(early[:decided], np.arange(decided), -1).max())
+            if at >= 0:
+                last = (int(shingles[at]), int(sizes[at]))
+        columns = [rows.column(0), rows.column(1), rows.column(2), pa.array(less), pa.array(larger), rows.column(3)]
+        return pa.RecordBatch.from_arrays([c.slice(0, decided).filter(keep) for c in columns], names)
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Postings, sorted by shingle, whose shingle another set has too; nothing but one row is held back."""
-    last, emitted = None, False
-    names = ["shingle", "number", "place"]
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        whole = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-        shingles = whole.column(0).to_numpy()
-        same = shingles[1:] == shingles[:-1]
-        keep = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        held = keep[-1]
-        if last is not None and emitted:
-            keep[0] = False
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in whole.columns], names)
-        last, emitted = whole.slice(whole.num_rows - 1), bool(held)
+        if batch.num_rows:
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            yield judge(rows, whole=False)
+            held = rows.slice(rows.num_rows - 1)
+    if held is not None:
+        yield judge(held, whole=True)
 
 
 class Block:
@@ -378,27 +402,31 @@ def _whole_sets(text: str, doc_id: str):
     return run
 
 
-def _visits(shared: DataFrame, homes: DataFrame) -> DataFrame:
-    """(number, block, visitor): the block of every set, and later blocks with a set that shares one of its first shingles."""
-    at = shared.select("shingle", "number").join(homes.select("number", "block"), "number").select("shingle", "number", "block")
-    at = stored(at)
-    spread = at.groupBy("shingle").agg(F.min("block").alias("least"), F.max("block").alias("most")).filter("least < most").select("shingle")
-    at = stored(at.join(spread, "shingle"))
-    held = at.select("shingle", F.col("block").alias("other")).distinct()
-    met = at.join(held, "shingle").filter("other > block").select("number", F.col("other").alias("block")).distinct()
-    return met.withColumn("visitor", F.lit(True)).unionByName(homes.select("number", "block", F.lit(False).alias("visitor")))
+def _band(size: Column) -> Column:
+    """Sizes of linked sets are in the same band or in neighbouring ones."""
+    return F.floor(F.log(size.cast("double")) / F.log(F.lit(100.001 / PERCENT))).cast("int")
+
+
+def _visits(met: DataFrame, homes: DataFrame) -> DataFrame:
+    """(number, block, visitor): the block of every set, and other blocks of smaller sets with which it shares a first shingle."""
+    at = stored(met.join(homes.select("number", "block"), "number"))
+    held = at.filter("as_smaller").groupBy("shingle", "block", _band(F.col("size")).alias("band")).agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    held = held.select("shingle", F.col("block").alias("other"), "least", "most", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    asked = at.filter("as_larger").select("shingle", "number", "size", "block", _band(F.col("size")).alias("band"))
+    fits = (F.col("other") != F.col("block")) & (F.col("least") <= F.col("size")) & (100 * F.col("most") >= PERCENT * F.col("size"))
+    visitors = asked.join(held, ["shingle", "band"]).filter(fits).select("number", F.col("other").alias("block")).distinct()
+    return visitors.withColumn("visitor", F.lit(True)).unionByName(homes.select("number", "block", F.lit(False).alias("visitor")))
 
 
 def join_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Edges (a, b) between ``number``s that connect the distinct sets (number, set_id, doc_id, size, first) as all links would."""
-    postings = sets.select("number", "first").mapInArrow(_postings, "shingle long, number long, place int")
-    postings = postings.repartition("shingle").sortWithinPartitions("shingle", "number")
-    shared = stored(postings.mapInArrow(_shared, "shingle long, number long, place int"))
-    homes = shared.groupBy("number").agg(F.min(F.struct("place", "shingle")).alias("home"))
-    homes = homes.join(sets.select("number", "size"), "number").select("number", "size", F.col("home.shingle").alias("home"))
-    homes = running_totals(homes, ["home", "size", "number"], {"before": "size"})
+    postings = sets.select("number", "size", "first").mapInArrow(_postings, _POSTING)
+    postings = postings.repartition("shingle").sortWithinPartitions("shingle", "size", "number")
+    met = stored(postings.mapInArrow(_met, "shingle long, number long, size int, as_smaller boolean, as_larger boolean, place int"))
+    homes = met.groupBy("number").agg(F.min(F.struct("place", "shingle")).alias("home"), F.min("size").cast("bigint").alias("size"))
+    homes = running_totals(homes.select("number", "size", F.col("home.shingle").alias("home")), ["home", "size", "number"], {"before": "size"})
     homes = stored(homes.select("number", "size", F.floor(F.col("before") / BLOCK_SHINGLES).alias("block")))
-    visits = stored(_visits(shared, homes).join(homes.select("number", "size"), "number"))
+    visits = stored(_visits(met, homes).join(homes.select("number", "size"), "number"))
     # Visitors of a much visited block are shared out; each share gets the block's members.
     weight = F.sum(F.when(F.col("visitor"), F.col("size")).otherwise(0))
     shares = visits.groupBy("block").agg((F.floor(weight / (8 * BLOCK_SHINGLES)) + 1).alias("shares"))
