@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewatch.llm import jaccard_join
-from tidewatch.llm.jaccard_join import Block, divide_skip, join, shingle_set
+from tidewatch.llm.jaccard_join import Block, Shingler, divide_skip, join
 from tidewatch.llm.queries import op12_jaccard_join
 
 
@@ -75,6 +76,7 @@ def near_copies(seed, texts, copies, alike):
 EDGE = [
     (9001, None), (9002, ""), (9003, " \n\t"), (9004, "One two"), (9005, "one TWO"), (9005, "one TWO"), (9006, "a\x0bb\x0cc d"), (9007, "a b c D"),
     (None, "one two"), (None, "only here and nowhere else at all"), (9008, "word " * 50000), (9009, "word word word word"), (9010, "É b c d"), (9011, "é b c d"),
+    (9012, "A " + "Long" * 40 + " word here"), (9013, "a " + "lonG" * 40 + " word here"), (9014, "a " + "long" * 39 + " word here"),
 ]
 
 
@@ -108,11 +110,11 @@ def test_blocks_connect_as_all_links():
     rows = near_copies(9, 25, 9, 0.8)
     rows = [r for r in rows if shingles(r[1])]
     members, visitors = rows[: len(rows) // 2], rows[len(rows) // 2 :]
-    hashes = jaccard_join._Hashes()
-    block = Block([d for d, _ in members], [shingle_set(t, hashes) for _, t in members])
+    coded = dict(zip([d for d, _ in rows], Shingler().sets(pa.array([t for _, t in rows]))))
+    block = Block([d for d, _ in members], [coded[d] for d, _ in members])
     pairs = list(block.links())
-    for d, t in visitors:
-        pairs += block.visit(d, shingle_set(t, hashes))
+    for d, _ in visitors:
+        pairs += block.visit(d, coded[d])
     sets = {d: shingles(t) for d, t in rows}
 
     def links(a, b):

@@ -27,46 +27,92 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.running import running_totals
-from tidewatch.llm.common import stored
+from tidewatch.llm.common import chunks, stored, utf8
 from tidewatch.llm.components import connected
 from tidewatch.session import sized
 
 SHINGLE_WORDS, PERCENT, SEED = 4, 85, 42
 # Shingles of an index block; counted shingles that one task sorts; entries of the table of common shingles.
-BLOCK_SHINGLES, COUNT_SHINGLES, CELL_BITS = 1 << 19, 1 << 21, 22
+BLOCK_SHINGLES, COUNT_SHINGLES, CELL_BITS = 1 << 19, 1 << 21, 24
 # Texts from which on a shingle may count as common, as a power of two.
-COMMON_LEVEL = 4
-# Shingles that a task holds before it hands them on, and words that it remembers the hashes of.
-HELD, WORDS = 1 << 20, 1 << 20
+COMMON_LEVEL = 1
+# Shingles that a task holds before it hands them on.
+HELD = 1 << 20
+# Bytes of text whose words are hashed together.
+TEXT_BYTES = 1 << 19
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return value
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str | None, hashes: dict) -> np.ndarray:
-    """The distinct shingles of a text, as sorted hashes; a text of fewer words has all of them as its one shingle."""
-    words = (text or "").encode().translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    coded = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
-    size = min(len(words), SHINGLE_WORDS)
-    total = np.full(len(words) - size + 1, size, np.uint64)
-    for i in range(size):
-        total = total + coded[i : len(words) - size + 1 + i] * _ODD[i]
-    return np.unique(_mixed(total))
+def _powers(base: int, count: int) -> np.ndarray:
+    factors = np.full(count + 1, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
+
+
+class Shingler:
+    """Hashes words of many texts at once: differences of running sums of coded bytes times powers of a number, modulo 2 ** 64.
+
+    Long words, for which such sums would be weak, are hashed one by one.
+    """
+
+    LONG = 48
+
+    def __init__(self):
+        codes = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        upper = np.arange(65, 91)
+        codes[upper] = codes[upper + 32]
+        self.codes = codes
+        self.blank = np.zeros(256, bool)
+        self.blank[[9, 10, 11, 12, 13, 32]] = True
+        self.base = 0xD1342543DE82EF95 | 3
+        self.powers = _powers(self.base, 1 << 16)
+        self.inverse = _powers(pow(self.base, -1, 2**64), 1 << 16)
+
+    def _grow(self, size: int) -> None:
+        if size >= len(self.powers):
+            self.powers = _powers(self.base, size)
+            self.inverse = _powers(pow(self.base, -1, 2**64), size)
+
+    def sets(self, texts: pa.Array) -> list[np.ndarray]:
+        """The distinct shingles of each text, as sorted hashes; a text of fewer words has all of them as its one shingle."""
+        offsets, data = utf8(texts)
+        count = len(offsets) - 1
+        # A blank in front and one behind every text keep words apart.
+        place = np.arange(len(data)) + np.repeat(np.arange(1, count + 1), np.diff(offsets))
+        spaced = np.full(len(data) + count + 1, 32, np.uint8)
+        spaced[place] = data
+        self._grow(len(spaced))
+        inside = ~self.blank[spaced]
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(spaced) + 1, np.uint64)
+        np.cumsum(self.codes[spaced] * self.powers[: len(spaced)], dtype=np.uint64, out=sums[1:])
+        words = _mixed((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        for i in np.flatnonzero(ends - starts > self.LONG):
+            words[i] = xxhash.xxh64_intdigest(spaced[starts[i] : ends[i]].tobytes().translate(_LOWER), SEED)
+        bounds = np.searchsorted(starts, offsets + np.arange(count + 1))
+        total = np.full(max(len(words) - SHINGLE_WORDS + 1, 0), SHINGLE_WORDS, np.uint64)
+        for i in range(SHINGLE_WORDS):
+            total = total + words[i : i + len(total)] * _ODD[i]
+        total = _mixed(total)
+        out = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if b - a >= SHINGLE_WORDS:
+                found = np.sort(total[a : b - SHINGLE_WORDS + 1])
+                new = np.concatenate([[True], found[1:] != found[:-1]])
+                out.append(found if new.all() else found[new])
+            elif b > a:
+                out.append(_mixed(np.array([b - a], np.uint64) + np.sum(words[a:b] * _ODD[: b - a], dtype=np.uint64)))
+            else:
+                out.append(np.zeros(0, np.uint64))
+        return out
 
 
 def least_overlap(size: int) -> int:
@@ -94,10 +140,9 @@ def _count_shingles(text: str, bits: int):
         return pa.RecordBatch.from_arrays(arrays, ["packet", "shingles", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = _Hashes(), [], 0
-        for batch in batches:
-            for value in batch.column(batch.schema.get_field_index(text)):
-                found = shingle_set(value.as_py(), hashes)
+        shingler, held, size = Shingler(), [], 0
+        for part in (p for batch in batches for p in chunks(batch, text, TEXT_BYTES)):
+            for found in shingler.sets(part.column(part.schema.get_field_index(text))):
                 found = found[: np.searchsorted(found, np.uint64(1 << 63))]
                 if len(found):
                     held.append(found)
@@ -135,14 +180,14 @@ def _common(bits: int):
 def common_levels(docs: DataFrame, text: str = "text") -> np.ndarray:
     """A table of ``2 ** CELL_BITS`` bytes: about how many texts have a shingle whose hash falls there, as a power of two.
 
-    Counts cover the lower half of all hashes in all texts. Only the most common shingles, as many as fill a quarter of the table, are
+    Counts cover the lower half of all hashes in all texts. Only the most common shingles, as many as half its cells, are
     entered, so its size and what the driver gets are bounded; any table gives a valid order.
     """
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     bits = min(max(int(size // (12 * COUNT_SHINGLES)).bit_length(), 0), CELL_BITS)
     counted = docs.select(text).mapInArrow(_count_shingles(text, bits), "packet long, shingles binary, counts binary")
     found = stored(counted.groupBy("packet").applyInArrow(_common(bits), "level int, n long, cells binary"))
-    levels, room, least = found.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect(), (1 << CELL_BITS) // 4, 99
+    levels, room, least = found.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect(), (1 << CELL_BITS) // 2, 99
     for row in levels:
         if row.n > room:
             break
@@ -157,11 +202,10 @@ def _first_shingles(text: str, doc_id: str, levels):
     """(doc_id, size, set_id, first): the shingles of the global order of which linked sets share one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, table = _Hashes(), levels.value
-        for batch in batches:
+        shingler, table = Shingler(), levels.value
+        for batch in (p for whole in batches for p in chunks(whole, text, TEXT_BYTES)):
             sizes, ids, firsts = [], [], []
-            for value in batch.column(batch.schema.get_field_index(text)):
-                found = shingle_set(value.as_py(), hashes)
+            for found in shingler.sets(batch.column(batch.schema.get_field_index(text))):
                 sizes.append(len(found))
                 ids.append(_digest(found))
                 rank = np.where(found < np.uint64(1 << 63), table[(found >> np.uint64(63 - CELL_BITS)).astype(np.int64) & ((1 << CELL_BITS) - 1)], 0)
@@ -194,7 +238,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A row's nearest possible partners are the last such posting before it and the row after it. One row is held back.
     """
     held, last = None, (None, 0)
-    names = ["shingle", "number", "size", "as_smaller", "as_larger", "place"]
+    names = ["shingle", "number", "size", "as_smaller", "as_larger"]
 
     def judge(rows: pa.RecordBatch, whole: bool):
         nonlocal last
@@ -214,7 +258,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = int(np.where(early[:decided], np.arange(decided), -1).max())
             if at >= 0:
                 last = (int(shingles[at]), int(sizes[at]))
-        columns = [rows.column(0), rows.column(1), rows.column(2), pa.array(less), pa.array(larger), rows.column(3)]
+        columns = [rows.column(0), rows.column(1), rows.column(2), pa.array(less), pa.array(larger)]
         return pa.RecordBatch.from_arrays([c.slice(0, decided).filter(keep) for c in columns], names)
 
     for batch in batches:
@@ -229,7 +273,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Block:
     """An inverted index over sets, sorted by size, and the components found among them and their visitors."""
 
-    def __init__(self, numbers: list[int], sets: list[np.ndarray]):
+    def __init__(self, numbers: list[int], sets: list[np.ndarray], components: list[int] | None = None):
         order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), numbers[i]))
         self.numbers, self.sets = [numbers[i] for i in order], [sets[i] for i in order]
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
@@ -241,14 +285,17 @@ class Block:
         self.shingles = shingles[starts]
         # List and id as one sorted number, so that all lists are cut to a range of ids at once.
         self.keys = np.repeat(np.arange(len(starts)), np.diff([*starts, len(shingles)])) * len(order) + self.ids
-        self.roots = np.arange(len(order))
+        # The smallest id of each component; a visitor may belong to one as well.
+        self.roots, self.known = np.arange(len(order)), {}
+        for n, i in enumerate(order if components is not None else ()):
+            self.roots[n] = self.known.setdefault(components[i], n)
 
     def _merge(self, a: int, b: int) -> None:
         low, high = sorted((self.roots[a], self.roots[b]))
         self.roots[self.roots == high] = low
 
     def partners(self, found: np.ndarray, upto: int, own: int | None = None) -> Iterator[int]:
-        """Ids below ``upto`` linked to a set, at least one for each component that has any; ``own`` is its id if it is a member."""
+        """Ids below ``upto`` linked to a set, at least one for each component that has any; ``own`` is a member of its component."""
         size = len(found)
         need = least_overlap(size)
         low = int(np.searchsorted(self.sizes, need))
@@ -260,18 +307,23 @@ class Block:
         if len(lists) < need:
             return
         starts = np.searchsorted(self.keys, lists * len(self.sizes) + low)
-        ends = np.searchsorted(self.keys, lists * len(self.sizes) + high)
-        lists = self._lists(starts, ends, None)
+        counts = np.searchsorted(self.keys, lists * len(self.sizes) + high) - starts
+        starts, counts = starts[counts > 0], counts[counts > 0]
+        if len(counts) < need:
+            return
+        bounds = np.cumsum(counts)
+        ids = self.ids[np.arange(bounds[-1]) + np.repeat(starts - bounds + counts, counts)]
         linked: set[int] = set() if own is None else {int(self.roots[own])}
         # The shortest lists name likely partners; once one is linked, its whole component leaves the lists.
-        for number in {int(x[0]) for x in sorted(lists, key=len)[:3]}:
-            if int(self.roots[number]) not in linked and self._linked(size, number, len(np.intersect1d(found, self.sets[number], assume_unique=True))):
+        for number in {int(ids[bounds[n] - counts[n]]) for n in np.argsort(counts, kind="stable")[:3]}:
+            if int(self.roots[number]) not in linked and self._linked(size, number, int((ids == number).sum())):
                 linked.add(int(self.roots[number]))
                 yield number
-        if linked:
-            lists = self._lists(starts, ends, np.array(sorted(linked)))
-        if len(lists) < need:
+        keep = ~np.isin(self.roots, list(linked))[ids]
+        left = np.add.reduceat(keep, bounds - counts, dtype=np.int64)
+        if (left > 0).sum() < need:
             return
+        lists = [x for x in np.split(ids[keep], np.cumsum(left)[:-1]) if len(x)]
         for number, overlap in divide_skip(lists, need):
             if int(self.roots[number]) not in linked and self._linked(size, number, overlap):
                 linked.add(int(self.roots[number]))
@@ -280,12 +332,6 @@ class Block:
     def _linked(self, size: int, number: int, overlap: int) -> bool:
         return 100 * overlap >= PERCENT * (size + int(self.sizes[number]) - overlap)
 
-    def _lists(self, starts: np.ndarray, ends: np.ndarray, without: np.ndarray | None) -> list[np.ndarray]:
-        if without is None:
-            return [self.ids[a:b] for a, b in zip(starts, ends) if b > a]
-        out = np.isin(self.roots, without)
-        return [kept for a, b in zip(starts, ends) if b > a and len(kept := self.ids[a:b][~out[self.ids[a:b]]])]
-
     def links(self) -> Iterator[tuple[int, int]]:
         """Pairs of numbers that connect linked members."""
         for i, found in enumerate(self.sets):
@@ -293,14 +339,17 @@ class Block:
                 yield self.numbers[i], self.numbers[j]
                 self._merge(i, j)
 
-    def visit(self, number: int, found: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Pairs that connect a visitor; the components it joins are one from then on."""
-        first = None
-        for j in self.partners(found, len(self.sets)):
+    def visit(self, number: int, found: np.ndarray, component: int | None = None) -> Iterator[tuple[int, int]]:
+        """Pairs that connect a visitor to other components than its own; they are one with it from then on."""
+        own = self.known.get(component)
+        for j in self.partners(found, len(self.sets), own):
             yield number, self.numbers[j]
-            if first is not None:
-                self._merge(first, j)
-            first = j
+            if own is None:
+                own = j
+                if component is not None:
+                    self.known[component] = j
+            else:
+                self._merge(own, j)
 
 
 def divide_skip(lists: list[np.ndarray], need: int) -> Iterator[tuple[int, int]]:
@@ -352,8 +401,11 @@ def _merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links found in rows sorted by block, share and kind: a block's members come before its visitors."""
-    key, numbers, sets, block = None, [], [], None
+    """Links found in rows sorted by block, share and kind: a block's members come before its visitors.
+
+    Members that are alone in their components so far are searched among themselves as well.
+    """
+    key, members, block = None, {}, None
     out: list[tuple[int, int]] = []
 
     def rows():
@@ -363,24 +415,25 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close_members():
         nonlocal block
-        if numbers and block is None:
-            block = Block(numbers, sets)
-            if key[1] == 0:
+        if members and block is None:
+            numbers = list(members)
+            alone = all(root == n for n, (root, _) in members.items())
+            block = Block(numbers, [members[n][1] for n in numbers], [members[n][0] for n in numbers])
+            if key[1] == 0 and alone:
                 out.extend(block.links())
 
     for batch in batches:
         for row in batch.to_pylist():
             if (row["block"], row["share"]) != key:
                 close_members()
-                key, numbers, sets, block = (row["block"], row["share"]), [], [], None
+                key, members, block = (row["block"], row["share"]), {}, None
             found = np.frombuffer(row["shingles"], np.uint64)
             if row["visitor"]:
                 close_members()
                 if block is not None:
-                    out.extend(block.visit(row["number"], found))
-            elif not numbers or numbers[-1] != row["number"]:
-                numbers.append(row["number"])
-                sets.append(found)
+                    out.extend(block.visit(row["number"], found, row["root"]))
+            else:
+                members[row["number"]] = (row["root"], found)
         if out:
             yield rows()
     close_members()
@@ -390,14 +443,12 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _whole_sets(text: str, doc_id: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [shingle_set(v.as_py(), hashes) for v in part.column(part.schema.get_field_index(text))]
-                kept = part.column(part.schema.get_field_index(doc_id))
-                arrays = [kept, pa.array([_digest(f) for f in found], pa.binary()), pa.array([f.tobytes() for f in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "set_id", "shingles"])
+        shingler = Shingler()
+        for part in (p for batch in batches for p in chunks(batch, text, TEXT_BYTES)):
+            found = shingler.sets(part.column(part.schema.get_field_index(text)))
+            kept = part.column(part.schema.get_field_index(doc_id))
+            arrays = [kept, pa.array([_digest(f) for f in found], pa.binary()), pa.array([f.tobytes() for f in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "set_id", "shingles"])
 
     return run
 
@@ -407,43 +458,58 @@ def _band(size: Column) -> Column:
     return F.floor(F.log(size.cast("double")) / F.log(F.lit(100.001 / PERCENT))).cast("int")
 
 
-def _visits(met: DataFrame, homes: DataFrame) -> DataFrame:
-    """(number, block, visitor): the block of every set, and other blocks of smaller sets with which it shares a first shingle."""
-    at = stored(met.join(homes.select("number", "block"), "number"))
-    held = at.filter("as_smaller").groupBy("shingle", "block", _band(F.col("size")).alias("band")).agg(F.min("size").alias("least"), F.max("size").alias("most"))
-    held = held.select("shingle", F.col("block").alias("other"), "least", "most", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
-    asked = at.filter("as_larger").select("shingle", "number", "size", "block", _band(F.col("size")).alias("band"))
-    fits = (F.col("other") != F.col("block")) & (F.col("least") <= F.col("size")) & (100 * F.col("most") >= PERCENT * F.col("size"))
-    visitors = asked.join(held, ["shingle", "band"]).filter(fits).select("number", F.col("other").alias("block")).distinct()
-    return visitors.withColumn("visitor", F.lit(True)).unionByName(homes.select("number", "block", F.lit(False).alias("visitor")))
-
-
-def join_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Edges (a, b) between ``number``s that connect the distinct sets (number, set_id, doc_id, size, first) as all links would."""
-    postings = sets.select("number", "size", "first").mapInArrow(_postings, _POSTING)
-    postings = postings.repartition("shingle").sortWithinPartitions("shingle", "size", "number")
-    met = stored(postings.mapInArrow(_met, "shingle long, number long, size int, as_smaller boolean, as_larger boolean, place int"))
-    homes = met.groupBy("number").agg(F.min(F.struct("place", "shingle")).alias("home"), F.min("size").cast("bigint").alias("size"))
-    homes = running_totals(homes.select("number", "size", F.col("home.shingle").alias("home")), ["home", "size", "number"], {"before": "size"})
-    homes = stored(homes.select("number", "size", F.floor(F.col("before") / BLOCK_SHINGLES).alias("block")))
-    visits = stored(_visits(met, homes).join(homes.select("number", "size"), "number"))
+def _search(docs: DataFrame, sets: DataFrame, visits: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Links (a, b) found by rows (number, size, block, visitor, root) of sets that make up a block's index or visit it."""
     # Visitors of a much visited block are shared out; each share gets the block's members.
     weight = F.sum(F.when(F.col("visitor"), F.col("size")).otherwise(0))
     shares = visits.groupBy("block").agg((F.floor(weight / (8 * BLOCK_SHINGLES)) + 1).alias("shares"))
-    dealt = visits.join(shares, "block")
     all_shares = F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)
     one = F.array(F.pmod(F.xxhash64("number"), F.col("shares")))
-    dealt = dealt.withColumn("share", F.explode(F.when(F.col("visitor"), one).otherwise(all_shares)))
-    wanted = dealt.join(sets.select("number", "set_id", F.col("doc_id").alias("of")), "number").select("number", "set_id", "of", "block", "share", "visitor")
-    wanted = stored(wanted)
+    dealt = visits.join(shares, "block").withColumn("share", F.explode(F.when(F.col("visitor"), one).otherwise(all_shares)))
+    named = sets.select("number", F.col("set_id").alias("wanted_id"), F.col("doc_id").alias("of"))
+    wanted = stored(dealt.join(named, "number").select("number", "wanted_id", "of", "block", "share", "visitor", "root"))
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("set_id", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
     # Copies of a set have its id as well; only the document that stands for it goes on.
-    named = wanted.withColumnRenamed("set_id", "wanted_id")
     whole = docs.select(doc_id, text).mapInArrow(_whole_sets(text, doc_id), schema)
-    met = whole.join(sized(named), (F.col("set_id") == F.col("wanted_id")) & F.col("doc_id").eqNullSafe(F.col("of")))
-    met = met.select("block", "share", "visitor", "number", "shingles")
-    placed = met.repartition("block", "share").sortWithinPartitions("block", "share", "visitor", "number")
-    return placed.mapInArrow(_searched, "a long, b long")
+    met = whole.join(sized(wanted), (F.col("set_id") == F.col("wanted_id")) & F.col("doc_id").eqNullSafe(F.col("of")))
+    placed = met.select("block", "share", "visitor", "number", "root", "shingles").repartition("block", "share")
+    return stored(placed.sortWithinPartitions("block", "share", "visitor", "number").mapInArrow(_searched, "a long, b long"))
+
+
+def join_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Edges (a, b) between ``number``s that connect the distinct sets (number, set_id, doc_id, size, first) as all links would.
+
+    First every block is searched by its own sets and by the first of the next block, which connects most groups, wherever they lie.
+    Then a set visits other blocks, but only for partners of other components than its own, and only these are indexed.
+    """
+    postings = sets.select("number", "size", "first").mapInArrow(_postings, _POSTING)
+    postings = postings.repartition("shingle").sortWithinPartitions("shingle", "size", "number")
+    met = stored(postings.mapInArrow(_met, "shingle long, number long, size int, as_smaller boolean, as_larger boolean"))
+    # A set's home is the shingle that most others share with it.
+    common = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("others"))
+    homes = met.join(common, "shingle").groupBy("number").agg(F.max(F.struct("others", "shingle")).alias("home"), F.min("size").cast("bigint").alias("size"))
+    homes = running_totals(homes.select("number", "size", F.col("home.shingle").alias("home")), ["home", "size", "number"], {"before": "size"})
+    homes = stored(homes.select("number", "size", F.floor(F.col("before") / BLOCK_SHINGLES).alias("block"), (F.col("before") % BLOCK_SHINGLES).alias("depth")))
+    early = homes.filter((F.col("block") > 0) & (F.col("depth") < BLOCK_SHINGLES // 16))
+    own = homes.select("number", "size", "block", F.lit(False).alias("visitor"), F.col("number").alias("root"))
+    first = own.union(early.select("number", "size", F.col("block") - 1, F.lit(True), "number"))
+    inside = _search(docs, sets, first, doc_id, text)
+    linked = connected(inside).toDF("number", "linked")
+    homes = homes.join(linked, "number", "left").select("number", "block", F.coalesce("linked", "number").alias("root"))
+
+    at = stored(met.join(homes, "number").withColumn("band", _band(F.col("size"))))
+    held = at.filter("as_smaller").groupBy("shingle", "block", "band").agg(
+        F.min("size").alias("least"), F.max("size").alias("most"), F.min("root").alias("first_root"), F.max("root").alias("last_root")
+    )
+    held = held.select("shingle", F.col("block").alias("other"), "least", "most", "first_root", "last_root", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    fits = (F.col("other") != F.col("block")) & (F.col("least") <= F.col("size")) & (100 * F.col("most") >= PERCENT * F.col("size"))
+    foreign = (F.col("first_root") != F.col("root")) | (F.col("last_root") != F.col("root"))
+    visits = at.filter("as_larger").join(held, ["shingle", "band"]).filter(fits & foreign)
+    visits = stored(visits.select("shingle", "number", "size", "root", "other").distinct())
+    asked = visits.select("shingle", F.col("other").alias("block")).distinct()
+    members = at.filter("as_smaller").join(asked, ["shingle", "block"], "left_semi").select("number", "size", "block", F.lit(False).alias("visitor"), "root")
+    second = members.distinct().union(visits.select("number", "size", "other", F.lit(True), "root").distinct())
+    return inside.union(_search(docs, sets, stored(second), doc_id, text))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
