@@ -108,7 +108,7 @@ def test_query_counts_the_written_mix(spark, folder, monkeypatch):
     from tidewatch.llm import mixing
 
     kept = []
-    monkeypatch.setattr(mixing, "stored", lambda df, write=mixing.stored: kept.append(write(df)) or kept[-1])
+    monkeypatch.setattr(mixing, "stored", lambda df, *more, write=mixing.stored: kept.append(write(df, *more)) or kept[-1])
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     taken = words_taken(docs).agg(F.sum("taken")).first()[0]
     written = [df for df in kept if {"shard", "k", "text"} <= set(df.columns)]

@@ -18,11 +18,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared scratch folder and read it back, which cuts its lineage."""
     spark = df.sparkSession
     folder = scratch_folder(spark)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=codec)
     return spark.read.schema(df.schema).parquet(folder)
 
 

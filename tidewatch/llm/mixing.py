@@ -4,48 +4,50 @@ The words of each source are laid end to end and cut into blocks of a fixed leng
 to output shards; every shard draws how many of its slots each source gets (a multinomial draw over the targets),
 and the surplus of sources drawn too often is handed to those drawn too seldom, so totals come out exact. The n-th
 slot of a source takes a block through a pseudorandom permutation of the source's block numbers, one permutation
-for each pass over the source, and blocks are joined by number. Documents are told apart by a row number that is
-written with their text, so ids may be null or repeated. All draws are hashes of a seed, so reruns agree.
+for each pass over the source. Texts are cut at the bounds of chunks of neighbouring blocks, travel once, compressed by chunk, and meet the
+chunk's slots. Documents are told apart by a row number that is written with their text, so ids may be null or repeated. All draws are
+hashes of a seed, so reruns agree.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.running import running_totals
-from tidewatch.llm.common import stored
+from tidewatch.llm.common import chunks, stored
 from tidewatch.session import attach, sized
 
 # The weights of sources in code-point order, repeated; the mix's share of all words; the most passes over a source.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 BLOCK_WORDS, SHARD_SLOTS, ROUNDS = 64, 256, 24
-# Slots that a task numbers and permutes.
-TASK_SLOTS = 200_000
+# Slots that a task numbers and permutes; words of a chunk, which holds one block at least.
+TASK_SLOTS, CHUNK_WORDS = 200_000, 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 @dataclass
 class Mixture:
-    """``rows``: documents with size and place; ``sources``: targets; ``slots``: the mix; ``pieces``: documents' words by block."""
+    """``rows``: documents with size; ``sources``: targets; ``slots``: the mix by block; ``texts``: (row, doc_id, skey, low, text), words by place."""
 
     rows: DataFrame
     sources: DataFrame
     slots: DataFrame
-    pieces: DataFrame
+    texts: DataFrame
+    block_words: int
 
 
 def _long(value: Column) -> Column:
     return value.cast("bigint")
 
 
-def _words(joined: Column) -> Column:
-    """The number of words joined by single spaces."""
-    return _long(F.char_length(joined) - F.char_length(F.replace(joined, F.lit(" "), F.lit("")))) + 1
-
-
 def count_words(text: Column) -> Column:
     return _long(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)))
 
@@ -107,7 +109,7 @@ def mix(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), skey.alias("skey"), count_words(F.col(text)).alias("size"),
         F.xxhash64(text).alias("tie"), F.col(text).alias("text"),
     )
-    written = stored(picked.withColumn("row", F.monotonically_increasing_id()))
+    written = stored(picked.withColumn("row", F.monotonically_increasing_id()), "zstd")
     rows = written.drop("text")
     totals = rows.groupBy("skey", "source").agg(F.sum("size").alias("size"))
     sources = targets(totals, weights, share, most)
@@ -166,41 +168,96 @@ def mix(
     dealt = dealt.withColumn("take", F.when(F.col("k") == F.col("quota") - 1, F.col("cut")))
     slots = stored(dealt.select("shard", "skey", "k", "block", F.coalesce("take", long_block).alias("take")))
 
-    # Each document's words, cut where the blocks of its source begin.
+    # Only short rows are sorted to place the documents in their sources; a text is then given its place.
     packed = running_totals(rows.filter("size > 0"), ["doc_id", "tie", "row"], {"low": "size"}, by=["skey"])
-    placed = packed.select("doc_id", "row", "skey", "low", (F.col("low") + F.col("size")).alias("high"))
-    placed = placed.join(written.filter("size > 0").select("row", "text"), "row")
-
-    def piece(words: Column, block: Column) -> Column:
-        begin, end = F.greatest("low", block * block_words), F.least("high", (block + 1) * block_words)
-        part = F.slice(words, (begin - F.col("low") + 1).cast("int"), (end - begin).cast("int"))
-        return F.struct(block.alias("block"), (begin - block * block_words).alias("offset"), (end - begin).alias("length"), F.array_join(part, " ").alias("text"))
-
-    numbers = F.sequence(F.floor(F.col("low") / block_words), F.floor((F.col("high") - 1) / block_words))
-    # As the item of an array, a text's words are split off once and not for every piece.
-    split = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    pieces = placed.select("doc_id", "row", "skey", F.inline(F.flatten(F.transform(split, lambda w: F.transform(numbers, lambda b: piece(w, b))))))
-    return Mixture(rows, sources, slots, pieces)
+    places = sized(stored(packed.select("row", "low")))
+    texts = written.filter("size > 0").select("row", "doc_id", "skey", "text").join(places, "row")
+    return Mixture(rows, sources, slots, texts.select("row", "doc_id", "skey", "low", "text"), block_words)
+
+
+def _cut(span: int):
+    """Per run of documents: their words by source and chunk, compressed. A word holds no blank, so blanks and line ends can part them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for part in (p for batch in batches for p in chunks(batch, "text")):
+            found: dict[tuple[str, int], tuple[list, ...]] = {}
+            ids = part.column(1)
+            for n, row in enumerate(part.select(["row", "skey", "low", "text"]).to_pylist()):
+                words, low = row["text"].encode().split(), row["low"]
+                for chunk in range(low // span, (low + len(words) - 1) // span + 1):
+                    begin = max(low, chunk * span)
+                    held = words[begin - low : (chunk + 1) * span - low]
+                    for value, into in zip((begin - chunk * span, row["row"], n, b" ".join(held)), found.setdefault((row["skey"], chunk), ([], [], [], []))):
+                        into.append(value)
+            columns = [
+                pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int64()),
+                pa.array([f[0] for f in found.values()], pa.list_(pa.int32())), pa.array([f[1] for f in found.values()], pa.list_(pa.int64())),
+                _lists([ids.take(pa.array(f[2], pa.int64())) for f in found.values()], ids.type),
+                pa.array([packer.compress(b"\n".join(f[3])) for f in found.values()], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["skey", "chunk", "begins", "rows", "doc_ids", "words"])
+
+    return run
+
+
+def _lists(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    flat = pa.concat_arrays(parts) if parts else pa.array([], kind)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)), flat)
+
+
+def _fill(block_words: int, per_chunk: int):
+    """Texts of slots, from records sorted by source and chunk: a chunk's words come before its slots."""
+    names = ["shard", "skey", "k", "doc_ids", "rows", "counts", "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
+        key, pieces = None, []
+        for batch in batches:
+            kind = batch.schema.field("doc_ids").type.value_type
+            out: list[tuple] = []
+            for record in batch.to_pylist():
+                if (record["skey"], record["chunk"]) != key:
+                    key, pieces = (record["skey"], record["chunk"]), []
+                if record["words"] is not None:
+                    texts = unpacker.decompress(record["words"]).decode().split("\n")
+                    pieces += [(b, r, d, t.split(" ")) for b, r, d, t in zip(record["begins"], record["rows"], record["doc_ids"], texts)]
+                    pieces.sort(key=lambda p: p[0])
+                    continue
+                low = record["block"] % per_chunk * block_words
+                high = low + min(record["take"], block_words)
+                parts = [(p[1], p[2], p[3][max(low - p[0], 0) : high - p[0]]) for p in pieces if p[0] < high and p[0] + len(p[3]) > low]
+                text = " ".join(" ".join(w) for _, _, w in parts)
+                out.append((record["shard"], record["skey"], record["k"], [p[1] for p in parts], [p[0] for p in parts], [len(p[2]) for p in parts], text))
+            if out:
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.list_(kind), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+    return run
 
 
 def _filled(m: Mixture) -> DataFrame:
-    """``shard, skey, k, parts``: every slot with the words it takes of each document, in order (``offset, row, doc_id, text``)."""
-    part = F.struct("offset", "row", "doc_id", "length", "text")
-    blocks = m.pieces.groupBy("skey", "block").agg(F.array_sort(F.collect_list(part)).alias("parts"))
-
-    def cut(p: Column) -> Column:
-        room = F.col("take") - p["offset"]
-        words = F.when(p["length"] > room, F.array_join(F.slice(F.split(p["text"], " "), F.lit(1), room.cast("int")), " ")).otherwise(p["text"])
-        return F.struct(p["offset"], p["row"], p["doc_id"], words.alias("text"))
-
-    used = F.filter("parts", lambda p: p["offset"] < F.col("take"))
-    return m.slots.join(blocks, ["skey", "block"]).select("shard", "skey", "k", F.transform(used, cut).alias("parts"))
+    """``shard, skey, k, doc_ids, rows, counts, text``: every slot with its words, and the documents and numbers of words they are from."""
+    per_chunk = max(1, CHUNK_WORDS // m.block_words)
+    longs, chunk = T.ArrayType(T.LongType()), T.StructField("chunk", T.LongType())
+    ids = T.ArrayType(m.texts.schema["doc_id"].dataType)
+    skey = T.StructField("skey", T.StringType())
+    cut = T.StructType([
+        skey, chunk, T.StructField("begins", T.ArrayType(T.IntegerType())), T.StructField("rows", longs), T.StructField("doc_ids", ids), T.StructField("words", T.BinaryType()),
+    ])
+    runs = m.texts.mapInArrow(_cut(per_chunk * m.block_words), cut)
+    slots = m.slots.select("shard", "skey", "k", "block", "take", F.floor(F.col("block") / per_chunk).alias("chunk"))
+    records = runs.unionByName(slots, allowMissingColumns=True)
+    sorted_ = records.repartition("skey", "chunk").sortWithinPartitions("skey", "chunk", F.col("words").isNull())
+    filled = T.StructType([
+        T.StructField("shard", T.LongType()), skey, T.StructField("k", T.LongType()), T.StructField("doc_ids", ids), T.StructField("rows", longs),
+        T.StructField("counts", longs), T.StructField("text", T.StringType()),
+    ])
+    return sorted_.mapInArrow(_fill(m.block_words, per_chunk), filled)
 
 
 def _texts() -> list[Column | str]:
-    source = F.when(F.col("skey") != "b", F.substring("skey", 2, 2**31 - 1)).alias("source")
-    text = F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text")
-    return ["shard", source, "k", F.transform("parts", lambda p: p["doc_id"]).alias("doc_ids"), text]
+    return ["shard", F.when(F.col("skey") != "b", F.substring("skey", 2, 2**31 - 1)).alias("source"), "k", "doc_ids", "text"]
 
 
 def words_taken(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
@@ -209,8 +266,7 @@ def words_taken(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     The mix is written, and its words are counted.
     """
     m = mix(docs, doc_id, text, source, **options)
-    words = F.transform("parts", lambda p: F.struct(p["row"].alias("row"), _words(p["text"]).alias("words")))
-    written = stored(_filled(m).select(*_texts(), words.alias("parts")))
+    written = stored(_filled(m).select(*_texts(), F.arrays_zip(F.col("rows").alias("row"), F.col("counts").alias("words")).alias("parts")), "zstd")
     taken = written.select(F.inline("parts")).groupBy("row").agg(F.sum("words").alias("taken"))
     rows = m.rows.join(taken, "row", "left")
     count = m.sources.count()
