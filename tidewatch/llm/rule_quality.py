@@ -159,5 +159,9 @@ def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose score reaches the threshold, unchanged."""
-    return score(docs, fit(docs, labels)).filter(F.col("__score") >= threshold).select(*docs.columns)
+    """The documents whose score reaches the threshold, unchanged.
+
+    The score is written with the rows before they are filtered: a filter on it would be pushed below the projection and
+    make every statistic again for every rule.
+    """
+    return stored(score(docs, fit(docs, labels)), "zstd").filter(F.col("__score") >= threshold).select(*docs.columns)
