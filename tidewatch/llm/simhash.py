@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tidewatch.llm.common import stored
 from tidewatch.llm.components import connected
+from tidewatch.session import sized
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 2, 42
 SMALL_BUCKET = 32
@@ -175,14 +176,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` of which one document of each component stays: that with the smallest id.
 
-    Repeated rows of that document count as one. If all ids of a component are null, the row with the smallest
-    fingerprint stays.
+    Repeated rows of that document count as one. If all ids of a component are null, a row with the smallest
+    fingerprint stays. Rows are chosen by number, so texts are written once and shuffled only if the chosen numbers are too many to broadcast.
     """
-    prints = stored(fingerprints(docs, docs.columns, text, words))
-    named = prints.select(F.col(doc_id).alias("id"), F.col("__print").alias("print"))
-    groups = group_prints(named.withColumnRenamed("print", "__print"), "id", max_bits)
-    best = F.struct(F.col("id").isNull().alias("absent"), "id", "print")
-    kept = named.distinct().join(groups.select("print", "root"), "print").groupBy("root").agg(F.min(best).alias("best"))
-    kept = kept.select(F.col("best.id").alias("__id"), F.col("best.print").alias("__kept"))
-    joined = prints.join(kept, prints[doc_id].eqNullSafe(kept["__id"]) & (prints["__print"] == kept["__kept"]), "left_semi")
-    return joined.dropDuplicates([doc_id, "__print"]).select(*docs.columns)
+    written = stored(fingerprints(docs, docs.columns, text, words).withColumn("__row", F.monotonically_increasing_id()), "zstd")
+    named = written.select(F.col(doc_id).alias("id"), "__print", F.col("__row").alias("row"))
+    groups = group_prints(named, "id", max_bits).select(F.col("print").alias("__print"), "root")
+    best = F.struct(F.col("id").isNull().alias("absent"), "id", "__print", "row")
+    kept = stored(named.join(groups, "__print").groupBy("root").agg(F.min(best).alias("best")).select(F.col("best.row").alias("__row")))
+    return written.join(sized(kept), "__row", "left_semi").select(*docs.columns)
