@@ -1,7 +1,9 @@
+import random
 from itertools import combinations
 
 import pytest
 from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import functions as F
 
 from tidewatch.operators import rules
 from tidewatch.roles import Flag, Mining, Roles
@@ -82,3 +84,42 @@ def test_relaxing_finds_enough_rules(policies):
     strict = Mining(min_support=0.9, min_confidence=0.99, min_lift=3.0)
     got = rules.mine_relaxed(policies.drop("batch_num"), FIXTURE, strict)
     assert got.count() == 5 and got.first()["min_support"] < 0.9
+
+
+def test_rules_by_growing_consequents_as_all_splits(spark):
+    rng = random.Random(5)
+    items = "abcdefg"
+    rows = [sorted(rng.sample(items, rng.randint(1, 6))) for _ in range(120)]
+    found = spark.createDataFrame([(r, 1, 120) for r in rows], "items array<string>, n long, n_rows long").groupBy("items", "n_rows").agg(F.sum("n").alias("n"))
+    sets = rules.itemsets(found, Roles(), 0.05)
+    got = {(r.antecedents_str, r.consequents_str): (round(r.confidence, 9), round(r.lift, 9)) for r in rules.rules(sets, Roles(), 0.6, 0.9).collect()}
+    n = {c: sum(set(c) <= set(r) for r in rows) for k in range(1, 8) for c in combinations(items, k)}
+    want = {}
+    for whole in (c for c in n if len(c) > 1 and n[c] / 120 >= 0.05):
+        for k in range(1, len(whole)):
+            for left in combinations(whole, k):
+                right = tuple(i for i in whole if i not in left)
+                confidence = n[whole] / n[left]
+                lift = confidence / (n[right] / 120)
+                if confidence >= 0.6 and lift >= 0.9:
+                    want[", ".join(left), ", ".join(right)] = (round(confidence, 9), round(lift, 9))
+    assert got == want and max(len(right.split(", ")) for _, right in want) > 1
+
+
+def test_thousands_of_pinned_rules_meet_baskets_by_items(spark):
+    rng = random.Random(6)
+    items = [f"i{k}" for k in range(60)]
+    baskets = list({tuple(sorted(rng.sample(items, rng.randint(1, 12)))): rng.randint(1, 9) for _ in range(80)}.items())
+    pinned = []
+    for _ in range(10_000):
+        picked = rng.sample(items, rng.randint(2, 4))
+        cut = rng.randint(1, len(picked) - 1)
+        pinned.append((0.1, 0.2, 1.1, ", ".join(picked[:cut]), ", ".join(picked[cut:])))
+    found = spark.createDataFrame([(list(b), n, 400) for b, n in baskets], "items array<string>, n long, n_rows long")
+    reference = spark.createDataFrame(pinned, "support double, confidence double, lift double, antecedents_str string, consequents_str string")
+    checked = rules.recheck(found, reference, Roles()).collect()
+    assert len(checked) == len(pinned) and {r.n_rows for r in checked} == {sum(n for _, n in baskets)}
+    held = [(set(b), n) for b, n in baskets]
+    for r in checked[::50]:
+        left, both = set(r.antecedents), {*r.antecedents, *r.consequents}
+        assert (r.antecedent_count, r.both_count) == (sum(n for b, n in held if left <= b), sum(n for b, n in held if both <= b))

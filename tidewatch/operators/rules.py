@@ -137,36 +137,48 @@ def _grown(kept: DataFrame, by: list[str], min_support: float) -> DataFrame:
 
 
 def rules(sets: DataFrame, roles: Roles, min_confidence: float, min_lift: float) -> DataFrame:
-    """Every split of every itemset into antecedent and consequent that passes both limits."""
+    """Every split of every itemset into antecedent and consequent that passes both limits.
+
+    Consequents are grown one item at a time. Moving an item from the antecedent to the consequent can only lower the
+    confidence, so a consequent is grown only if it is confident itself, and only by later items that are confident alone.
+    """
     by = [c for c in roles.by if c in sets.columns]
-    support = sets.select(*by, F.col("itemset"), F.col("n").alias("count"))
-    left = support.withColumnsRenamed({"itemset": "antecedent", "count": "n_antecedent"})
-    right = support.withColumnsRenamed({"itemset": "consequent", "count": "n_consequent"})
-    parts = F.aggregate(
-        "itemset",
-        F.array(F.array().cast("array<string>")),
-        lambda found, item: F.concat(found, F.transform(found, lambda s: F.array_append(s, item))),
-    )
-    split = (
-        sets.where(F.size("itemset") > 1)
-        .withColumn("antecedent", F.explode(parts))
-        .where((F.size("antecedent") > 0) & (F.size("antecedent") < F.size("itemset")))
-        .withColumn("consequent", F.array_except("itemset", "antecedent"))
-    )
-    joined = split.join(left, by + ["antecedent"]).join(right, by + ["consequent"])
+    support = sets.select(*by, F.col("itemset").alias("antecedent"), F.col("n").alias("n_antecedent"))
+    kept = [*by, "n_rows", "n", "itemset", "antecedent", "consequent"]
+    confident = F.col("n") / F.col("n_antecedent") >= F.lit(min_confidence)
+    single = sets.where(F.size("itemset") > 1).select(*by, "n_rows", "n", "itemset", F.explode("itemset").alias("item"))
+    single = single.withColumns({"consequent": F.array("item"), "antecedent": F.array_except("itemset", F.array("item"))})
+    level, count = materialize_counted(single.join(support, by + ["antecedent"]).where(confident).select(*kept, "n_antecedent"))
+    alone = level.groupBy(*by, "itemset").agg(F.array_sort(F.flatten(F.collect_list("consequent"))).alias("alone"))
+    growing = level.where(F.size("antecedent") > 1)
+    levels = [level]
+    if count:
+        growing = growing.join(alone, by + ["itemset"])
+    while count:
+        later = F.filter("alone", lambda item: item > F.element_at("consequent", -1))
+        longer = growing.select(*kept, "alone", F.explode(later).alias("item"))
+        longer = longer.withColumns(
+            {"consequent": F.array_append("consequent", F.col("item")), "antecedent": F.array_except("antecedent", F.array("item"))}
+        )
+        joined = longer.join(support, by + ["antecedent"]).where(confident)
+        level, count = materialize_counted(joined.select(*kept, "n_antecedent", "alone"))
+        levels.append(level.drop("alone"))
+        growing = level.where(F.size("antecedent") > 1)
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionByName(level)
+    right = support.withColumnsRenamed({"antecedent": "consequent", "n_antecedent": "n_consequent"})
+    joined = found.join(right, by + ["consequent"])
     n, n_rows = F.col("n").cast("double"), F.col("n_rows").cast("double")
     confidence = n / F.col("n_antecedent")
-    return (
-        joined.select(
-            *by,
-            (n / n_rows).alias("support"),
-            confidence.alias("confidence"),
-            (confidence / (F.col("n_consequent") / n_rows)).alias("lift"),
-            F.array_join("antecedent", ", ").alias("antecedents_str"),
-            F.array_join("consequent", ", ").alias("consequents_str"),
-        )
-        .where((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))
-    )
+    return joined.select(
+        *by,
+        (n / n_rows).alias("support"),
+        confidence.alias("confidence"),
+        (confidence / (F.col("n_consequent") / n_rows)).alias("lift"),
+        F.array_join("antecedent", ", ").alias("antecedents_str"),
+        F.array_join("consequent", ", ").alias("consequents_str"),
+    ).where(F.col("lift") >= min_lift)
 
 
 ORDER = (F.desc, "lift"), (F.desc, "confidence"), (F.desc, "support"), (F.asc, "antecedents_str"), (F.asc, "consequents_str")
@@ -229,29 +241,36 @@ def mine_relaxed(
 def recheck(found: DataFrame, reference: DataFrame, roles: Roles, limits: RuleLimits = RuleLimits()) -> DataFrame:
     """Support and confidence of the reference rules in each batch's baskets, with drop flags.
 
-    The rules are a top-k table, so they travel as one array next to each (distinct) basket.
+    An inverted index from items to rules meets the items of the distinct baskets; a basket holds a rule's side if as many of
+    the side's items met it as the side has. So baskets meet only rules that they share an item with, however many rules are pinned.
     """
     by = [c for c in roles.by if c in found.columns]
     parsed = reference.select(
-        split_items(F.col("antecedents_str")).alias("antecedents"),
-        split_items(F.col("consequents_str")).alias("consequents"),
+        F.array_distinct(split_items(F.col("antecedents_str"))).alias("antecedents"),
+        F.array_distinct(split_items(F.col("consequents_str"))).alias("consequents"),
         F.col("support").alias("support_ref"),
         F.col("confidence").alias("confidence_ref"),
         F.col("lift").alias("lift_ref"),
     ).where((F.size("antecedents") > 0) & (F.size("consequents") > 0))
-    fields = parsed.columns
-    rule_list = materialize(parsed.agg(F.collect_list(F.struct(*fields)).alias("_rules")))
-    with_rules = found.select(*by, "n", "n_rows", "items", F.explode(rule_list.scalar()).alias("rule"))
-    has_left = F.forall("rule.antecedents", lambda i: F.array_contains("items", i))
-    has_both = has_left & F.forall("rule.consequents", lambda i: F.array_contains("items", i))
-    counted = with_rules.groupBy(*by, "rule").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(has_left, F.col("n")).otherwise(0)).alias("antecedent_count"),
-        F.sum(F.when(has_both, F.col("n")).otherwise(0)).alias("both_count"),
+    pinned = materialize(parsed.withColumn("_rule", F.monotonically_increasing_id()))
+    sides = F.array_union("antecedents", "consequents")
+    index = pinned.select(
+        "_rule", F.size("antecedents").alias("_left"), F.size(sides).alias("_both"), "antecedents", F.explode(sides).alias("item")
+    ).withColumn("_in_left", F.array_contains("antecedents", F.col("item")).cast("int")).drop("antecedents")
+    held = materialize(found.withColumn("_basket", F.monotonically_increasing_id()))
+    met = held.select(*by, "n", "_basket", F.explode("items").alias("item")).join(sized(index), "item")
+    shared = met.groupBy(*by, "_basket", "_rule", "n", "_left", "_both").agg(F.sum("_in_left").alias("_met_left"), F.count(F.lit(1)).alias("_met_both"))
+    has_left, has_both = F.col("_met_left") == F.col("_left"), F.col("_met_both") == F.col("_both")
+    counted = shared.groupBy(*by, "_rule").agg(
+        F.sum(F.when(has_left, F.col("n")).otherwise(0)).alias("antecedent_count"), F.sum(F.when(has_both, F.col("n")).otherwise(0)).alias("both_count")
     )
+    # One row per batch and rule, also where no basket met the rule.
+    totals = held.groupBy(*by).agg(F.sum("n").alias("n_rows")).where("n_rows is not null")
+    every = totals.join(sized(pinned), F.lit(True))
+    counted = every.join(counted, by + ["_rule"], "left").fillna(0, ["antecedent_count", "both_count"])
     measured = counted.select(
         *by,
-        "rule.*",
+        *[c for c in pinned.columns if c != "_rule"],
         "n_rows",
         ratio(F.col("both_count"), F.col("n_rows")).alias("support_new"),
         ratio(F.col("both_count"), F.col("antecedent_count")).alias("confidence_new"),

@@ -16,7 +16,7 @@ from tidewatch.operators.features import LABEL, add_label, stratified_split
 from tidewatch.operators.registry import Registry
 from tidewatch.plans import report
 from tidewatch.roles import Limits, Roles
-from tidewatch.session import materialize
+from tidewatch.session import materialize, sized
 from tidewatch.sources import sinks
 from tidewatch.sources.files import path_exists, read_csv, read_sources, typed_policies
 
@@ -114,9 +114,9 @@ def run_analysis(df: DataFrame, store: Store, roles: Roles, limits: Limits = Lim
 
 
 def build_reference_rules(df: DataFrame, roles: Roles, n_batches: int = 1, limits: Limits = Limits()) -> DataFrame:
-    """Reference rules from the first batches, cleaned batch by batch, thresholds relaxed if need be."""
-    first = drift.first_batch(df, roles)
-    chosen = clean(df.where(F.col(roles.batch) < first + n_batches), roles, limits.cleaning)
+    """Reference rules from the first batches that there are, cleaned batch by batch, thresholds relaxed if need be."""
+    first = materialize(df.select(roles.batch).where(F.col(roles.batch).isNotNull()).distinct().orderBy(roles.batch).limit(n_batches))
+    chosen = clean(df.join(sized(first), roles.batch, "left_semi").select(*df.columns), roles, limits.cleaning)
     return rules.mine_relaxed(chosen.drop(roles.batch), roles, limits.mining)
 
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import rules
 from tidewatch.operators.clean import clean
+from tidewatch.plans import jobs
 from tidewatch.queries import sql
 from tidewatch.queries.registry import query, r6
-from tidewatch.roles import Mining
+from tidewatch.roles import Limits, Mining
 from tidewatch.session import materialize
 from tidewatch.sources.tables import FIXTURE, stored_policies
 
@@ -90,7 +91,7 @@ def itemsets_grown_3(spark: SparkSession, folder: str) -> DataFrame:
     return _set_columns(grown.where(F.size("itemset") == 3))
 
 
-@query("rules_all", f"WITH {sql.POLICIES}, {sql.mining('policies')}, {sql.itemsets(0.03)}, {sql.rules(0.4, 1.05)} SELECT batch_num, {RULE} FROM found")
+@query("rules_all", f"WITH {sql.POLICIES}, {sql.mining('policies')}, {sql.itemsets(0.03)}, {sql.coded_rules(0.4, 1.05)} SELECT batch_num, {RULE} FROM found")
 def rules_all(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.rules(materialize(_sets(spark, folder)), FIXTURE, 0.4, 1.05)
     return _rule_columns(found, "batch_num")
@@ -109,21 +110,35 @@ GRID = [(TIGHT.min_support, TIGHT.min_confidence, TIGHT.min_lift)] + [
 GRID_VALUES = ", ".join(f"({i}, {s}::DOUBLE, {c}::DOUBLE, {lift}::DOUBLE)" for i, (s, c, lift) in enumerate(GRID))
 
 
-@query(
-    "rules_relaxed",
-    f"""WITH {sql.POLICIES}, {sql.CLEANED}, early AS (SELECT * FROM cleaned WHERE batch_num <= {REFERENCE_BATCHES}),
+def _relaxed_sql(early: str) -> str:
+    return f"""WITH {sql.POLICIES}, {sql.CLEANED}, early AS (SELECT * FROM cleaned WHERE {early}),
     {sql.mining("early", by_batch=False)}, {sql.itemsets(0.01)}, {sql.rules(0.2, 1.0)},
     grid(i, min_support, min_confidence, min_lift) AS (VALUES {GRID_VALUES}),
     chosen AS (SELECT * FROM grid g WHERE (SELECT count(*) FROM found f WHERE f.support >= g.min_support AND f.confidence >= g.min_confidence
       AND f.lift >= g.min_lift) >= 5 OR i = {len(GRID) - 1} ORDER BY i LIMIT 1)
     SELECT {RULE}, min_support, min_confidence, min_lift FROM (SELECT f.*, g.* FROM found f JOIN chosen g ON f.support >= g.min_support
       AND f.confidence >= g.min_confidence AND f.lift >= g.min_lift)
-    ORDER BY lift DESC, confidence DESC, support DESC, antecedents_str, consequents_str LIMIT 5""",
-)
+    ORDER BY lift DESC, confidence DESC, support DESC, antecedents_str, consequents_str LIMIT 5"""
+
+
+def _relaxed_columns(found: DataFrame) -> DataFrame:
+    return found.select(r6("support"), r6("confidence"), r6("lift"), "antecedents_str", "consequents_str", "min_support", "min_confidence", "min_lift")
+
+
+@query("rules_relaxed", _relaxed_sql(f"batch_num <= {REFERENCE_BATCHES}"))
 def rules_relaxed(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = clean(stored_policies(spark, folder), FIXTURE).where(F.col("batch_num") <= REFERENCE_BATCHES).drop("batch_num")
-    found = rules.mine_relaxed(cleaned, FIXTURE, TIGHT)
-    return found.select(r6("support"), r6("confidence"), r6("lift"), "antecedents_str", "consequents_str", "min_support", "min_confidence", "min_lift")
+    return _relaxed_columns(rules.mine_relaxed(cleaned, FIXTURE, TIGHT))
+
+
+@query(
+    "reference_rules",
+    _relaxed_sql(f"batch_num IN (SELECT batch_num FROM (SELECT DISTINCT batch_num FROM policies WHERE batch_num % 3 = 2) ORDER BY 1 LIMIT {REFERENCE_BATCHES})"),
+)
+def reference_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Reference rules of the first batches where batch numbers have gaps."""
+    some = stored_policies(spark, folder).where("batch_num % 3 = 2")
+    return _relaxed_columns(jobs.build_reference_rules(some, FIXTURE, REFERENCE_BATCHES, Limits(mining=TIGHT)))
 
 
 def _reference_rules(spark: SparkSession, folder: str) -> DataFrame:

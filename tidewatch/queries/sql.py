@@ -123,6 +123,20 @@ found AS (SELECT * FROM (SELECT s.batch_num, s.n::DOUBLE / s.n_rows AS support,
   WHERE confidence >= {min_confidence} AND lift >= {min_lift})"""
 
 
+def coded_rules(min_confidence: float, min_lift: float) -> str:
+    """CTE ``found`` from ``sets`` and ``frequent``: the same splits, with itemsets as bit masks so that all of them are joined by integers."""
+    return f"""bits AS (SELECT batch_num, item, CAST(1 AS BIGINT) << CAST(row_number() OVER (PARTITION BY batch_num ORDER BY item) - 1 AS INT) AS bit FROM frequent),
+coded AS (SELECT batch_num, n, n_rows, itemset, list(bit ORDER BY item) AS bits, CAST(sum(bit) AS BIGINT) AS code
+  FROM (SELECT batch_num, n, n_rows, itemset, unnest(itemset) AS item FROM sets) JOIN bits USING (batch_num, item) GROUP BY 1, 2, 3, 4),
+split AS (SELECT batch_num, n, n_rows, code,
+    CAST(list_sum(list_transform(bits, lambda b, i: CASE WHEN (mask >> (i - 1)) & 1 = 1 THEN b ELSE 0 END)) AS BIGINT) AS ante
+  FROM (SELECT *, unnest(range(1, (CAST(1 AS BIGINT) << len(itemset)) - 1)) AS mask FROM coded WHERE len(itemset) > 1)),
+found AS (SELECT s.batch_num, s.n::DOUBLE / s.n_rows AS support, s.n::DOUBLE / a.n AS confidence, (s.n::DOUBLE / a.n) / (c.n::DOUBLE / s.n_rows) AS lift,
+    array_to_string(a.itemset, ', ') AS antecedents_str, array_to_string(c.itemset, ', ') AS consequents_str
+  FROM split s JOIN coded a ON s.batch_num = a.batch_num AND s.ante = a.code JOIN coded c ON s.batch_num = c.batch_num AND s.code - s.ante = c.code
+  WHERE s.n::DOUBLE / a.n >= {min_confidence} AND (s.n::DOUBLE / a.n) / (c.n::DOUBLE / s.n_rows) >= {min_lift})"""
+
+
 def top(k: int = 5) -> str:
     """CTE ``best``: the first k of ``found`` per batch."""
     return f"""best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY batch_num ORDER BY lift DESC, confidence DESC, support DESC,
