@@ -17,7 +17,7 @@ from tidewatch.operators.registry import Registry
 from tidewatch.plans import report
 from tidewatch.roles import Limits, Roles
 from tidewatch.session import materialize, sized
-from tidewatch.sources import sinks
+from tidewatch.sources import commits, sinks
 from tidewatch.sources.files import path_exists, read_csv, read_sources, typed_policies
 
 
@@ -28,7 +28,7 @@ class Store:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("raw", "profiles", "analyzed", "dq", "consistency", "drift", "rules", "reference", "performance", "scored", "registry"):
+        if name in ("raw", "profiles", "analyzed", "dq", "consistency", "drift", "rules", "reference", "performance", "scored", "registry", "runs", "landed", "ledger"):
             return f"{self.root.rstrip('/')}/{name}"
         raise AttributeError(name)
 
@@ -97,8 +97,19 @@ def pin_reference(df: DataFrame, store: Store, roles: Roles) -> DataFrame:
     return spark.read.schema(df.schema).parquet(store.reference)
 
 
+def repin_reference(df: DataFrame, store: Store, roles: Roles, limits: Limits = Limits()) -> None:
+    """Replace the pinned rows and rules by those of ``df``, all rows of the reference batch, when more of it has come."""
+    df.write.mode("overwrite").parquet(store.reference)
+    mined = rules.mine(df.drop(roles.batch), roles, limits.mining)
+    mined.select("support", "confidence", "lift", "antecedents_str", "consequents_str").coalesce(1).write.mode("overwrite").parquet(f"{store.rules}/reference")
+
+
 def run_analysis(df: DataFrame, store: Store, roles: Roles, limits: Limits = Limits()) -> None:
-    """Analyse the batches of ``df`` and write every report under the store. Safe to repeat."""
+    """Analyse the batches of ``df`` and write every report under the store. Safe to repeat.
+
+    All tables of the run are committed together under ``store.runs`` (see ``read_reports``); the plain folders by batch are a copy that
+    is brought up to date afterwards.
+    """
     spark = df.sparkSession
     reference = pin_reference(df, store, roles)
     pinned = sinks.pin_rules(
@@ -106,11 +117,30 @@ def run_analysis(df: DataFrame, store: Store, roles: Roles, limits: Limits = Lim
     )
     result = analyze(df, roles, reference, pinned, limits)
     present = materialize(df.select(roles.batch).distinct())
-    sinks.write_reports(result.dq, store.dq, roles)
-    sinks.write_reports(result.consistency, store.consistency, roles)
-    sinks.write_reports(result.drift.join(present, roles.by, "left_semi"), store.drift, roles)
-    sinks.write_reports(result.rules, f"{store.rules}/batches", roles)
-    sinks.write_analyzed(result.cleaned, store.analyzed, roles)
+    tables = {
+        "dq": result.dq,
+        "consistency": result.consistency,
+        "drift": result.drift.join(present, roles.by, "left_semi"),
+        "rules": result.rules,
+        "analyzed": result.cleaned,
+    }
+    tables = {name: table if name == "analyzed" else materialize(table) for name, table in tables.items()}
+    commits.write_run(tables, present, store.runs, roles.by)
+    publish(tables, store, roles)
+
+
+def read_reports(spark: SparkSession, store: Store, name: str, roles: Roles) -> DataFrame | None:
+    """``dq``, ``consistency``, ``drift``, ``rules`` or ``analyzed`` as of the last committed run of every batch; None before the first."""
+    return commits.read_committed(spark, store.runs, name, roles.batch)
+
+
+def publish(tables: dict[str, DataFrame], store: Store, roles: Roles) -> None:
+    """Copies of a run's tables in plain folders by batch, for readers that know nothing of runs."""
+    sinks.write_reports(tables["dq"], store.dq, roles)
+    sinks.write_reports(tables["consistency"], store.consistency, roles)
+    sinks.write_reports(tables["drift"], store.drift, roles)
+    sinks.write_reports(tables["rules"], f"{store.rules}/batches", roles)
+    sinks.write_analyzed(tables["analyzed"], store.analyzed, roles)
 
 
 def build_reference_rules(df: DataFrame, roles: Roles, n_batches: int = 1, limits: Limits = Limits()) -> DataFrame:

@@ -11,11 +11,13 @@ from tidewatch.operators.features import LABEL, add_label, stratified_split
 from tidewatch.operators.registry import Registry
 from tidewatch.plans import jobs
 from tidewatch.queries import sql
+from tidewatch.queries.mining import RULE
 from tidewatch.queries.registry import query, rounded
+from tidewatch.queries.tables import ALL, DQ_SQL, dq_columns
 from tidewatch.session import materialize, scratch_folder
 from tidewatch.sources import files, sinks
 from tidewatch.sources.tables import BATCH_ROWS, FIXTURE, policies, stored_policies
-from tidewatch.streaming import monitor
+from tidewatch.streaming import landing, monitor
 
 # Small settings: the queries show the operators, they do not search for a good model.
 SMALL = {
@@ -220,6 +222,88 @@ def analysis_reports(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("batch_num", "drift_detected", names.alias("affected"), "quality_issues")
 
 
+def _split_store(spark: SparkSession, folder: str) -> jobs.Store:
+    """All batches as a stream whose every file holds a part of most batches, so each comes in several micro-batches."""
+    store = jobs.Store(scratch_folder(spark))
+    rows = stored_policies(spark, folder)
+    for rest in (0, 1):
+        rows.where(F.pmod(F.xxhash64("object_id"), F.lit(2)) == rest).coalesce(1).write.mode("append").parquet(f"{store.root}/files")
+    stream = monitor.stream_parquet(spark, f"{store.root}/files", rows.schema)
+    monitor.monitor(stream, store, FIXTURE, f"{store.root}/offsets").awaitTermination()
+    return store
+
+
+@query(
+    "monitor_split",
+    f"""WITH {sql.VERDICT} SELECT v.batch_num, p.n_rows, drift_detected, affected, quality_issues
+    FROM verdict v JOIN (SELECT batch_num, count(*) AS n_rows FROM policies GROUP BY 1) p USING (batch_num) WHERE v.batch_num > 1""",
+)
+def monitor_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Drift reports of batches that were split over micro-batches: those of the whole batches."""
+    store = _split_store(spark, folder)
+    names = F.array_join(F.array_sort("affected_features.feature"), ",")
+    found = jobs.read_reports(spark, store, "drift", FIXTURE).where("batch_num > 1")
+    sizes = jobs.read_reports(spark, store, "dq", FIXTURE).select("batch_num", F.col("before.n_rows").cast("bigint").alias("n_rows"))
+    return found.drop("n_rows").join(sizes, "batch_num").select("batch_num", "n_rows", "drift_detected", names.alias("affected"), "quality_issues")
+
+
+def _analysed_store(spark: SparkSession, folder: str) -> jobs.Store:
+    """A store after two runs over the odd and one over all batches; the last committed run of a batch counts."""
+    store = jobs.Store(scratch_folder(spark))
+    rows = stored_policies(spark, folder)
+    jobs.run_analysis(rows.where("batch_num % 2 = 1"), store, FIXTURE)
+    jobs.run_analysis(rows, store, FIXTURE)
+    return store
+
+
+@query("stored_dq_reports", DQ_SQL)
+def stored_dq_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality before and after cleaning, read back from the committed reports of repeated runs."""
+    return dq_columns(jobs.read_reports(spark, _analysed_store(spark, folder), "dq", FIXTURE))
+
+
+@query(
+    "stored_rules",
+    f"WITH {sql.POLICIES}, {sql.CLEANED}, {sql.mining('cleaned')}, {sql.itemsets(0.03)}, {sql.coded_rules(0.4, 1.05)}, {sql.top()} SELECT batch_num, {RULE} FROM best",
+)
+def stored_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules of the cleaned batches, read back from the committed reports of repeated runs."""
+    found = jobs.read_reports(spark, _analysed_store(spark, folder), "rules", FIXTURE)
+    return rounded(found, "support", "confidence", "lift").select("batch_num", "support", "confidence", "lift", "antecedents_str", "consequents_str")
+
+
+@query("stored_cleaned", f"WITH {sql.POLICIES}, {sql.CLEANED} SELECT {ALL} FROM (SELECT * REPLACE (round(premium, 6) AS premium) FROM cleaned)")
+def stored_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned rows, read back from the committed rows of repeated runs."""
+    found = jobs.read_reports(spark, _analysed_store(spark, folder), "analyzed", FIXTURE)
+    return rounded(found, "premium").select("batch_num", *sql.COLUMNS)
+
+
+@query(
+    "stream_batches",
+    """WITH sized AS (SELECT k, count(*) AS n FROM (SELECT o_orderkey % 3 AS k FROM orders) GROUP BY 1),
+    offsets AS (SELECT k, coalesce(sum(ceil(n / 400)) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sized),
+    rows AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) - 1 AS place FROM orders)
+    SELECT CAST(before + place // 400 + 1 AS BIGINT) AS batch_num, count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,
+    round(sum(o_totalprice), 2) AS total FROM rows JOIN offsets ON o_orderkey % 3 = k GROUP BY 1""",
+)
+def stream_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream over three CSV files, stopped after the first two and started again, cut into row batches."""
+    root = scratch_folder(spark)
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_totalprice")
+    for part, stop in ((0, False), (1, True), (2, True)):
+        one = orders.where(F.col("o_orderkey") % 3 == part).repartitionByRange(1, "o_orderkey").sortWithinPartitions("o_orderkey")
+        one.write.mode("append").option("header", True).csv(f"{root}/files")
+        if stop:
+            stream = landing.stream_positions(spark, f"{root}/files", ["o_orderkey", "o_totalprice"])
+            landing.collect_stream(stream, 400, f"{root}/raw", f"{root}/ledger", f"{root}/offsets").awaitTermination()
+    key = F.col("o_orderkey").cast("bigint")
+    found = spark.read.parquet(f"{root}/raw")
+    return found.groupBy(F.col("batch_num").cast("bigint").alias("batch_num")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.round(F.sum(F.col("o_totalprice").cast("double")), 2).alias("total")
+    )
+
+
 @query("full_report")
 def full_report(spark: SparkSession, folder: str) -> DataFrame:
     """Analyse all batches, train on the first, follow the rest, and write the summary as JSON."""

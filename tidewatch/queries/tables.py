@@ -214,16 +214,14 @@ def duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(quality.duplicates(policies(spark, folder).select("batch_num", *CATEGORIES), FIXTURE), "duplicate_ratio")
 
 
-@query(
-    "dq_before_after",
-    f"""WITH {sql.POLICIES}, {sql.CLEANED}, b AS ({sql.metrics("policies")}), a AS ({sql.metrics("cleaned")})
+DQ_SQL = f"""WITH {sql.POLICIES}, {sql.CLEANED}, b AS ({sql.metrics("policies")}), a AS ({sql.metrics("cleaned")})
     SELECT b.batch_num, b.n_rows AS before_n_rows, a.n_rows AS after_n_rows, {", ".join(f"round(b.{m}, 6) AS before_{m}" for m in sql.METRICS)},
     {", ".join(f"round(a.{m}, 6) AS after_{m}" for m in sql.METRICS)},
     {" OR ".join("b." + c for c in sql.FLAGS.values())} AS before_any_issue, {" OR ".join("a." + c for c in sql.FLAGS.values())} AS after_any_issue
-    FROM b JOIN a USING (batch_num)""",
-)
-def dq_before_after(spark: SparkSession, folder: str) -> DataFrame:
-    report = quality.dq_report(policies(spark, folder), FIXTURE)
+    FROM b JOIN a USING (batch_num)"""
+
+
+def dq_columns(report: DataFrame) -> DataFrame:
     return report.select(
         "batch_num",
         *[F.col(f"{w}.n_rows").alias(f"{w}_n_rows") for w in ("before", "after")],
@@ -232,6 +230,11 @@ def dq_before_after(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("dq_before_after", DQ_SQL)
+def dq_before_after(spark: SparkSession, folder: str) -> DataFrame:
+    return dq_columns(quality.dq_report(policies(spark, folder), FIXTURE))
+
+
 ALL = "batch_num, " + ", ".join(sql.COLUMNS)
 
 

@@ -1,7 +1,7 @@
 """The same operators inside Structured Streaming micro-batches.
 
-One file per batch arrives in a folder; every micro-batch is analysed and its reports replace those
-of the same batch numbers, so a restarted query repeats work without doubling it.
+Files arrive in a folder; the batches that a micro-batch touches are analysed as a whole and their reports replace
+those of the same batch numbers, so a restarted query repeats work without doubling it.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from tidewatch.operators.profile import batch_profile
 from tidewatch.operators.registry import Registry
 from tidewatch.plans import jobs
 from tidewatch.roles import Limits, Roles
+from tidewatch.session import materialize
 from tidewatch.sources import sinks
-from tidewatch.sources.files import text_schema
+from tidewatch.sources.files import path_exists, text_schema
+from tidewatch.streaming import landing
 
 
 def stream_csv(spark: SparkSession, folder: str, columns: Sequence[str], files_per_trigger: int = 1) -> DataFrame:
@@ -47,14 +49,27 @@ def monitor(
     limits: Limits = Limits(),
     once: bool = True,
 ) -> StreamingQuery:
-    """Quality, rules and drift of every micro-batch. Rows without a batch number get the micro-batch's own."""
+    """Quality, rules and drift of every batch that a micro-batch touches. Rows without a batch number get the micro-batch's own.
+
+    Rows are landed first, and a batch is judged by all that has landed of it, so its reports are those of the whole batch however it
+    is split over micro-batches. When more of the reference batch comes, it is pinned anew and every landed batch is judged again.
+    """
 
     def work(df: DataFrame, batch_id: int) -> None:
         rows = prepare(df)
         if roles.batch not in rows.columns:
             rows = rows.withColumn(roles.batch, F.lit(batch_id + 1).cast("bigint"))
-        if not rows.isEmpty():
-            jobs.run_analysis(rows, store, roles, limits)
+        if rows.isEmpty():
+            return
+        spark = rows.sparkSession
+        touched = materialize(landing.land(rows, store.landed, roles.batch, batch_id))
+        if path_exists(spark, f"{store.reference}/_SUCCESS"):
+            pinned = spark.read.schema(touched.schema).parquet(store.reference).agg(F.min(roles.batch)).first()[0]
+            grown = touched.where(F.col(roles.batch) == pinned)
+            if not grown.isEmpty():
+                jobs.repin_reference(grown, store, roles, limits)
+                touched = materialize(landing.read_landed(spark, store.landed, touched.schema))
+        jobs.run_analysis(touched, store, roles, limits)
 
     return each_batch(stream, work, checkpoint, once)
 
