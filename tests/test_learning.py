@@ -158,3 +158,24 @@ def test_roles_of_policy_files_give_twelve_features():
 
     assert len(features.feature_columns(POLICY, POLICY_COLUMNS)) == 12
     assert Roles(batch=None).by == []
+
+
+def test_champion_over_many_slices_as_a_plain_loop(spark, monkeypatch):
+    import random
+
+    from tidewatch.functions import running
+    from tidewatch.operators import maintenance
+
+    monkeypatch.setattr(running.running_maximum, "__defaults__", (7,))
+    for seed in range(3):
+        rng = random.Random(seed)
+        rows = [(t, f"m{t % 3}", None if rng.random() < 0.2 else round(rng.random() * (t + 5) / 40, 3)) for t in range(60)]
+        if seed == 0:
+            rows[0] = (0, "m0", None)
+        held = rows[0]
+        for row in rows[1:]:
+            if held[2] is not None and row[2] is not None and row[2] > held[2] + 0.01:
+                held = row
+        frame = spark.createDataFrame(rows, "ts long, model_name string, f1 double").repartition(3)
+        assert [tuple(r) for r in maintenance.champion(frame).collect()] == [held]
+    assert maintenance.champion(frame.limit(0)).count() == 0

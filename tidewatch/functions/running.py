@@ -34,3 +34,16 @@ def running_totals(
     joined = sliced.join(sized(*materialize_counted(offsets)), by + ["_slice"])
     totals = {n: F.col(f"_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}
     return joined.withColumns(totals).drop("_slice", *[f"_{n}" for n in sums])
+
+
+def running_maximum(df: DataFrame, order: Sequence[str], column: str, name: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add ``name``, the largest ``column`` over the rows before this one, null if there is none; sliced as in ``running_totals``."""
+    order = list(order)
+    df, rows = materialize_counted(df)
+    slices = -(-rows // slice_rows) or 1
+    sliced = materialize(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    tops = sliced.groupBy("_slice").agg(F.max(column).alias("_top")).select("_slice", F.max("_top").over(earlier).alias("_top"))
+    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = sliced.join(sized(*materialize_counted(tops)), "_slice")
+    return joined.withColumn(name, F.greatest("_top", F.max(column).over(inside))).drop("_slice", "_top")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.coerce import numeric_columns, string_columns
+from tidewatch.functions.running import running_maximum
 from tidewatch.operators.drift import outlier_counts
 from tidewatch.roles import Roles
 from tidewatch.session import materialize, ratio
@@ -136,23 +137,20 @@ def champion(history: DataFrame, order: Sequence[str] = ("ts",), metric: str = "
     """The record that reigns at the end: the first one, then each that beats the reigning metric by
     more than ``improvement``.
 
-    Found by jumping: each step asks for the earliest later record that is good enough. As the metric
-    rises by ``improvement`` every time and is at most 1, there are at most 1/improvement steps, and
-    none of them orders the history.
+    Only a record above all records before it can ever take over, so a running maximum leaves the few strict records,
+    and one aggregate folds these in order. A first record without a metric reigns for good. ``order`` identifies a record.
     """
-    rows = materialize(history.select("*", F.struct(*order).alias("_at")))
-    current = rows.agg(F.min_by(F.struct("*"), "_at").alias("r")).first()["r"]
-    if current is None:
-        return history.limit(0)
-    while current[metric] is not None:
-        at = F.struct(*[F.lit(current[c]).alias(c) for c in order])
-        later = rows.where((F.col("_at") > at) & (F.col(metric) > current[metric] + improvement))
-        following = later.agg(F.min_by(F.struct("*"), "_at").alias("r")).first()["r"]
-        if following is None:
-            break
-        current = following
-    at = F.struct(*[F.lit(current[c]).alias(c) for c in order])
-    return rows.where(F.col("_at") == at).drop("_at")
+    if improvement < 0:
+        raise ValueError("improvement must not be negative")
+    columns = history.columns
+    rows = running_maximum(history.select("*", F.struct(*order).alias("_at")), order, metric, "_before")
+    first = rows.agg(F.min("_at").alias("a"))
+    value = F.col(metric)
+    strict = value.isNotNull() & (F.col("_before").isNull() | (value > F.col("_before")))
+    records = rows.where(strict | (F.col("_at") == first.scalar()))
+    listed = records.agg(F.array_sort(F.collect_list(F.struct("_at", F.struct(*columns).alias("r")))).alias("records")).where(F.size("records") > 0)
+    better = lambda held, new: F.when(new["r"][metric] > held["r"][metric] + improvement, new).otherwise(held)
+    return listed.select(F.aggregate("records", F.col("records")[0], better).alias("held")).select("held.r.*")
 
 
 def with_versions(history: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
