@@ -11,7 +11,7 @@ from tidewatch.llm.queries import CONTROL_TEXT, op9_chat
 NASTY = [
     "", None, "<|end|>\n", "<|", "|>\n", "\\", "\\b\\o\\c", "a<", "a<|", "\\<|user|>\n", "<<|end|>", CONTROL_TEXT, "é😀\n", "\n", "x" * 100000, "<|end|>\\",
 ]
-ROLES = ["user", "assistant", "system", None, "", "us|>\ner", "<|end|>\n", "a|", "\\o"]
+ROLES = ["user", "assistant", "system", None, "", "us|>\ner", "<|end|>\n", "a|", "\\o", "end", "\\e", "/", "/]x", "end|", "ending"]
 
 
 def other():
@@ -61,3 +61,5 @@ def test_empty_table_and_bad_template(spark):
     assert format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
     with pytest.raises(ValueError):
         Template(end="</s>")
+    with pytest.raises(ValueError):
+        Template(end="<|")

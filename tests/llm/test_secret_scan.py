@@ -1,6 +1,7 @@
 """Secret scans against Python's regular expressions, and the ledger's bookkeeping."""
 
 import re
+import time
 import uuid
 from dataclasses import replace
 
@@ -71,6 +72,30 @@ def test_redaction(spark, tmp_path):
     assert out[2].text is None and out[2].n_chars is None and out[3].text == "clean" and out[3].n_chars == 9
 
 
+def test_cost_grows_with_findings_not_their_square(spark, tmp_path):
+    """A text of 100,000 digests would take minutes if each finding copied the ones before it."""
+    digests = [f"{n:032x}" for n in range(100_000)]
+    text = "é\n".join(digests)
+    docs = spark.createDataFrame([(1, text), (2, "a short one")], "doc_id long, text string")
+    start = time.monotonic()
+    found = find_secrets(docs, ledger_at(tmp_path)).filter("doc_id = 1").first()["__found"]
+    assert [tuple(s) for s in found] == [("hex", 34 * n, 34 * n + 32) for n in range(len(digests))]
+    out = {r.doc_id: r.text for r in redacted(docs, ledger_at(tmp_path)).collect()}
+    assert out[1] == "é\n".join(["[secret]"] * len(digests)) and out[2] == "a short one"
+    assert time.monotonic() - start < 60
+
+
+def test_redaction_as_brute_force(spark, tmp_path):
+    rows = [(n, t) for n, t in enumerate(TEXTS)] + [(99, ("é" * 4095 + HEX) * 3 + "x" * 5000 + "token=" + HEX + "/abc" + "😀" * 9000)]
+    out = {r.doc_id: r.text for r in redacted(spark.createDataFrame(rows, "doc_id long, text string"), ledger_at(tmp_path)).collect()}
+    for n, text in rows:
+        at, expected = 0, ""
+        for _, start, end in brute(text):
+            expected += "" if start < at else text[at:start] + "[secret]"
+            at = max(at, end)
+        assert out[n] == (None if text is None else expected + text[at:]), n
+
+
 def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert find_secrets(docs, ledger_at(tmp_path)).count() == 0

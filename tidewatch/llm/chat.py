@@ -37,16 +37,22 @@ class Template:
     final: tuple[str, ...] = ("answered",)
 
     def __post_init__(self):
-        if not self.end.startswith(self.open) or "\\" in self.open + self.close or not self.open or not self.close:
-            raise ValueError("end must start with open, and neither open nor close may be empty or hold a backslash")
+        if not self.end.startswith(self.open) or self.end == self.open or "\\" in self.close + self.end or not self.open or not self.close:
+            raise ValueError("end must start with open and go on, and none of the three may be empty or hold a backslash")
 
     def escape(self, text: Column) -> Column:
         for raw, coded in (("\\", "\\b"), (self.open, "\\o"), (self.close, "\\c")):
             text = F.replace(text, F.lit(raw), F.lit(coded))
         return text
 
+    def header(self, role: Column) -> Column:
+        """``open``, the escaped role and ``close``; a role with which a header could begin like ``end`` is set off by an empty escape."""
+        inner = F.lit(self.end[len(self.open) :])
+        named = F.concat(self.escape(role), F.lit(self.close))
+        return F.concat(F.lit(self.open), F.when(F.startswith(named, inner) | F.startswith(inner, named), "\\e").otherwise(""), named)
+
     def unescape(self, text: Column) -> Column:
-        for raw, coded in ((self.close, "\\c"), (self.open, "\\o"), ("\\", "\\b")):
+        for raw, coded in (("", "\\e"), (self.close, "\\c"), (self.open, "\\o"), ("\\", "\\b")):
             text = F.replace(text, F.lit(coded), F.lit(raw))
         return text
 
@@ -62,7 +68,7 @@ def format_chats(
     """One row per conversation: ``conv_id, valid, segments (text, loss), formatted``.
 
     Turns are ordered by number, then role, then text; null numbers come first. Null texts and roles are empty; rows with a
-    null conversation form one. Repeated rows are turns of their own. Conversations out of order are formatted too,
+    null conversation form one. A conversation is one row of the result, so it must fit in memory of a task. Repeated rows are turns of their own. Conversations out of order are formatted too,
     with ``valid`` false. An empty table has no conversations. Only the four named columns are read.
     """
     row = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -73,9 +79,8 @@ def format_chats(
         return F.struct(value.alias("text"), loss.alias("loss"))
 
     def parts(t: Column) -> Column:
-        head = F.concat(F.lit(template.open), template.escape(t["role"]), F.lit(template.close))
         learned = t["role"].isin(*template.loss_roles)
-        return F.array(segment(head, F.lit(False)), segment(template.escape(t["text"]), learned), segment(F.lit(template.end), F.lit(False)))
+        return F.array(segment(template.header(t["role"]), F.lit(False)), segment(template.escape(t["text"]), learned), segment(F.lit(template.end), F.lit(False)))
 
     out = grouped.select("conv_id", state.isin(*template.final).alias("valid"), F.flatten(F.transform("turns", parts)).alias("segments"))
     return out.withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))

@@ -169,7 +169,8 @@ with t as (
     union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 e as (
     select *, length(replace(replace(replace(role, '\', '\b'), '<|', '\o'), '|>' || chr(10), '\c'))
-              + length(replace(replace(replace(text, '\', '\b'), '<|', '\o'), '|>' || chr(10), '\c')) + 13 as chars,
+              + length(replace(replace(replace(text, '\', '\b'), '<|', '\o'), '|>' || chr(10), '\c'))
+              + case when role = 'end' then 15 else 13 end as chars,
            lag(role) over (partition by conv_id order by turn nulls first, role, text) as before,
            lead(role) over (partition by conv_id order by turn nulls first, role, text) as after,
            row_number() over (partition by conv_id order by turn nulls first, role, text) as n from t)
