@@ -160,3 +160,43 @@ def test_versions_grow_and_a_retry_adds_nothing(spark, policies, tmp_path):
     ready = models.labelled(part(3), FIXTURE, registry.load(models.FOREST, 1)[0])
     for version in (1, 2, 3):
         assert models.score(ready, registry.load(models.FOREST, version)[1].model).count() == ready.count()
+
+
+def test_history_by_reigns_equals_the_loop(spark, policies, tmp_path):
+    from tidewatch.operators.evaluate import batch_performance
+    from tidewatch.operators.features import LABEL, add_label
+
+    store = jobs.Store(str(tmp_path))
+    registry = Registry(spark, store.registry)
+    rows = policies.withColumn("batch_num", F.col("object_id") % 8 * 3)
+    batch = F.col("batch_num")
+    grids = {models.TREE: {"maxDepth": [3]}}
+    with pytest.raises(LookupError):
+        jobs.follow(rows, FIXTURE, registry, store)
+    jobs.train_models(rows.where(batch <= 3), FIXTURE, registry, [models.TREE], grids, batch_id=3)
+    features, trained, _ = registry.load(models.TREE, 1)
+    wanted = {}
+    for window, better in (((6, 9), True), ((12, 15), False), ((18,), True), ((21,), True)):
+        for number in window:
+            scored = add_label(jobs.score_batches(rows.where(batch == number), FIXTURE, registry), FIXTURE)
+            row = batch_performance(scored, ["batch_num"], LABEL).first()
+            wanted[number] = (registry.champion()["version"], row["accuracy"], row["f1"])
+        refitted = models.update(models.Trained(models.TREE, trained.model, {"maxDepth": 1 + len(wanted)}), models.labelled(rows.where(batch == window[-1]), FIXTURE, features))
+        version = registry.register(features, refitted, {"f1": 2.0 * len(wanted)})
+        assert registry.promote(models.TREE, version, {"f1": 2.0 * len(wanted) if better else 0.0}, after=window[-1]) is better
+    later = rows.where(batch > 3)
+    versions = {r["batch_num"]: r["version"] for r in jobs.reigning(later, FIXTURE, registry).collect()}
+    found = {r["batch_num"]: (versions[r["batch_num"]], r["accuracy"], r["f1"]) for r in jobs.follow(later, FIXTURE, registry, store).collect()}
+    assert found.keys() == wanted.keys() and len({v for v, *_ in wanted.values()}) == 3
+    assert all(found[n] == pytest.approx(wanted[n]) for n in wanted)
+    assert jobs.follow(rows.limit(0), FIXTURE, registry, store).count() == 0
+
+
+def test_newest_batches_read_only_their_folders(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    for n in (12, 40):
+        rows = spark.range(n).select((F.col("id") - 2).alias("batch_num"), F.struct((F.col("id") * 2).alias("twice")).alias("part"))
+        sinks.write_reports(rows, path, FIXTURE)
+        found = sinks.read_newest(spark, path, FIXTURE, 10)
+        assert [r["batch_num"] for r in found.orderBy("batch_num").collect()] == list(range(n - 12, n - 2)) and len(found.inputFiles()) == 10
+    assert sinks.read_newest(spark, str(tmp_path / "absent"), FIXTURE, schema="batch_num long").count() == 0

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewatch.functions import running
@@ -179,3 +180,71 @@ def test_champion_over_many_slices_as_a_plain_loop(spark, monkeypatch):
         frame = spark.createDataFrame(rows, "ts long, model_name string, f1 double").repartition(3)
         assert [tuple(r) for r in maintenance.champion(frame).collect()] == [held]
     assert maintenance.champion(frame.limit(0)).count() == 0
+
+
+def test_merged_forest_scores_as_the_mean_of_its_parts_and_ages(spark, ready, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from tidewatch.operators.forests import Ensemble, merge_forests
+
+    _, rows = ready
+    parts = [models.estimator(models.FOREST, 10, maxDepth=3, numTrees=n).setSeed(n).fit(rows) for n in (2, 3, 1)]
+    one = models.score(rows, Ensemble(parts)).select("object_id", "score", "prediction")
+    for i, part in enumerate(parts):
+        one = one.join(models.score(rows, part).select("object_id", F.col("score").alias(f"s{i}")), "object_id")
+    plain = (2 * F.col("s0") + 3 * F.col("s1") + F.col("s2")) / 6
+    assert one.where(F.abs(plain - F.col("score")) > 1e-12).count() == 0 and one.count() == rows.count()
+    folders = []
+    for i, part in enumerate(parts):
+        folders.append(str(tmp_path / f"part {i}"))
+        PipelineModel([part]).save(folders[-1])
+    aged = merge_forests(spark, folders, str(tmp_path / "aged"), max_trees=3)
+    assert aged.getNumTrees == 3 and [t.toDebugString for t in aged.trees][2].split("\n", 1)[1] == parts[2].trees[0].toDebugString.split("\n", 1)[1]
+    assert [t.toDebugString.split("\n", 1)[1] for t in aged.trees[:2]] == [t.toDebugString.split("\n", 1)[1] for t in parts[1].trees[1:]]
+    assert merge_forests(spark, folders * 30, str(tmp_path / "many")).getNumTrees == 6
+    with pytest.raises((FileNotFoundError, AnalysisException)):
+        merge_forests(spark, [str(tmp_path / "aged")], str(tmp_path / "none"))
+
+
+def test_a_hundred_updates_score_in_one_plan(spark, ready, tmp_path):
+    import shutil
+
+    from pyspark.ml import PipelineModel
+
+    from tidewatch.operators.forests import Ensemble
+
+    _, rows = ready
+    part = models.estimator(models.FOREST, 10, maxDepth=2, numTrees=1).fit(rows)
+    PipelineModel([part]).save(str(tmp_path / "0"))
+    folders = [str(tmp_path / "0")] + [shutil.copytree(tmp_path / "0", tmp_path / str(i)).as_posix() for i in range(1, 100)]
+    small, large = (models.score(rows, Ensemble(folders[:n])) for n in (2, 100))
+    size = lambda df: len(df._jdf.queryExecution().analyzed().toString().splitlines())
+    assert size(small) == size(large)
+    assert large.join(models.score(rows, part).select("object_id", F.col("score").alias("s")), "object_id").where("abs(s - score) > 1e-12").count() == 0
+
+
+def test_text_codes_are_saved_and_unseen_texts_keep_the_last_code(spark, tmp_path):
+    from tidewatch.operators.text_codes import TextCodes, TextCodesModel
+
+    rows = spark.createDataFrame([("b", "x"), ("a", None), ("b", ""), (None, "x")], "k string, v string")
+    model = TextCodes(inputCols=["k", "v"], outputCols=["kc", "vc"]).fit(rows)
+    fresh = spark.createDataFrame([(1, "a", "x"), (2, "b", ""), (3, "c", None), (4, None, "y"), (4, None, "y")], "id int, k string, v string")
+    want = [(1, 0.0, 1.0), (2, 1.0, 0.0), (3, 2.0, 2.0), (4, 2.0, 2.0), (4, 2.0, 2.0)]
+    model.save(str(tmp_path / "codes"))
+    for one in (model, TextCodesModel.load(str(tmp_path / "codes"))):
+        assert [tuple(r) for r in one.transform(fresh).orderBy("id").select("id", "kc", "vc").collect()] == want
+    empty = TextCodes(inputCols=["k"], outputCols=["kc"]).fit(rows.limit(0))
+    assert {r.kc for r in empty.transform(fresh).collect()} == {0.0}
+
+
+def test_large_text_codes_are_not_broadcast(spark, monkeypatch):
+    from tidewatch.operators import text_codes
+
+    rows = spark.range(50).select(F.concat(F.lit("t"), "id").alias("k"))
+    model = text_codes.TextCodes(inputCols=["k"], outputCols=["c"]).fit(rows)
+    narrow = model.transform(rows)
+    monkeypatch.setattr(text_codes, "BROADCAST_BYTES", 100)
+    wide = model.transform(rows)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in plan(narrow) and "strategy=broadcast" not in plan(wide)
+    assert sorted(r.c for r in wide.collect()) == sorted(r.c for r in narrow.collect()) == list(range(50))

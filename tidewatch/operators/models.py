@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import evaluate as ev
 from tidewatch.operators.features import DURATION, LABEL, add_class_weights, add_label, medians, modes, scaling, stratified_folds
+from tidewatch.operators.forests import Ensemble
+from tidewatch.operators.text_codes import TextCodes
 from tidewatch.roles import Roles
 
 SEED = 42
@@ -56,8 +58,8 @@ def _label_sql(df: DataFrame, column: str) -> str:
 def fit_features(df: DataFrame, roles: Roles) -> PipelineModel:
     """A fitted, persistable pipeline from raw typed columns to a scaled ``features`` vector.
 
-    Medians, modes and scaling are exact aggregates of the training table, stored as constants, so
-    scoring is a narrow transformation. The target is not needed to score.
+    Medians, modes and scaling are exact aggregates of the training table, stored as constants; the codes of texts are
+    a table of the saved pipeline. Rows are not shuffled to score while the codes are small. The target is not needed.
     """
     numbers = [c for c in roles.median_features if c in df.columns]
     zeros = [c for c in roles.zero_features if c in df.columns]
@@ -71,9 +73,7 @@ def fit_features(df: DataFrame, roles: Roles) -> PipelineModel:
     impute = SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
 
     indexed = [f"_idx_{c}" for c in categories]
-    encode = StringIndexer(
-        inputCols=[f"_cat_{c}" for c in categories], outputCols=indexed, stringOrderType="alphabetAsc", handleInvalid="keep"
-    )
+    encode = TextCodes(inputCols=[f"_cat_{c}" for c in categories], outputCols=indexed)
     first = Pipeline(stages=[impute, encode]).fit(df)
     raw = [f"_num_{c}" for c in zeros + numbers] + indexed + [f"_num_{DURATION}"]
     stats = {row["column"]: row for row in scaling(first.transform(df), raw).collect()}
@@ -153,30 +153,11 @@ def score(df: DataFrame, model) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1]).drop("rawPrediction", "probability")
 
 
-@dataclass
-class Ensemble:
-    """Forests of several batches, averaged by their number of trees."""
-
-    members: list
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        total, parts = 0.0, []
-        for i, member in enumerate(self.members):
-            df = member.transform(df).withColumn(f"_p{i}", vector_to_array("probability")[1] * float(member.getNumTrees))
-            df = df.drop("rawPrediction", "probability", "prediction")
-            parts.append(F.col(f"_p{i}"))
-            total += member.getNumTrees
-        mean = sum(parts[1:], parts[0]) / F.lit(total)
-        both = array_to_vector(F.array(1 - mean, mean))
-        scored = df.withColumn("probability", both).withColumn("rawPrediction", F.col("probability"))
-        return scored.withColumn("prediction", F.when(mean > 0.5, 1.0).otherwise(0.0)).drop(*[f"_p{i}" for i in range(len(self.members))])
-
-
 def update(trained: Trained, fresh: DataFrame) -> Trained:
     """Continue training on new rows, keeping the classifier's type.
 
-    A network starts from its weights; a forest gains the trees of a new forest; a tree is refitted
-    on the rows it is given (callers pass a window of batches). Stored parameters are kept.
+    A network starts from its weights; a forest gains the trees of a new forest and keeps the newest ``MAX_TREES``; a tree is
+    refitted on the rows it is given (callers pass a window of batches). Stored parameters are kept.
     """
     n_features = len(fresh.select("features").first()[0])
     params = dict(trained.params)
@@ -199,9 +180,7 @@ def metrics_of(model, ready: DataFrame) -> dict[str, float]:
 
 def importances(model, names: Sequence[str], spark, k: int = 10) -> DataFrame:
     """The ``k`` most important features of a tree model; one row per feature."""
-    forests = model.members if isinstance(model, Ensemble) else [model]
-    mean = [sum(float(m.featureImportances[i]) for m in forests) / len(forests) for i in range(len(names))]
-    rows = [(n, v, i) for i, (n, v) in enumerate(zip(names, mean))]
+    rows = [(n, float(model.featureImportances[i]), i) for i, n in enumerate(names)]
     table = spark.createDataFrame(rows, "feature string, importance double, ordinal int")
     return table.orderBy(F.desc("importance"), "ordinal").limit(k).drop("ordinal")
 

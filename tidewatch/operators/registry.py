@@ -7,15 +7,17 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.models import Ensemble, Trained
+from tidewatch.operators.forests import Ensemble
+from tidewatch.operators.models import Trained
 
 SCHEMA = """version int, batch_id long, ts timestamp, path string, metrics map<string,double>, params map<string,string>,
 is_incremental boolean, parent_version int, members array<string>, run_id string, model_name string"""
 
+CHAMPION_SCHEMA = "model_name string, version int, selected_at string, after long"
+
 
 class Registry:
     """Append-only: every registration is a new version in a new folder, and its row is written last.
@@ -66,6 +68,9 @@ class Registry:
             parent = self.versions().where(mine & (F.col("version") == parent_version)).first()
             held = list(parent["members"])[: len(members) - 1] if parent is not None else []
         for i, member in enumerate(members[len(held) :], len(held)):
+            if isinstance(member, str):  # saved before, with an earlier version
+                held.append(member)
+                continue
             stages = [*features.stages, member] if i == 0 else [member]
             PipelineModel(stages).save(f"{path}/part{i}")
             held.append(f"{path}/part{i}")
@@ -80,15 +85,12 @@ class Registry:
         return version
 
     def load(self, model_name: str, version: int) -> tuple[PipelineModel, Trained, dict[str, float]]:
-        """Feature pipeline, classifier and metrics of one version."""
+        """Feature pipeline, classifier and metrics of one version. Members of a grown forest are read together when it scores."""
         row = self.versions().where((F.col("model_name") == model_name) & (F.col("version") == version)).first()
         if row is None:
             raise KeyError(f"{model_name} v{version} is not registered")
         first = PipelineModel.load(row["members"][0])
-        members = [first.stages[-1]]
-        members += [PipelineModel.load(path).stages[-1] for path in row["members"][1:]]
-        grown = len(members) > 1 and isinstance(members[0], RandomForestClassificationModel)
-        model = Ensemble(members) if grown else members[0]
+        model = Ensemble(list(row["members"])) if len(row["members"]) > 1 else first.stages[-1]
         params = {k: json.loads(v) for k, v in (row["params"] or {}).items()}
         return PipelineModel(first.stages[:-1]), Trained(model_name, model, params), dict(row["metrics"])
 
@@ -103,24 +105,43 @@ class Registry:
         rows = self.versions().where(F.col("model_name") == model_name)
         return rows.agg(F.max_by(F.struct("model_name", "version"), "version").alias("r")).first()["r"]
 
+    def reigns(self) -> DataFrame:
+        """Every promotion: ``model_name, version, after, until``; the version reigned over the batches ``after < b <= until``.
+
+        The first reign also covers all batches before it, the last all later ones (null bounds). Of promotions after the same batch the
+        last one counts; the others have empty intervals.
+        """
+        path = f"{self.root}/champion"
+        if not _exists(self.spark, path):
+            return self.spark.createDataFrame([], CHAMPION_SCHEMA).selectExpr("model_name", "version", "after", "after AS until")
+        rows = self.spark.read.schema(CHAMPION_SCHEMA).json(path)
+        rows = rows.withColumn("_after", F.coalesce("after", F.lit(-(2**63)).cast("bigint")))
+        order = Window.orderBy("_after", "selected_at", "version")  # one row per promotion
+        placed = rows.withColumn("until", F.lead("_after").over(order)).withColumn("_least", F.min("_after").over(Window.partitionBy()))
+        after = F.when(F.col("_after") > F.col("_least"), F.col("_after"))
+        return placed.where("until is null or _after < until").select("model_name", "version", after.alias("after"), "until")
+
     def champion(self) -> dict | None:
         """The reigning version, as last promoted."""
         path = f"{self.root}/champion"
         if not _exists(self.spark, path):
             return None
-        row = self.spark.read.json(path).orderBy(F.desc("selected_at"), F.desc("version")).first()
+        row = self.spark.read.schema(CHAMPION_SCHEMA).json(path).orderBy(F.desc("selected_at"), F.desc("version")).first()
         return None if row is None else {"model_name": row["model_name"], "version": row["version"]}
 
-    def promote(self, model_name: str, version: int, metrics: dict[str, float], improvement: float = 0.01) -> bool:
-        """Make a version champion if there is none or its F1 beats the reigning one by enough."""
+    def promote(self, model_name: str, version: int, metrics: dict[str, float], improvement: float = 0.01, after: int | None = None) -> bool:
+        """Make a version champion if there is none or its F1 beats the reigning one by enough.
+
+        ``after`` is the last batch it has learned from; it reigns over the batches that follow.
+        """
         reigning = self.champion()
         if reigning is not None:
             row = self.versions().where((F.col("model_name") == reigning["model_name"]) & (F.col("version") == reigning["version"])).first()
             held = dict(row["metrics"]) if row is not None else {}
             if not ("f1" in metrics and "f1" in held and metrics["f1"] > held["f1"] + improvement):
                 return False
-        record = [(model_name, version, datetime.now(timezone.utc).isoformat())]
-        table = self.spark.createDataFrame(record, "model_name string, version int, selected_at string")
+        record = [(model_name, version, datetime.now(timezone.utc).isoformat(), after)]
+        table = self.spark.createDataFrame(record, CHAMPION_SCHEMA)
         table.coalesce(1).write.mode("append").json(f"{self.root}/champion")
         return True
 

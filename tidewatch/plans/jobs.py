@@ -168,35 +168,51 @@ def train_models(
         metrics = models.metrics_of(trained.model, held_out)
         results.append((trained, metrics, registry.register(features, trained, metrics, batch_id, run_id=run)))
     best = max(results, key=lambda r: r[1]["roc_auc"])
-    registry.promote(best[0].name, best[2], best[1])
+    registry.promote(best[0].name, best[2], best[1], after=batch_id)
     return results
 
 
-def score_batches(df: DataFrame, roles: Roles, registry: Registry) -> DataFrame:
-    """Add ``prediction`` and ``score`` by the champion. Narrow: no shuffle, target not needed."""
-    held = registry.champion()
+def score_batches(df: DataFrame, roles: Roles, registry: Registry, version: dict | None = None) -> DataFrame:
+    """Add ``prediction`` and ``score`` by the champion, or by the given version. The target is not needed."""
+    held = version or registry.champion()
     if held is None:
         raise LookupError("no champion registered")
     features, trained, _ = registry.load(**held)
     return models.score(features.transform(df), trained.model).drop("features")
 
 
+def reigning(df: DataFrame, roles: Roles, registry: Registry) -> DataFrame:
+    """Batch number, ``model_name`` and ``version`` of the champion that reigned when the batch came: an as-of join of batches to reigns."""
+    batches = df.select(roles.batch).where(F.col(roles.batch).isNotNull()).distinct()
+    b, after, until = F.col(roles.batch), F.col("after"), F.col("until")
+    within = (after.isNull() | (b > after)) & (until.isNull() | (b <= until))
+    return batches.join(F.broadcast(registry.reigns()), within).select(roles.batch, "model_name", "version")  # one row per promotion
+
+
 def follow(df: DataFrame, roles: Roles, registry: Registry, store: Store) -> DataFrame:
-    """Score all batches with the champion; accuracy, weighted F1 and time per batch, appended to the history.
+    """Score every batch with the champion that reigned when it came; accuracy, weighted F1 and time per batch, appended to the history.
 
-    Batches are scored one after the other, each by one distributed job, so each has a time of its own.
+    All batches of one champion are scored by one distributed job, so the number of jobs follows the promotions, not the batches. A batch's
+    ``inference_time`` is its share, by rows, of the job's time.
     """
+    if registry.champion() is None:
+        raise LookupError("no champion registered")
+    placed = materialize(reigning(df, roles, registry))
     rows = None
-    for number in batch_numbers(df, roles):
+    for held in placed.select("model_name", "version").distinct().orderBy("model_name", "version").collect():
+        own = placed.where((F.col("model_name") == held["model_name"]) & (F.col("version") == held["version"])).select(roles.batch)
         started = time.time()
-        scored = materialize(add_label(score_batches(df.where(F.col(roles.batch) == number), roles, registry), roles))
+        scored = score_batches(df.join(sized(own), roles.batch, "left_semi").select(*df.columns), roles, registry, held.asDict())
+        scored = materialize(add_label(scored, roles).select(*roles.by, LABEL, "prediction"))
         seconds = time.time() - started
+        share = F.col("n") / F.lit(float(max(scored.count(), 1)))
         part = batch_performance(scored, roles.by, LABEL, "prediction").select(
-            *roles.by, "accuracy", "f1", F.lit(seconds).alias("inference_time"), F.current_timestamp().alias("ts")
+            *roles.by, "accuracy", "f1", (F.lit(seconds) * share).alias("inference_time"), F.current_timestamp().alias("ts")
         )
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
         return df.sparkSession.createDataFrame([], sinks.PERFORMANCE_SCHEMA)
+    rows = materialize(rows)
     sinks.append_performance(rows, store.performance, roles)
     return rows
 
@@ -221,7 +237,7 @@ def update_model(df: DataFrame, roles: Roles, registry: Registry, model_name: st
     done = registry.find(model_name, run, True)
     if done is not None:
         after = dict(done["metrics"])
-        return {"model_name": model_name, "version": done["version"], "before": {}, "after": after, "promoted": registry.promote(model_name, done["version"], after)}
+        return {"model_name": model_name, "version": done["version"], "before": {}, "after": after, "promoted": registry.promote(model_name, done["version"], after, after=batch_id)}
     parent = registry.latest(model_name)
     if parent is None:
         raise LookupError(f"{model_name} is not registered")
@@ -233,7 +249,7 @@ def update_model(df: DataFrame, roles: Roles, registry: Registry, model_name: st
     grown = models.update(trained, fresh)
     after = models.metrics_of(grown.model, held_out)
     version = registry.register(features, grown, after, batch_id, True, parent["version"], run)
-    return {"model_name": model_name, "version": version, "before": before, "after": after, "promoted": registry.promote(model_name, version, after)}
+    return {"model_name": model_name, "version": version, "before": before, "after": after, "promoted": registry.promote(model_name, version, after, after=batch_id)}
 
 
 def run_pipeline(
@@ -247,9 +263,9 @@ def run_pipeline(
     grids: dict | None = None,
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """Train on the first batches, then score later ones and update the champion every few batches.
+    """Train on the first batches, update the champion every few batches, and score every later batch with the champion of its time.
 
-    Batches are counted as they come, so their numbers may have gaps. All are used unless the caller sets
+    Updates follow one another, as each starts from the last; all scoring comes after them, see ``follow``. Batches are counted as they come, so their numbers may have gaps. All are used unless the caller sets
     ``max_batches``.
     """
     registry = Registry(df.sparkSession, store.registry)
@@ -260,10 +276,11 @@ def run_pipeline(
     train_models(used.where(batch <= numbers[:initial][-1]), roles, registry, names, grids, batch_id=numbers[:initial][-1])
     for at in range(initial, len(numbers), update_every):
         part = numbers[at : at + update_every]
-        window = used.where((batch >= part[0]) & (batch <= part[-1]))
-        follow(window, roles, registry, store)
         if len(part) == update_every:
+            window = used.where((batch >= part[0]) & (batch <= part[-1]))
             update_model(window, roles, registry, registry.champion()["model_name"], batch_id=part[-1])
+    if len(numbers) > initial:
+        follow(used.where(batch > numbers[initial - 1]), roles, registry, store)
     return df.sparkSession.read.schema(sinks.PERFORMANCE_SCHEMA).parquet(store.performance)
 
 
@@ -296,11 +313,12 @@ def run_summary(spark: SparkSession, store: Store, roles: Roles) -> DataFrame:
         sections["best_model"] = versions.where(reigning).select("model_name", "version", "metrics")
         sections["hyperparameters"] = versions.where(reigning).select("model_name", "params")
     if path_exists(spark, store.dq) and path_exists(spark, store.consistency):
-        sections["data_quality"] = report.latest_quality(spark.read.json(store.dq), spark.read.json(store.consistency), roles)
+        newest = [sinks.read_newest(spark, path, roles, 1) for path in (store.dq, store.consistency)]
+        sections["data_quality"] = report.latest_quality(*newest, roles)
     if path_exists(spark, store.performance):
         sections["performance"] = report.performance(spark.read.parquet(store.performance), roles)
     if path_exists(spark, store.drift):
-        reports = spark.read.schema(DRIFT_SCHEMA).json(store.drift)
+        reports = sinks.read_newest(spark, store.drift, roles, schema=DRIFT_SCHEMA)
         sections["drift"] = report.drift_overview(reports, roles)
     return report.full_report(**sections)
 

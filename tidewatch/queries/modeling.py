@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators import evaluate as ev
-from tidewatch.operators import models
+from tidewatch.operators import forests, models
 from tidewatch.operators.features import LABEL, add_label, stratified_split
 from tidewatch.operators.registry import Registry
+from tidewatch.operators.text_codes import TextCodes, TextCodesModel
 from tidewatch.plans import jobs
 from tidewatch.queries import sql
 from tidewatch.queries.mining import RULE
@@ -83,6 +84,44 @@ def incremental_update(spark: SparkSession, folder: str) -> DataFrame:
     return ev.evaluate(scored, by=["model_name", "stage"])
 
 
+@query(
+    "grown_forest",
+    f"""WITH {sql.POLICIES} SELECT batch_num, count(*) AS n_rows, 30::INTEGER AS trees, 20::INTEGER AS aged_trees, 0::DOUBLE AS largest_difference
+    FROM policies GROUP BY 1""",
+)
+def grown_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest grown by two updates, as one model: its score of every row is the mean of its parts' scores. Aged to 20 trees besides."""
+    train, _ = _ready(spark, folder)
+    thirds = [train.where(F.pmod(F.xxhash64("object_id"), F.lit(3)) == i) for i in range(3)]
+    trained = models.Trained(models.FOREST, _fit(thirds[0], models.FOREST), SMALL[models.FOREST])
+    for part in thirds[1:]:
+        trained = models.update(trained, part)
+    features = models.fit_features(stored_policies(spark, folder), FIXTURE)
+    rows = features.transform(stored_policies(spark, folder)).select("batch_num", "features")
+    scored = models.score(rows, trained.model).withColumnRenamed("score", "merged").drop("prediction")
+    for i, member in enumerate(trained.model.members):
+        scored = models.score(scored, member).withColumnRenamed("score", f"part{i}").drop("prediction")
+    apart = F.abs(F.col("merged") - (F.col("part0") + F.col("part1") + F.col("part2")) / 3)
+    aged = forests.Ensemble(trained.model.members, max_trees=20)
+    return scored.groupBy("batch_num").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(trained.model.getNumTrees).alias("trees"), F.lit(aged.getNumTrees).alias("aged_trees"),
+        F.round(F.max(apart), 9).alias("largest_difference"),
+    )
+
+
+@query(
+    "text_codes",
+    f"""WITH {sql.POLICIES}, known AS (SELECT make, row_number() OVER (ORDER BY make) - 1 AS code FROM policies WHERE batch_num % 2 = 1 AND make IS NOT NULL GROUP BY 1)
+    SELECT object_id, coalesce(code, (SELECT count(*) FROM known))::DOUBLE AS make_code FROM (SELECT object_id, make || CASE WHEN object_id % 10 = 0 THEN '?' ELSE '' END AS make FROM policies) LEFT JOIN known USING (make)""",
+)
+def text_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes fitted on the odd batches, saved, loaded again, and given to all rows, of which every tenth id has a text unseen before."""
+    root, rows = scratch_folder(spark), stored_policies(spark, folder)
+    TextCodes(inputCols=["make"], outputCols=["make_code"]).fit(rows.where("batch_num % 2 = 1")).save(f"{root}/codes")
+    asked = rows.select("object_id", F.concat("make", F.when(F.col("object_id") % 10 == 0, "?").otherwise("")).alias("make"))
+    return TextCodesModel.load(f"{root}/codes").transform(asked).select("object_id", "make_code")
+
+
 @query("feature_importance")
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _ready(spark, folder)

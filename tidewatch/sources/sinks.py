@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,3 +78,26 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType | str, fmt
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).format(fmt).load(path)
+
+
+def newest_folders(spark: SparkSession, path: str, roles: Roles, n: int) -> list[str]:
+    """The folders of the ``n`` highest batch numbers of a table written by batch. Names are listed; no file is opened."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{roles.batch}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    numbers = [status.getPath().getName().split("=", 1)[1] for status in found]
+    highest = heapq.nlargest(n, (int(number) for number in numbers if number.lstrip("-").isdigit()))
+    return [f"{path.rstrip('/')}/{roles.batch}={number}" for number in highest]
+
+
+def read_newest(spark: SparkSession, path: str, roles: Roles, n: int = 10, schema: T.StructType | str | None = None, fmt: str = "json") -> DataFrame:
+    """The rows of the newest ``n`` batches of a table written by batch: only their folders are read, however long the history is.
+
+    A report table has one row a batch, so these are its newest ``n`` rows. Rows without a batch number are not among them. An empty
+    table needs a ``schema``.
+    """
+    folders = newest_folders(spark, path, roles, n)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("basePath", path).format(fmt)
+    found = (reader.schema(schema) if schema is not None else reader).load(folders)
+    return found.withColumn(roles.batch, F.col(roles.batch).cast("bigint"))
