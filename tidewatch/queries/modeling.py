@@ -10,13 +10,13 @@ from tidewatch.operators import forests, models
 from tidewatch.operators.features import LABEL, add_label, stratified_split
 from tidewatch.operators.registry import Registry
 from tidewatch.operators.text_codes import TextCodes, TextCodesModel
-from tidewatch.plans import jobs
+from tidewatch.plans import jobs, report
 from tidewatch.queries import sql
 from tidewatch.queries.mining import RULE
 from tidewatch.queries.registry import query, rounded
 from tidewatch.queries.tables import ALL, DQ_SQL, dq_columns
 from tidewatch.session import materialize, scratch_folder
-from tidewatch.sources import files, sinks
+from tidewatch.sources import checked, files, sinks
 from tidewatch.sources.tables import BATCH_ROWS, FIXTURE, policies, stored_policies
 from tidewatch.streaming import landing, monitor
 
@@ -343,6 +343,108 @@ def stream_batches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "checked_files",
+    f"""WITH {sql.POLICIES}, f AS (SELECT object_id % 4 AS part, count(*) AS n FROM policies GROUP BY 1)
+    SELECT CASE part WHEN 0 THEN 'plain' WHEN 1 THEN 'packed' WHEN 2 THEN 'cut' ELSE 'binary' END AS kind, CASE WHEN part < 2 THEN n ELSE 0 END::BIGINT AS rows,
+    0::BIGINT AS bad_records, part > 1 AS skipped, CASE part WHEN 2 THEN 'cannot be unpacked: EOFError' WHEN 3 THEN 'not UTF-8 text' END AS why FROM f
+    UNION ALL SELECT 'all rows read', count(*), 0, false, NULL FROM policies WHERE object_id % 4 < 2""",
+)
+def checked_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Quarters of the rows as a plain, a packed, a cut off and a binary file in one folder: outcome by file, and the rows read."""
+    root = scratch_folder(spark)
+    rows = stored_policies(spark, folder).select("object_id", "premium", "make")
+    for part, (kind, ending) in enumerate((("plain", "csv"), ("packed", "csv.gz"), ("cut", "csv.gz"), ("binary", "csv"))):
+        one = rows.where(F.col("object_id") % 4 == part).coalesce(1).write.option("header", True)
+        one.parquet(f"{root}/{kind}") if kind == "binary" else one.option("compression", "gzip" if ending == "csv.gz" else "none").csv(f"{root}/{kind}")
+        _place(spark, f"{root}/{kind}", f"{root}/all/{kind}.{ending}", 0.6 if kind == "cut" else 1.0)
+    read, outcome = checked.read_checked(spark, f"{root}/all", rows.columns)
+    kind = F.regexp_extract("path", r"([a-z]+)\.csv", 1).alias("kind")
+    whole = read.where("object_id is not null").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit("all rows read").alias("kind"), "rows", F.lit(0).cast("bigint").alias("bad_records"), F.lit(False).alias("skipped"), F.lit(None).cast("string").alias("why")
+    )
+    return outcome.select(kind, "rows", "bad_records", "skipped", "why").unionByName(whole)
+
+
+def _place(spark: SparkSession, source: str, target: str, share: float) -> None:
+    """The one data file of a folder under another name, or the first ``share`` of its bytes."""
+    from pyarrow import fs
+
+    name = spark._jvm.org.apache.hadoop.fs.Path(f"{source}/part-*")
+    found = name.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(name)[0]
+    system, base = fs.FileSystem.from_uri(found.getPath().toUri().toString().replace("file:/", "file:///", 1))
+    _, out = fs.FileSystem.from_uri(target.replace("file:/", "file:///", 1) if target.startswith("file:") else f"file://{target}" if target.startswith("/") else target)
+    system.create_dir(out.rsplit("/", 1)[0], recursive=True)
+    left = int(found.getLen() * share)
+    with system.open_input_stream(base, compression=None) as read, system.open_output_stream(out, compression=None) as write:
+        while left > 0 and (chunk := read.read(min(left, 1 << 20))):
+            write.write(chunk)
+            left -= len(chunk)
+
+
+@query(
+    "summary_drift",
+    f"""WITH {sql.VERDICT}, last AS (SELECT * FROM verdict ORDER BY batch_num DESC LIMIT 10)
+    SELECT max(batch_num) AS batch_number, arg_max(drift_detected, batch_num) AS drift_detected, coalesce(arg_max(coalesce(drift_type, 'none'), batch_num), 'none') AS drift_type,
+    arg_max(n_affected, batch_num)::BIGINT AS affected, arg_max(quality_issues, batch_num) AS quality_issues, count(*) AS reports,
+    count(CASE WHEN drift_detected THEN 1 END) AS with_drift, round(count(CASE WHEN drift_detected THEN 1 END)::DOUBLE / count(*), 6) AS drift_rate FROM last""",
+)
+def summary_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary's drift section over the newest ten stored reports, whose folders alone are read."""
+    store = jobs.Store(scratch_folder(spark))
+    jobs.run_analysis(stored_policies(spark, folder), store, FIXTURE)
+    found = report.drift_overview(sinks.read_newest(spark, store.drift, FIXTURE, schema=jobs.DRIFT_SCHEMA), FIXTURE)
+    return rounded(found, "drift_rate").select(
+        "batch_number", "drift_detected", "drift_type", F.col("affected_features_count").cast("bigint").alias("affected"), "quality_issues",
+        F.col("total_drift_reports_analyzed").alias("reports"), F.col("batches_with_drift").alias("with_drift"), "drift_rate",
+    )
+
+
+@query(
+    "summary_quality",
+    DQ_SQL.replace("SELECT b.batch_num", "SELECT * FROM (SELECT b.batch_num", 1).replace("SELECT * FROM (", "SELECT batch_num AS batch_id, after_missing_total_ratio AS missing_total_ratio, "
+    "after_duplicate_ratio AS duplicate_ratio, after_invalid_ratio AS invalid_ratio, after_n_rows AS total_rows, NOT after_any_issue AS data_quality_passed FROM (", 1)
+    + ") ORDER BY batch_num DESC LIMIT 1",
+)
+def summary_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary's quality section: the newest stored report of the cleaned rows."""
+    store = jobs.Store(scratch_folder(spark))
+    jobs.run_analysis(stored_policies(spark, folder), store, FIXTURE)
+    newest = [sinks.read_newest(spark, path, FIXTURE, 1) for path in (store.dq, store.consistency)]
+    ratios = ("missing_total_ratio", "duplicate_ratio", "invalid_ratio")
+    return rounded(report.latest_quality(*newest, FIXTURE), *ratios).select("batch_id", *ratios, "total_rows", "data_quality_passed")
+
+
+@query(
+    "pipeline_history",
+    f"""WITH {sql.POLICIES} SELECT object_id % 8 + 1 AS batch_num, true AS metrics_in_range, true AS same_champion_same_scores
+    FROM policies WHERE object_id % 8 >= 3 GROUP BY 1""",
+)
+def pipeline_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Eighths of the rows as batches: train on three, update once on two, score the last five. Each batch's history equals its own champion's scores of it.
+
+    The update is promoted whatever its gain, so two champions reign.
+    """
+    store, batch, middle = jobs.Store(scratch_folder(spark)), F.col("batch_num"), 5
+    registry = Registry(spark, store.registry)
+    rows = stored_policies(spark, folder).withColumn("batch_num", F.col("object_id") % 8 + 1)
+    grids = {models.FOREST: {"numTrees": [10], "maxDepth": [5]}}
+    jobs.train_models(rows.where(batch <= 3), FIXTURE, registry, [models.FOREST], grids, batch_id=3)
+    later = rows.where(batch > 3)
+    done = jobs.update_model(later.where(batch <= middle), FIXTURE, registry, models.FOREST, batch_id=middle)
+    if not done["promoted"]:
+        registry.promote(models.FOREST, done["version"], {"f1": float("inf")}, after=middle)
+    history = jobs.follow(later, FIXTURE, registry, store).select("batch_num", "accuracy", "f1")
+    again = None
+    for version, part in ((1, later.where(batch <= middle)), (2, later.where(batch > middle))):
+        scored = jobs.score_batches(part, FIXTURE, registry, {"model_name": models.FOREST, "version": version})
+        found = ev.batch_performance(add_label(scored, FIXTURE), ["batch_num"], LABEL).select("batch_num", F.col("accuracy").alias("a"), F.col("f1").alias("b"))
+        again = found if again is None else again.unionByName(found)
+    inside = F.col("accuracy").between(0, 1) & F.col("f1").between(0, 1)
+    same = (F.abs(F.col("a") - F.col("accuracy")) < 1e-9) & (F.abs(F.col("b") - F.col("f1")) < 1e-9)
+    return history.join(again, "batch_num", "left").select("batch_num", inside.alias("metrics_in_range"), F.coalesce(same, F.lit(False)).alias("same_champion_same_scores"))
+
+
 @query("full_report")
 def full_report(spark: SparkSession, folder: str) -> DataFrame:
     """Analyse all batches, train on the first, follow the rest, and write the summary as JSON."""
