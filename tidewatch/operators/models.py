@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators import evaluate as ev
@@ -194,24 +194,30 @@ def shapley(df: DataFrame, model, names: Sequence[str], key: str, permutations:
     width = len(names)
     rng = random.Random(SEED)
     orders = [rng.sample(range(width), width) for _ in range(permutations)]
-    base = F.array(*[F.lit(float(v)) for v in (baseline or [0.0] * width)])
-    walked = (
-        df.select(key, vector_to_array("features").alias("_x"))
-        .withColumn("_order", F.explode(F.array(*[F.array(*[F.lit(i) for i in order]) for order in orders])))
-        .select(key, "_x", "_order", F.explode(F.sequence(F.lit(0), F.lit(width))).alias("_step"))
+    base = [float(v) for v in (baseline or [0.0] * width)]
+    # A set of switched features is scored once a row, and counts for every order that passes it: for the feature before it, against the one after it.
+    passed: dict[frozenset, list[int]] = {}
+    for order in orders:
+        for step in range(width + 1):
+            weights = passed.setdefault(frozenset(order[:step]), [0] * width)
+            if step:
+                weights[order[step - 1]] += 1
+            if step < width:
+                weights[order[step]] -= 1
+    steps = [
+        F.struct(F.array(*[F.lit(i in on) for i in range(width)]).alias("on"), F.array(*[F.lit(float(w)) for w in weights]).alias("weights"))
+        for on, weights in passed.items()
+    ]
+    walked = df.select(key, vector_to_array("features").alias("_x"), F.explode(F.array(*steps)).alias("_step"))
+    mixed = F.array(*[F.when(F.col("_step.on")[i], F.get("_x", F.lit(i))).otherwise(F.lit(v)) for i, v in enumerate(base)])
+    scored = score(walked.select(key, "_step.weights", array_to_vector(mixed).alias("features")), model)
+    # Rows of one key walk one path after another, so each adds to a mean over all of them.
+    copies = F.count(F.lit(1)) / len(steps)
+    sums = scored.groupBy(key).agg(
+        copies.alias("_copies"), *[F.sum(F.col("weights")[i] * F.col("score")).alias(f"_gain_{i}") for i in range(width)]
     )
-    mixed = F.transform(
-        F.sequence(F.lit(0), F.lit(width - 1)),
-        lambda i: F.when(
-            F.array_contains(F.slice("_order", F.lit(1), F.col("_step")), i), F.get("_x", i)
-        ).otherwise(F.get(base, i)),
-    )
-    scored = score(walked.withColumn("features", array_to_vector(mixed)), model)
-    path = Window.partitionBy(key, "_order").orderBy("_step")
-    gain = scored.withColumn("_gain", F.col("score") - F.lag("score").over(path)).where("_step > 0")
-    listed = F.array(*[F.lit(n) for n in names])
-    named = gain.withColumn("feature", F.get(listed, F.get("_order", F.col("_step") - 1)))
-    return named.groupBy(key, "feature").agg(F.avg("_gain").alias("shapley"))
+    gains = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"_gain_{i}").alias("gain")) for i, n in enumerate(names)])
+    return sums.select(key, "_copies", F.inline(gains)).select(key, "feature", (F.col("gain") / (permutations * F.col("_copies") ** 2)).alias("shapley"))
 
 
 def best_of(results: Sequence[tuple[Trained, dict[str, float]]]) -> tuple[Trained, dict[str, float]]:
