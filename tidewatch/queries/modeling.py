@@ -28,9 +28,10 @@ SMALL = {
 }
 
 
-def _ready(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows with features, label and weight."""
-    split = materialize(stratified_split(add_label(stored_policies(spark, folder), FIXTURE), "object_id", LABEL))
+def _ready(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows with features, label and weight. ``rows`` are the stored policies, if the caller has them."""
+    rows = stored_policies(spark, folder) if rows is None else rows
+    split = materialize(stratified_split(add_label(rows, FIXTURE), "object_id", LABEL))
     features = models.fit_features(split.where("not is_test"), FIXTURE)
     return (
         materialize(models.labelled(split.where("not is_test"), FIXTURE, features)),
@@ -91,13 +92,13 @@ def incremental_update(spark: SparkSession, folder: str) -> DataFrame:
 )
 def grown_forest(spark: SparkSession, folder: str) -> DataFrame:
     """A forest grown by two updates, as one model: its score of every row is the mean of its parts' scores. Aged to 20 trees besides."""
-    train, _ = _ready(spark, folder)
+    stored = stored_policies(spark, folder)
+    train, _ = _ready(spark, folder, stored)
     thirds = [train.where(F.pmod(F.xxhash64("object_id"), F.lit(3)) == i) for i in range(3)]
     trained = models.Trained(models.FOREST, _fit(thirds[0], models.FOREST), SMALL[models.FOREST])
     for part in thirds[1:]:
         trained = models.update(trained, part)
-    features = models.fit_features(stored_policies(spark, folder), FIXTURE)
-    rows = features.transform(stored_policies(spark, folder)).select("batch_num", "features")
+    rows = models.fit_features(stored, FIXTURE).transform(stored).select("batch_num", "features")
     scored = models.score(rows, trained.model).withColumnRenamed("score", "merged").drop("prediction")
     for i, member in enumerate(trained.model.members):
         scored = models.score(scored, member).withColumnRenamed("score", f"part{i}").drop("prediction")
