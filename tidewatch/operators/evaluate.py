@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.running import running_totals
-from tidewatch.session import ratio
+from tidewatch.session import materialize, ratio
 
 EPSILON = 1e-8
 
@@ -73,8 +73,9 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Seque
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """The five standard metrics together."""
+    """The five standard metrics together. The scored rows are written once, as two aggregates read them."""
     by = list(by)
+    df = materialize(df.select(*by, label, prediction, score))
     return _beside(binary_metrics(df, label, prediction, by), roc_auc(df, label, score, by), by)
 
 

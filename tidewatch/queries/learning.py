@@ -137,14 +137,18 @@ def strat_folds(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Every row three times, once per stand-in classifier, with a deterministic score."""
+    return stand_ins(policies(spark, folder))
+
+
+def stand_ins(rows: DataFrame) -> DataFrame:
     tree = F.coalesce(F.col("seats_num"), F.lit(0.0)) / 50
     network = F.greatest(F.col("premium"), F.lit(0.0)) / 10000
     forest = F.coalesce(F.col("insured_value"), F.lit(0.0)) / 100000
     named = {"DecisionTree": tree, "NeuralNetwork": network, "RandomForest": forest}
     scores = F.array(*[F.struct(F.lit(n).alias("model_name"), s.alias("score")) for n, s in named.items()])
     label = F.coalesce((F.col("claim_paid") > 0).cast("int"), F.lit(0)).alias("label")
-    rows = policies(spark, folder).select("object_id", "batch_num", label, F.inline(scores))
-    return rows.withColumn("prediction", F.when(F.col("score") >= 0.6, 1.0).otherwise(0.0))
+    each = rows.select("object_id", "batch_num", label, F.inline(scores))
+    return each.withColumn("prediction", F.when(F.col("score") >= 0.6, 1.0).otherwise(0.0))
 
 
 SCORED = f"{sql.POLICIES}, {sql.SCORED}"
@@ -208,10 +212,14 @@ def metric_drift(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(ev.metric_drift(rows, rows.where("batch_num = 1"), by=["batch_num"]), "relative_change")
 
 
-def history(spark: SparkSession, folder: str) -> DataFrame:
-    """A metric history, one version per model and batch, measured on the stand-in scores. Some AUCs are left out."""
-    measured = ev.evaluate(scored(spark, folder), by=BY)
-    speed = policies(spark, folder).groupBy("batch_num").agg((F.max("insured_value") / 100000).alias("inference_time"))
+def history(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
+    """A metric history, one version per model and batch, measured on the stand-in scores. Some AUCs are left out.
+
+    ``rows`` are the stored policies, if the caller has them.
+    """
+    rows = stored_policies(spark, folder) if rows is None else rows
+    measured = ev.evaluate(stand_ins(rows), by=BY)
+    speed = rows.groupBy("batch_num").agg((F.max("insured_value") / 100000).alias("inference_time"))
     return materialize(
         measured.join(speed, "batch_num").select(
             "model_name",
@@ -311,8 +319,9 @@ def adapt_score(spark: SparkSession, folder: str) -> DataFrame:
     row_number() OVER (PARTITION BY batch_num ORDER BY score DESC, model_name) AS r FROM s) WHERE r = 1""",
 )
 def choose_model(spark: SparkSession, folder: str) -> DataFrame:
-    averages = maintenance.recent_average(history(spark, folder), ["ts", "model_name"])
-    fit = maintenance.adaptation_scores(maintenance.data_characteristics(stored_policies(spark, folder), FIXTURE))
+    rows = stored_policies(spark, folder)
+    averages = maintenance.recent_average(history(spark, folder, rows), ["ts", "model_name"])
+    fit = maintenance.adaptation_scores(maintenance.data_characteristics(rows, FIXTURE))
     return rounded(maintenance.choose_model(averages, fit, ["batch_num"]), "score")
 
 
