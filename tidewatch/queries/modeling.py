@@ -17,7 +17,7 @@ from tidewatch.queries.registry import query, rounded
 from tidewatch.queries.tables import ALL, DQ_SQL, dq_columns
 from tidewatch.session import materialize, scratch_folder
 from tidewatch.sources import checked, files, sinks
-from tidewatch.sources.tables import BATCH_ROWS, FIXTURE, policies, stored_policies
+from tidewatch.sources.tables import BATCH_ROWS, FIXTURE, stored_policies
 from tidewatch.streaming import landing, monitor
 
 # Small settings: the queries show the operators, they do not search for a good model.
@@ -157,7 +157,7 @@ def stream_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Land the rows as files, profile them as a stream, read the reports back."""
     root = scratch_folder(spark)
     stored = stored_policies(spark, folder)
-    stored.write.parquet(f"{root}/landing")
+    sinks.gathered(stored, ["batch_num"]).write.parquet(f"{root}/landing")
     stream = monitor.stream_parquet(spark, f"{root}/landing", stored.schema, files_per_trigger=4)
     monitor.profile_stream(stream, FIXTURE, f"{root}/reports", f"{root}/offsets").awaitTermination()
     found = spark.read.schema("batch_num long, total_rows long, columns_count long, data_quality double").json(f"{root}/reports")
@@ -188,7 +188,7 @@ def csv_batches(spark: SparkSession, folder: str) -> DataFrame:
 def stored_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Write the raw batches as partitioned files and read them back."""
     root = scratch_folder(spark)
-    sinks.write_batches(policies(spark, folder), f"{root}/raw", keys=["batch_num"])
+    sinks.write_batches(stored_policies(spark, folder), f"{root}/raw", keys=["batch_num"])
     return _batch_sums(spark, f"{root}/raw")
 
 

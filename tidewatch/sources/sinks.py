@@ -23,26 +23,42 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in dated})
 
 
+# Folders and rows that one task writes at most, about.
+FOLDERS_IN_TASK = 100
+ROWS_IN_TASK = 250_000
+
+
+def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows in ranges of ``keys``, so that a table written by ``keys`` has about one file per key and one more per range, however
+    many tasks held a key's rows before.
+
+    Rows of equal keys are dealt over ranges at random, so a huge batch is no hot task. ``df`` is read three times: callers write it once before.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    folders, rows = sizes.agg(F.count(F.lit(1)), F.sum("n")).first()
+    ranges = max(-(-folders // FOLDERS_IN_TASK), -(-(rows or 0) // ROWS_IN_TASK), 1)
+    return df.withColumn("_dealt", F.rand(0)).repartitionByRange(ranges, *keys, "_dealt").drop("_dealt")
+
+
 def write_batches(df: DataFrame, path: str, keys: Sequence[str] = ("source", "batch_num"), fmt: str = "parquet", max_rows: int = 1_000_000) -> None:
     """Raw batches under one folder per key. Large batches are split over files of ``max_rows`` rows.
 
-    Rows go to disk from where they are; nothing is gathered per batch, so a huge batch is no hot task. Batches
-    that are not written now stay as they are.
+    A batch's rows are gathered in few files, a huge batch in many tasks. Batches that are not written now stay as they are.
     """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows).partitionBy(*keys)
+    writer = gathered(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows).partitionBy(*keys)
     writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)
 
 
 def write_analyzed(df: DataFrame, path: str, roles: Roles, fmt: str = "parquet") -> None:
     """Cleaned rows by batch; only the batches present are replaced."""
     out = _plain(df) if fmt == "csv" else df
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*roles.by)
+    writer = gathered(out, roles.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*roles.by)
     writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)
 
 
 def write_reports(df: DataFrame, path: str, roles: Roles) -> None:
     """Nested reports (quality, consistency, drift) as JSON lines by batch; rewriting a batch replaces it."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*roles.by).json(path)
+    gathered(df, roles.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*roles.by).json(path)
 
 
 def write_rules(rules: DataFrame, path: str, roles: Roles, k: int = 5) -> None:
@@ -70,7 +86,7 @@ def write_scored(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 def append_performance(df: DataFrame, path: str, roles: Roles) -> None:
     """Performance rows, one folder per batch, so a repeated batch does not double."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*roles.by).parquet(path)
+    gathered(df, roles.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*roles.by).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:

@@ -79,7 +79,8 @@ def land(rows: DataFrame, path: str, batch: str, micro: int) -> DataFrame:
     """
     spark = rows.sparkSession
     rows = materialize(rows.withColumn("micro", F.lit(micro).cast("bigint")))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch, "micro")
+    gathered = sinks.gathered(rows, [batch, "micro"])
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch, "micro")
     writer.parquet(path)
     touched = materialize(rows.select(batch).distinct())
     landed = read_landed(spark, path, rows.drop("micro").schema)

@@ -82,8 +82,9 @@ def profile_stream(stream: DataFrame, roles: Roles, path: str, checkpoint: str,
     """
 
     def work(df: DataFrame, batch_id: int) -> None:
-        if not df.isEmpty():
-            sinks.write_reports(df, path, roles)
+        changed = materialize(df)
+        if not changed.isEmpty():
+            sinks.write_reports(changed, path, roles)
 
     profiled = batch_profile(stream, roles)
     writer = profiled.writeStream.outputMode("update").foreachBatch(work).option("checkpointLocation", checkpoint)
