@@ -3,10 +3,12 @@
 import hashlib
 import re
 
+from tidewatch.llm import decontaminate as module
 from tidewatch.llm.decontaminate import decontaminate, decontaminated
 from tidewatch.llm.fm_index import FmIndex
 
 import numpy as np
+import pyarrow as pa
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -72,6 +74,19 @@ def test_removal_keeps_rows_columns_and_the_rest_of_the_text(spark):
     assert decontaminated(docs, items).columns == docs.columns
 
 
+def test_a_task_holds_one_worker_and_one_bounded_shard(spark, monkeypatch):
+    docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = decontaminate(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    shards, search = [], module.search_shard
+    monkeypatch.setattr(module, "search_shard", lambda offsets, data, phrases: shards.append(len(data)) or search(offsets, data, phrases))
+    shared = type("Shared", (), {"value": module.Phrases(ITEMS, 10)})
+    texts = ["filler " * 20_000 + DOCS[0][1]] * 30
+    run = module._searched_and_merged(module._search(shared, "text", False), "text")
+    out = pa.Table.from_batches(run([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
+    assert out.num_rows == 30 and set(out["__n_hit"].to_pylist()) == {12} and sum(shards) == sum(map(len, texts)) and max(shards) <= 1 << 20
+
+
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate(docs, spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0

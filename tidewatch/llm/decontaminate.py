@@ -23,6 +23,8 @@ from tidewatch.llm.fm_index import FmIndex
 WINDOW = 10
 # Most bytes of benchmark text that are broadcast at once; a larger benchmark is searched in blocks.
 BLOCK_BYTES = 32 * 1024 * 1024
+# Bytes of text of a shard; the arrays of its words and index take some 40 times as much of a worker.
+SHARD_BYTES = 1024 * 1024
 # Odd multiplier of the rolling word hash (a fixed value; any odd one does).
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -154,7 +156,7 @@ def _search(phrases, text: str, earlier: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = phrases.value
         for batch in batches:
-            for part in chunks(batch, text):
+            for part in chunks(batch, text, SHARD_BYTES):
                 offsets, data = utf8(part.column(part.schema.get_field_index(text)))
                 n_words, hits = search_shard(offsets, data, block)
                 columns, names = list(part.columns), list(part.schema.names)
@@ -208,6 +210,11 @@ def _merge(text: str):
     return run
 
 
+def _searched_and_merged(search, text: str):
+    merge = _merge(text)
+    return lambda batches: merge(search(batches))
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple]]:
     """The items in blocks of bounded size, one block at a time on the driver."""
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
@@ -232,17 +239,18 @@ def decontaminate(
     """
     context = docs.sparkSession.sparkContext
     added = T.StructType.fromDDL(f"__n_words bigint, __hits {_SPANS}").fields
-    found, earlier = docs, False
-    for block in _blocks(benchmark, item, item_text, block_bytes):
-        shared = context.broadcast(Phrases(block, window))
-        found = found.mapInArrow(_search(shared, text, earlier), T.StructType([*docs.schema.fields, *added]))
-        earlier = True
-    if not earlier:
-        found = found.mapInArrow(_search(context.broadcast(Phrases([], window)), text, False), T.StructType([*docs.schema.fields, *added]))
     more = T.StructType.fromDDL(
         "__n_hit bigint, __n_items bigint, __items_sha256 string, __removed array<struct<start:bigint,end:bigint>>, __clean string"
     )
-    return found.mapInArrow(_merge(text), T.StructType([*docs.schema.fields, added[0], *more.fields]))
+    merged = T.StructType([*docs.schema.fields, added[0], *more.fields])
+    found, search = docs, None
+    for block in _blocks(benchmark, item, item_text, block_bytes):
+        if search is not None:
+            found = found.mapInArrow(search, T.StructType([*docs.schema.fields, *added]))
+        search = _search(context.broadcast(Phrases(block, window)), text, search is not None)
+    search = search or _search(context.broadcast(Phrases([], window)), text, False)
+    # The last search and the merge share a worker: two in a row would hold twice the memory for each task.
+    return found.mapInArrow(_searched_and_merged(search, text), merged)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
