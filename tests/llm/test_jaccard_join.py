@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from tidewatch.llm import jaccard_join
-from tidewatch.llm.jaccard_join import Block, Shingler, divide_skip, join
+from tidewatch.llm.jaccard_join import Block, Shingler, _stars, divide_skip, join
 from tidewatch.llm.queries import op12_jaccard_join
 
 
@@ -106,6 +106,42 @@ def test_divide_skip_counts_lists():
             assert set(divide_skip([np.array(x) for x in lists], need)) == want
 
 
+def test_near_misses_are_given_up_before_they_are_checked(monkeypatch):
+    """Sets that share more than the least overlap of a set with any other, but too little for sets of their size."""
+    rng = random.Random(5)
+    base = rng.sample(range(1 << 40), 140)
+    sets = [np.array(sorted([*rng.sample(base, 130), *rng.sample(range(1 << 41, 1 << 42), 10)]), np.uint64) for _ in range(300)]
+    sets += [np.append(s[:-1], np.uint64(1 << 43)) for s in sets[:20]]
+    named = []
+
+    def recorded(*args, search=jaccard_join.divide_skip):
+        found = list(search(*args))
+        named.extend(found)
+        return found
+
+    monkeypatch.setattr(jaccard_join, "divide_skip", recorded)
+    block = Block(list(range(320)), sets)
+    linked = {(max(p), min(p)) for p in block.links()}
+    assert {p for p in linked if p[0] >= 300} >= {(300 + i, i) for i in range(20)}
+    assert all(100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b])) for a, b in linked)
+    assert len(named) <= 320
+
+
+def test_divide_skip_keeps_to_the_need_of_each_id():
+    rng = random.Random(4)
+    for _ in range(200):
+        lists = [np.array(sorted(rng.sample(range(60), rng.randint(1, 50)))) for _ in range(rng.randint(1, 30))]
+        least = np.array([rng.randint(0, 31) for _ in range(60)])
+        for need in range(1, len(lists) + 1):
+            counts = {i: sum(i in x for x in lists) for i in range(60)}
+            assert set(divide_skip(lists, need, least)) == {(i, n) for i, n in counts.items() if n >= max(need, least[i])}
+
+
+def test_pairs_become_stars():
+    assert sorted(_stars([(5, 4), (3, 4), (9, 8), (3, 1), (7, 8), (8, 9)])) == [(3, 1), (4, 1), (5, 1), (8, 7), (9, 7)]
+    assert _stars([]) == []
+
+
 def test_blocks_connect_as_all_links():
     rows = near_copies(9, 25, 9, 0.8)
     rows = [r for r in rows if shingles(r[1])]

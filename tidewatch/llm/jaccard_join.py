@@ -7,16 +7,15 @@ share none of these with any other are done. The others are laid out by the firs
 and cut into blocks of bounded size; a block is an inverted index over whole sets, and a set visits its own block and each other one that
 holds a set, smaller and not too small, with which it shares such a shingle.
 
-In a block the set's inverted lists are divided: the short ones are merged with a heap, which skips ids that cannot reach T less
-the number of long lists, and the ids left are probed in the long lists by binary search. The count is the exact overlap. Only links
-between sets that are not yet connected within the block matter, so ids of the set's own component leave its lists first.
+In a block the set's inverted lists are divided: the shortest ones, all but T - 1, are merged and name the ids that can be partners at
+all. These are looked up in the long lists, by binary search or, while they are many, by counting whole lists; an id is skipped as soon as
+the lists left cannot bring it to the overlap that sets of these two sizes need. The count is the exact overlap. Only links between
+sets that are not yet connected within the block matter, so ids of the set's own component are skipped first.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +37,10 @@ BLOCK_SHINGLES, COUNT_SHINGLES, CELL_BITS = 1 << 19, 1 << 21, 24
 COMMON_LEVEL = 1
 # Shingles that a task holds before it hands them on.
 HELD = 1 << 20
+# A set counts as so many shingles at least, which bounds the sets of a block.
+LEAST_WEIGHT = 64
+# Long lists that are searched between two cuts of the ids left; entries of a list that are counted in the time of one binary search.
+LIST_RUN, PROBE_COST = 8, 16
 # Bytes of text whose words are hashed together.
 TEXT_BYTES = 1 << 19
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -297,35 +300,32 @@ class Block:
     def partners(self, found: np.ndarray, upto: int, own: int | None = None) -> Iterator[int]:
         """Ids below ``upto`` linked to a set, at least one for each component that has any; ``own`` is a member of its component."""
         size = len(found)
-        need = least_overlap(size)
-        low = int(np.searchsorted(self.sizes, need))
+        low = int(np.searchsorted(self.sizes, least_overlap(size)))
         high = min(upto, int(np.searchsorted(self.sizes, 100 * size // PERCENT, "right")))
         if low >= high or not len(self.shingles):
             return
+        least = np.zeros(high, np.int64)
+        least[low:] = -(-PERCENT * (size + self.sizes[low:high]) // (100 + PERCENT))
+        need = int(least[low])
         at = np.minimum(np.searchsorted(self.shingles, found), len(self.shingles) - 1)
         lists = at[self.shingles[at] == found]
         if len(lists) < need:
             return
         starts = np.searchsorted(self.keys, lists * len(self.sizes) + low)
-        counts = np.searchsorted(self.keys, lists * len(self.sizes) + high) - starts
-        starts, counts = starts[counts > 0], counts[counts > 0]
-        if len(counts) < need:
+        ends = np.searchsorted(self.keys, lists * len(self.sizes) + high)
+        lists = sorted((self.ids[a:b] for a, b in zip(starts.tolist(), ends.tolist()) if a < b), key=len)
+        if len(lists) < need:
             return
-        bounds = np.cumsum(counts)
-        ids = self.ids[np.arange(bounds[-1]) + np.repeat(starts - bounds + counts, counts)]
         linked: set[int] = set() if own is None else {int(self.roots[own])}
-        # The shortest lists name likely partners; once one is linked, its whole component leaves the lists.
-        for number in {int(ids[bounds[n] - counts[n]]) for n in np.argsort(counts, kind="stable")[:3]}:
-            if int(self.roots[number]) not in linked and self._linked(size, number, int((ids == number).sum())):
+        # The shortest lists name likely partners; once one is linked, its whole component is left out.
+        for number in {int(x[end]) for x in lists[:3] for end in (0, -1)}:
+            if int(self.roots[number]) not in linked and self._linked(size, number, _overlap(found, self.sets[number])):
                 linked.add(int(self.roots[number]))
                 yield number
-        keep = ~np.isin(self.roots, list(linked))[ids]
-        left = np.add.reduceat(keep, bounds - counts, dtype=np.int64)
-        if (left > 0).sum() < need:
-            return
-        lists = [x for x in np.split(ids[keep], np.cumsum(left)[:-1]) if len(x)]
-        for number, overlap in divide_skip(lists, need):
-            if int(self.roots[number]) not in linked and self._linked(size, number, overlap):
+        for root in linked:
+            least[self.roots[:high] == root] = size + 1
+        for number, _ in divide_skip(lists, need, least):
+            if int(self.roots[number]) not in linked:
                 linked.add(int(self.roots[number]))
                 yield number
 
@@ -352,60 +352,62 @@ class Block:
                 self._merge(own, j)
 
 
-def divide_skip(lists: list[np.ndarray], need: int) -> Iterator[tuple[int, int]]:
-    """(id, number of lists) for ids on at least ``need`` of the sorted lists."""
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """The number of common elements of two sorted sets."""
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def divide_skip(lists: list[np.ndarray], need: int, least: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """(id, number of lists) for ids on at least ``need`` of the sorted lists, and on ``least[id]`` where that is more.
+
+    An id that is on none of the shortest lists, all but ``need - 1``, is skipped. The others are looked up in the long lists, by
+    binary search or, while they are many, by counting whole lists, and are given up as soon as the lists left cannot make up the rest.
+    """
     lists = sorted(lists, key=len)
-    longest = len(lists[-1])
-    split = min(need - 1, int(need / (0.05 * np.log2(longest + 1) + 1)))
-    short, long_ = [x.tolist() for x in lists[: len(lists) - split]], lists[len(lists) - split :]
-    found = list(_merge_skip(short, need - split))
-    if not found:
-        return
-    ids, counts = np.array([f[0] for f in found]), np.array([f[1] for f in found])
-    for left, probed in zip(range(len(long_), 0, -1), long_):
-        alive = counts + left >= need
+    left = need - 1
+    counts = np.bincount(np.concatenate(lists[: len(lists) - left]))
+    ids = np.flatnonzero(counts)
+    counts = counts[ids]
+    wanted = np.full(len(ids), need) if least is None else np.maximum(least[ids], need)
+    while True:
+        alive = counts + left >= wanted
         if not alive.all():
-            ids, counts = ids[alive], counts[alive]
-            if not len(ids):
-                return
-        at = np.minimum(np.searchsorted(probed, ids), len(probed) - 1)
-        counts = counts + (probed[at] == ids)
-    yield from ((int(i), int(c)) for i, c in zip(ids, counts) if c >= need)
-
-
-def _merge_skip(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
-    """Heap-merge of sorted lists: (id, count) for ids on at least ``need`` of them, jumping over ids that cannot be."""
-    place = [0] * len(lists)
-    heap = [(x[0], n) for n, x in enumerate(lists) if x]
-    heapq.heapify(heap)
-    while len(heap) >= need:
-        top, popped = heap[0][0], []
-        while heap and heap[0][0] == top:
-            popped.append(heapq.heappop(heap)[1])
-        if len(popped) >= need:
-            yield top, len(popped)
-            for n in popped:
-                place[n] += 1
-                if place[n] < len(lists[n]):
-                    heapq.heappush(heap, (lists[n][place[n]], n))
-            continue
-        while heap and len(popped) < need - 1:
-            popped.append(heapq.heappop(heap)[1])
-        if not heap:
-            return
-        following = heap[0][0]
-        for n in popped:
-            place[n] = bisect_left(lists[n], following, place[n])
-            if place[n] < len(lists[n]):
-                heapq.heappush(heap, (lists[n][place[n]], n))
+            ids, counts, wanted = ids[alive], counts[alive], wanted[alive]
+        if not left or not len(ids):
+            break
+        run = lists[len(lists) - left : len(lists) - left + LIST_RUN]
+        if len(ids) * PROBE_COST * len(run) < sum(map(len, run)):
+            for probed in run:
+                counts = counts + (probed[np.minimum(np.searchsorted(probed, ids), len(probed) - 1)] == ids)
+        else:
+            counts = counts + np.bincount(np.concatenate(run), minlength=ids[-1] + 1)[ids]
+        left -= len(run)
+    yield from zip(ids.tolist(), counts.tolist())
+
+
+def _stars(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Pairs that connect the same numbers, each with the smallest of its component."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        low, high = sorted((top(a), top(b)))
+        root[high] = low
+    return [(x, top(x)) for x in list(root) if top(x) != x]
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links found in rows sorted by block, share and kind: a block's members come before its visitors.
+    """Links found in rows sorted by block, share and kind, as a star for each component: a block's members come before its visitors.
 
     Members that are alone in their components so far are searched among themselves as well.
     """
     key, members, block = None, {}, None
+    pairs: list[tuple[int, int]] = []
     out: list[tuple[int, int]] = []
 
     def rows():
@@ -420,23 +422,28 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             alone = all(root == n for n, (root, _) in members.items())
             block = Block(numbers, [members[n][1] for n in numbers], [members[n][0] for n in numbers])
             if key[1] == 0 and alone:
-                out.extend(block.links())
+                pairs.extend(block.links())
+
+    def close_block():
+        close_members()
+        out.extend(_stars(pairs))
+        pairs.clear()
 
     for batch in batches:
         for row in batch.to_pylist():
             if (row["block"], row["share"]) != key:
-                close_members()
+                close_block()
                 key, members, block = (row["block"], row["share"]), {}, None
             found = np.frombuffer(row["shingles"], np.uint64)
             if row["visitor"]:
                 close_members()
                 if block is not None:
-                    out.extend(block.visit(row["number"], found, row["root"]))
+                    pairs.extend(block.visit(row["number"], found, row["root"]))
             else:
                 members[row["number"]] = (row["root"], found)
         if out:
             yield rows()
-    close_members()
+    close_block()
     if out:
         yield rows()
 
@@ -461,7 +468,7 @@ def _band(size: Column) -> Column:
 def _search(docs: DataFrame, sets: DataFrame, visits: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Links (a, b) found by rows (number, size, block, visitor, root) of sets that make up a block's index or visit it."""
     # Visitors of a much visited block are shared out; each share gets the block's members.
-    weight = F.sum(F.when(F.col("visitor"), F.col("size")).otherwise(0))
+    weight = F.sum(F.when(F.col("visitor"), F.greatest("size", F.lit(LEAST_WEIGHT))).otherwise(0))
     shares = visits.groupBy("block").agg((F.floor(weight / (8 * BLOCK_SHINGLES)) + 1).alias("shares"))
     all_shares = F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)
     one = F.array(F.pmod(F.xxhash64("number"), F.col("shares")))
@@ -488,13 +495,15 @@ def join_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str) -> DataF
     # A set's home is the shingle that most others share with it.
     common = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("others"))
     homes = met.join(common, "shingle").groupBy("number").agg(F.max(F.struct("others", "shingle")).alias("home"), F.min("size").cast("bigint").alias("size"))
-    homes = running_totals(homes.select("number", "size", F.col("home.shingle").alias("home")), ["home", "size", "number"], {"before": "size"})
+    homes = homes.select("number", "size", F.greatest("size", F.lit(LEAST_WEIGHT)).alias("weight"), F.col("home.shingle").alias("home"))
+    homes = running_totals(homes, ["home", "size", "number"], {"before": "weight"})
     homes = stored(homes.select("number", "size", F.floor(F.col("before") / BLOCK_SHINGLES).alias("block"), (F.col("before") % BLOCK_SHINGLES).alias("depth")))
     early = homes.filter((F.col("block") > 0) & (F.col("depth") < BLOCK_SHINGLES // 16))
     own = homes.select("number", "size", "block", F.lit(False).alias("visitor"), F.col("number").alias("root"))
     first = own.union(early.select("number", "size", F.col("block") - 1, F.lit(True), "number"))
     inside = _search(docs, sets, first, doc_id, text)
-    linked = connected(inside).toDF("number", "linked")
+    stars = connected(inside).toDF("a", "b")
+    linked = stars.toDF("number", "linked")
     homes = homes.join(linked, "number", "left").select("number", "block", F.coalesce("linked", "number").alias("root"))
 
     at = stored(met.join(homes, "number").withColumn("band", _band(F.col("size"))))
@@ -509,7 +518,7 @@ def join_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str) -> DataF
     asked = visits.select("shingle", F.col("other").alias("block")).distinct()
     members = at.filter("as_smaller").join(asked, ["shingle", "block"], "left_semi").select("number", "size", "block", F.lit(False).alias("visitor"), "root")
     second = members.distinct().union(visits.select("number", "size", "other", F.lit(True), "root").distinct())
-    return inside.union(_search(docs, sets, stored(second), doc_id, text))
+    return stars.union(_search(docs, sets, stored(second), doc_id, text))
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
