@@ -262,13 +262,18 @@ def analysis_reports(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("batch_num", "drift_detected", names.alias("affected"), "quality_issues")
 
 
+# Rows of both halves of a file of the split stream.
+FILE_ROWS = 500_000
+
+
 def _split_store(spark: SparkSession, folder: str) -> jobs.Store:
-    """All batches as a stream whose every file holds a part of most batches, so each comes in several micro-batches."""
+    """All batches as a stream of two micro-batches whose every file holds a part of most batches, so each comes in both."""
     store = jobs.Store(scratch_folder(spark))
-    rows = stored_policies(spark, folder)
+    rows = stored_policies(spark, folder, packed=True)
+    files_each = -(-rows.count() // FILE_ROWS) or 1
     for rest in (0, 1):
-        rows.where(F.pmod(F.xxhash64("object_id"), F.lit(2)) == rest).coalesce(1).write.mode("append").parquet(f"{store.root}/files")
-    stream = monitor.stream_parquet(spark, f"{store.root}/files", rows.schema)
+        rows.where(F.pmod(F.xxhash64("object_id"), F.lit(2)) == rest).repartition(files_each).write.mode("append").parquet(f"{store.root}/files")
+    stream = monitor.stream_parquet(spark, f"{store.root}/files", rows.schema, files_each)
     monitor.monitor(stream, store, FIXTURE, f"{store.root}/offsets").awaitTermination()
     return store
 

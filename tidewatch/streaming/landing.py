@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.session import materialize, sized
@@ -73,19 +74,24 @@ def collect_stream(stream: DataFrame, batch_rows: int, raw: str, ledger: str, ch
 
 
 def land(rows: DataFrame, path: str, batch: str, micro: int) -> DataFrame:
-    """Keep a micro-batch's rows by batch and micro-batch, and return all rows so far of the batches that it touches.
+    """Keep a micro-batch's rows, and return all rows so far of the batches that it touches.
 
-    A repeated micro-batch replaces what it landed before, so no split of a batch loses or doubles rows.
+    A repeated micro-batch replaces what it landed before, so no split of a batch loses or doubles rows. The batch number is a column of
+    the files, so a micro-batch over many batches has few files; each holds a range of numbers, and only ranges in question are read.
     """
     spark = rows.sparkSession
     rows = materialize(rows.withColumn("micro", F.lit(micro).cast("bigint")))
-    gathered = sinks.gathered(rows, [batch, "micro"])
-    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(batch, "micro")
-    writer.parquet(path)
+    gathered = sinks.gathered(rows, [batch]).sortWithinPartitions("micro", batch)
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("micro").parquet(path)
     touched = materialize(rows.select(batch).distinct())
-    landed = read_landed(spark, path, rows.drop("micro").schema)
+    low, high = touched.agg(F.min(batch), F.max(batch)).first()
+    landed = read_landed(spark, path, rows.drop("micro").schema, batch).where(F.col(batch).between(low, high))
     return landed.join(sized(touched), batch, "left_semi").select(*[c for c in rows.columns if c != "micro"])
 
 
-def read_landed(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+def read_landed(spark: SparkSession, path: str, schema, batch: str = "batch_num") -> DataFrame:
+    """All landed rows. Rows that were landed in folders by batch, as it once was, are read as well, unless their micro-batch was landed anew."""
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField("micro", T.LongType())])).option("basePath", path)
+    parts = [reader.parquet(f"{path}/{folders}") for folders in ("micro=*", f"{batch}=*") if path_exists(spark, f"{path}/{folders}")]
+    landed = parts[0] if len(parts) < 2 else parts[0].unionByName(parts[1].join(F.broadcast(parts[0].select("micro").distinct()), "micro", "left_anti"))
+    return landed.select(*schema.names)

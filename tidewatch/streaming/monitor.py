@@ -18,7 +18,7 @@ from tidewatch.operators.profile import batch_profile
 from tidewatch.operators.registry import Registry
 from tidewatch.plans import jobs
 from tidewatch.roles import Limits, Roles
-from tidewatch.session import materialize
+from tidewatch.session import materialize, stored
 from tidewatch.sources import sinks
 from tidewatch.sources.files import path_exists, text_schema
 from tidewatch.streaming import landing
@@ -62,14 +62,14 @@ def monitor(
         if rows.isEmpty():
             return
         spark = rows.sparkSession
-        touched = materialize(landing.land(rows, store.landed, roles.batch, batch_id))
+        touched = landing.land(rows, store.landed, roles.batch, batch_id)
         if path_exists(spark, f"{store.reference}/_SUCCESS"):
             pinned = spark.read.schema(touched.schema).parquet(store.reference).agg(F.min(roles.batch)).first()[0]
-            grown = touched.where(F.col(roles.batch) == pinned)
+            grown = materialize(touched.where(F.col(roles.batch) == pinned))
             if not grown.isEmpty():
                 jobs.repin_reference(grown, store, roles, limits)
-                touched = materialize(landing.read_landed(spark, store.landed, touched.schema))
-        jobs.run_analysis(touched, store, roles, limits)
+                touched = landing.read_landed(spark, store.landed, touched.schema, roles.batch)
+        jobs.run_analysis(stored(touched), store, roles, limits)
 
     return each_batch(stream, work, checkpoint, once)
 
