@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.coerce import numeric_columns, string_columns
 from tidewatch.functions.order_stats import wide_quantiles
 from tidewatch.roles import Cleaning, Roles
-from tidewatch.session import attach, materialize
+from tidewatch.session import attach, stored
 
 
 def drop_rows(df: DataFrame, roles: Roles, cleaning: Cleaning = Cleaning()) -> DataFrame:
@@ -63,7 +63,7 @@ def impute(df: DataFrame, roles: Roles, cleaning: Cleaning = Cleaning()) -> Data
 def _impute_numeric(df: DataFrame, by: list[str], columns: list[str], method: str) -> DataFrame:
     if not columns:
         return df
-    df = materialize(df)
+    df = stored(df)
     per_group = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in columns])
     missing = [F.max(F.col("_n") - F.col(c)).alias(c) for c in columns]
     found = per_group.agg(F.count(F.lit(1)).alias("_groups"), *missing).first()
