@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.clean import clean
 from tidewatch.roles import Cleaning, QualityLimits, Roles
-from tidewatch.session import materialize, ratio
+from tidewatch.session import ratio, stored
 
 COPIES = "_copies"
 
@@ -126,7 +126,7 @@ def clean_with_report(
     start of the cleaning. Batches that cleaning empties keep their "before" side.
     """
     by = [c for c in roles.by if c in df.columns]
-    rows = materialize(collapse(df))
+    rows = stored(collapse(df))
     before = _packed(quality_flags(collapsed_metrics(rows, roles), limits), by, "before")
     if cleaning.drop_duplicates:
         start = rows.drop(COPIES)
