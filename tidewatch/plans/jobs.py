@@ -16,7 +16,7 @@ from tidewatch.operators.features import LABEL, add_label, stratified_split
 from tidewatch.operators.registry import Registry
 from tidewatch.plans import report
 from tidewatch.roles import Limits, Roles
-from tidewatch.session import materialize, sized
+from tidewatch.session import materialize, sized, stored
 from tidewatch.sources import commits, sinks
 from tidewatch.sources.files import path_exists, read_csv, read_sources, typed_policies
 
@@ -66,14 +66,14 @@ def analyze(df: DataFrame, roles: Roles, reference: DataFrame, reference_rules:
     ``reference`` holds the rows of the pinned reference batch; its batch number may be in ``df``.
     """
     cleaned, dq = quality.clean_with_report(df, roles, limits.quality, limits.cleaning)
-    cleaned = materialize(cleaned)
+    cleaned = stored(cleaned)
     found = rules.baskets(df, roles, limits.mining)
     checked = rules.recheck(found, reference_rules, roles, limits.rules)
     pinned = drift.first_batch(reference, roles)
     others = df.where(F.col(roles.batch) != pinned)
     reports = drift.detect(others.unionByName(reference.select(*df.columns)), roles, pinned, limits.drift)
     mined = rules.rules(
-        materialize(rules.itemsets(rules.baskets(cleaned, roles, limits.mining), roles, limits.mining.min_support)),
+        stored(rules.itemsets(rules.baskets(cleaned, roles, limits.mining), roles, limits.mining.min_support)),
         roles,
         limits.mining.min_confidence,
         limits.mining.min_lift,
